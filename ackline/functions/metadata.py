@@ -87,16 +87,30 @@ def parse_metadata(df: DataFrame, payload: str = "payload") -> DataFrame:
         & (F.col("_etag_type").isNull() | F.col("_etag_type").isin("VOID", "STRING"))
         & size_ok
     )
-    checked = parsed.withColumn("json_ok", F.coalesce(ok, F.lit(False)))
-    good = F.col("json_ok")
-    return checked.withColumns(
+    checked = parsed.withColumn("_ok", F.coalesce(ok, F.lit(False)))
+    good = F.col("_ok")
+    return _sealed(
+        checked,
+        df.columns,
         {
+            "json_ok": good,
             "bucket": F.when(good, _member("bucket", "string")),
             "object_key": F.when(good, _member("key", "string")),
             "size": F.when(good, F.col("_size")),
             "etag": F.when(good, _member("etag", "string")),
-        }
-    ).drop("_text", "_listed", "_boxed", "_object", "_more", "_size_type", "_size", "_etag_type")
+        },
+    )
+
+
+def _sealed(df: DataFrame, keep: list[str], columns: dict[str, Column]) -> DataFrame:
+    """Select ``keep`` and ``columns``, the latter through a one-row generator.
+
+    The optimizer pushes filters below projections by repeating the projected
+    expressions in them, and these are nested deeply. It does not push filters
+    below a generator that makes their columns.
+    """
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select(*keep, F.inline(F.array(row)))
 
 
 def rule_hits(max_object_size: int) -> list[tuple[str, str | None, Column]]:
@@ -143,18 +157,20 @@ def decode_metadata(
             for code, field, broken in rules
         ]
     )
-    judged = parsed.withColumn("_verdict", verdict).withColumns(
+    judged = parsed.withColumn("_verdict", verdict)
+    code = F.col("_verdict.code")
+    fields = {c: F.when(code.isNull(), F.col(c)) for c in ("bucket", "object_key", "size", "etag")}
+    return _sealed(
+        judged,
+        df.columns,
         {
-            "error_code": F.col("_verdict.code"),
+            **fields,
+            "location": object_location(fields["bucket"], fields["object_key"]),
+            "error_code": code,
             "error_field": F.col("_verdict.field"),
             "error_message": F.col("_verdict.message"),
-        }
+        },
     )
-    ok = F.col("error_code").isNull()
-    judged = judged.withColumns({c: F.when(ok, F.col(c)) for c in ("bucket", "object_key", "size", "etag")})
-    return judged.withColumn(
-        "location", object_location(F.col("bucket"), F.col("object_key"))
-    ).drop("_verdict", "json_ok")
 
 
 def _message(code: str, field: str | None, maximum: int) -> Column:

@@ -12,6 +12,7 @@ from ackline.operators.records import fail
 from ackline.params import MAX_OBJECT_SIZE, STREAM_IDLE_TIMEOUT_MS, positive
 from ackline.plans.scan import Running, prefix_scan
 from ackline.schemas import OBJECT, TOKEN
+from ackline.session import cut
 
 REQUEST = [*OBJECT, "size", "etag"]
 CHUNK_BLOCK_BITS = 16
@@ -285,10 +286,16 @@ def object_completions(
     """One completion per record: success only if decode, transfer and processor succeed.
 
     ``records`` carry the delivery token, ``seq`` and the metadata payload; the
-    reason is the text of the first stage that failed.
+    reason is the text of the first stage that failed. The decoded metadata is
+    stored once: both the verification and the final join start from it.
     """
-    decoded = decode_metadata(records, payload, max_object_size=max_object_size)
     token = [*TOKEN, "seq"]
+    decoded = cut(
+        decode_metadata(records, payload, max_object_size=max_object_size).select(
+            *token, *REQUEST, "error_code", "error_message"
+        ),
+        "decoded-metadata",
+    )
     rejected = fail(
         decoded.filter(F.col("error_code").isNotNull()), F.col("error_message")
     ).select(*token, "outcome", "reason")

@@ -182,11 +182,16 @@ SELECT 'end', bucket, object_key, 1000000, 0, CAST(n * 100 + 200 + shift + CASE
 }
 
 
+# Views with joins or heavy expressions, stored as tables at first use; the
+# others are projections and unions of tables and stay lazy.
+STORED = ("fx_epochs", "deliveries", "completions", "object_meta", "chunks")
+
+
 class Inputs:
-    """The views over one data folder; each is stored as a log table at first use.
+    """The views over one data folder.
 
-    The logs of a real deployment are tables, and several queries read each of
-    them, so a view is evaluated once per session and folder.
+    The logs of a real deployment are tables that several queries read, so those
+    that take work to derive are evaluated once per session and folder.
     """
 
     _stored: dict[tuple[str, str, str], DataFrame] = {}
@@ -197,11 +202,11 @@ class Inputs:
         self._registered: set[str] = set()
 
     def __getitem__(self, name: str) -> DataFrame:
-        def view() -> DataFrame:
-            self._register(name)
-            return self.spark.table(name)
-
-        return self.store(name, view)
+        if name not in VIEWS:
+            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name in STORED:
+            return self.store(name, lambda: self._view(name))
+        return self._view(name)
 
     def store(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """The stored table ``name``, made on first use."""
@@ -214,17 +219,12 @@ class Inputs:
         """The epoch intervals of an assignment log."""
         return self.store(f"intervals-{log}", lambda: epoch_intervals(self[log]))
 
-    def _register(self, name: str) -> None:
-        if name in self._registered:
-            return
-        self._registered.add(name)
-        if name not in VIEWS:
-            self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet").createOrReplaceTempView(name)
-            return
+    def _view(self, name: str) -> DataFrame:
         for needed in DEPENDS.get(name, TABLES):
-            self._register(needed)
-        body = SPARK_VIEWS.get(name, VIEWS[name])
-        self.spark.sql(body).createOrReplaceTempView(name)
+            if needed not in self._registered:
+                self[needed].createOrReplaceTempView(needed)
+                self._registered.add(needed)
+        return self.spark.sql(SPARK_VIEWS.get(name, VIEWS[name]))
 
 
 def with_views(names: list[str], query: str) -> str:
@@ -240,6 +240,7 @@ def with_views(names: list[str], query: str) -> str:
     for name in names:
         add(name)
     parts = [f"{name} AS ({VIEWS[name]}\n)" for name in ordered]
-    return "WITH " + ",\n".join([*parts, query.strip().removeprefix("WITH ")]) if query.strip().startswith(
-        "WITH "
-    ) else "WITH " + ",\n".join(parts) + "\n" + query.strip()
+    query = query.strip()
+    if query.startswith("WITH "):
+        return "WITH " + ",\n".join([*parts, query.removeprefix("WITH ")])
+    return "WITH " + ",\n".join(parts) + "\n" + query
