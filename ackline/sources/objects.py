@@ -139,9 +139,9 @@ def fetch_small_objects(
 
 
 def _relative(root: str):
-    """Path below ``root``, whichever way the scheme is written."""
-    tail = root.split(":", 1)[-1].rstrip("/").lstrip("/")
-    return F.url_decode(F.replace(F.element_at(F.split("path", F.lit(f"{tail}/"), 2), 2), F.lit("+"), F.lit("%2B")))
+    """Path below ``root``, whichever way its scheme is written."""
+    folder = F.lit(root.split(":", 1)[-1].strip("/") + "/")
+    return F.col("path").substr(F.instr("path", folder) + F.length(folder), F.length("path"))
 
 
 def write_objects(objects: DataFrame, root: str) -> None:
