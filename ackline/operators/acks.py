@@ -181,26 +181,32 @@ def accepted_deliveries(deliveries: DataFrame, intervals: DataFrame) -> DataFram
 
 
 def _judge_order(deliveries: DataFrame, intervals: DataFrame) -> DataFrame:
-    """Verdicts up to ``late``: at or below the last accepted offset of its epoch."""
-    renamed = deliveries.withColumnRenamed("epoch", "_claimed")
-    stamped = stamp_epochs(renamed, intervals).withColumnRenamed("epoch", "_in_force")
-    stamped = stamped.withColumnRenamed("_claimed", "epoch")
-    matches = F.coalesce(F.col("epoch") == F.col("_in_force"), F.lit(False))
+    """Verdicts up to ``late``: at or below the last accepted offset of its epoch.
+
+    Deliveries of the epoch in force, normally nearly all, are told apart by an
+    equality lookup; only the others need the as-of scan that names the epoch
+    they should have had.
+    """
+    fenced = fence(deliveries, intervals)
     # Rejected offsets never exceed the running maximum, so it is the maximum
     # over accepted deliveries as well.
     ordered = prefix_scan(
-        stamped.withColumn("_valid", F.when(matches, F.col("record_offset"))),
+        fenced.filter("is_current").drop("is_current"),
         "seq",
-        [Running("max", F.col("_valid"), "_last", exclusive=True)],
+        [Running("max", F.col("record_offset"), "_last", exclusive=True)],
         group=PROGRESS,
     )
-    verdict = (
-        F.when(F.col("_in_force").isNull(), "unassigned")
-        .when(~matches, "epoch_mismatch")
-        .when(F.col("record_offset") <= F.col("_last"), "late")
-        .otherwise("ok")
+    late = F.when(F.col("record_offset") <= F.col("_last"), "late").otherwise("ok")
+    valid = ordered.withColumns({"_in_force": F.col("epoch"), "verdict": late})
+
+    strays = fenced.filter(~F.col("is_current")).drop("is_current").withColumnRenamed("epoch", "_claimed")
+    stamped = stamp_epochs(strays, intervals).withColumnsRenamed(
+        {"epoch": "_in_force", "_claimed": "epoch"}
+    )
+    wrong = F.when(F.col("_in_force").isNull(), "unassigned").otherwise("epoch_mismatch")
+    return valid.unionByName(
+        stamped.withColumns({"_last": F.lit(None).cast("long"), "verdict": wrong})
     )
-    return ordered.withColumn("verdict", verdict).drop("_valid")
 
 
 def _delivery_message():
@@ -404,9 +410,12 @@ def record_states(
         deliveries.select(*TOKEN, "seq"), current_assignments(intervals), PROGRESS, "left_semi", spread=["record_offset"]
     )
     done = _successes(completions).groupBy(*TOKEN).agg(F.max("seq").alias("_success"))
-    marks = (
-        merge_blocks(prefix_blocks(deliveries, completions))
-        .join(committed.select(*PROGRESS, "committed_offset"), PROGRESS, "full")
+    # A few longs per epoch: stored, Catalyst sees their true size and broadcasts them.
+    marks = cut(
+        merge_blocks(prefix_blocks(deliveries, completions)).join(
+            committed.select(*PROGRESS, "committed_offset"), PROGRESS, "full"
+        ),
+        "prefix-marks",
     )
     joined = lookup_join(
         live.join(done, TOKEN, "left"), marks, PROGRESS, "left", spread=["record_offset"]
@@ -435,9 +444,9 @@ def replay_set(
     records that had already succeeded beyond a gap.
     """
     choice("auto_offset_reset", auto_offset_reset, ("earliest", "latest", "error"))
-    resumed = lookup_join(
-        records, committed.select(*PARTITION, "committed_offset"), PARTITION, "left", spread=["record_offset"]
-    )
+    # One row per partition: stored, Catalyst sees its true size and broadcasts it.
+    marks = cut(committed.select(*PARTITION, "committed_offset"), "committed-offsets")
+    resumed = lookup_join(records, marks, PARTITION, "left", spread=["record_offset"])
     missing = F.col("committed_offset").isNull()
     if auto_offset_reset == "earliest":
         wanted = missing | (F.col("record_offset") >= F.col("committed_offset"))

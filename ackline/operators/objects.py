@@ -286,8 +286,8 @@ def object_completions(
     """One completion per record: success only if decode, transfer and processor succeed.
 
     ``records`` carry the delivery token, ``seq`` and the metadata payload; the
-    reason is the text of the first stage that failed. The decoded metadata is
-    stored once: both the verification and the final join start from it.
+    reason is the text of the first stage that failed. Decoded metadata and
+    verdicts are stored on the way: several branches start from each.
     """
     token = [*TOKEN, "seq"]
     decoded = cut(
@@ -305,7 +305,12 @@ def object_completions(
         *[F.col(c).alias(f"_{c}") for c in REQUEST], "verdict", "message"
     )
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) if c == "etag" else F.col(c) == F.col(f"_{c}") for c in REQUEST]
-    judged = accepted.join(verdicts, same, "left")
+    # Many records may ask for one object; AQE splits such a skewed join. Stored,
+    # so that user code runs over rows that are not computed twice.
+    judged = cut(
+        accepted.join(verdicts, same, "left").select(*token, *REQUEST, "verdict", "message"),
+        "judged-objects",
+    )
     broken = fail(judged.filter(F.col("verdict") != "ok"), F.col("message")).select(*token, "outcome", "reason")
     verified = judged.filter(F.col("verdict") == "ok").select(*token, *REQUEST)
     processed = run_object_processor(verified, processor, worker_count=worker_count)

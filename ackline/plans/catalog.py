@@ -293,11 +293,11 @@ def final_snapshot(inputs: Inputs) -> DataFrame:
 
 
 def prefix_advances(inputs: Inputs) -> DataFrame:
-    return acks.prefix_advances(*_acks(inputs), positions=_positions(inputs))
+    return acks.prefix_advances(*_acks(inputs))
 
 
 def completion_effects(inputs: Inputs) -> DataFrame:
-    return acks.completion_effects(*_acks(inputs), positions=_positions(inputs))
+    return acks.completion_effects(*_acks(inputs))
 
 
 def failed_completions(inputs: Inputs) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 16
@@ -25,16 +25,12 @@ def lookup_join(
     from the hash of ``spread``, so a hot key is split over ``salts`` tasks. No
     broadcast is forced: Catalyst broadcasts the lookup when its size is under
     ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides otherwise.
+    A lookup read from a table has an exact size; one computed by aggregation is
+    estimated far too large, so store it first (``session.cut``) where ``rows``
+    is big.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"lookup_join cannot preserve the right side: {how}")
-    salted = rows.withColumn("_salt", salt_of(spread, salts))
-    return salted.join(repeat_by_salt(lookup, salts), [*on, "_salt"], how).drop("_salt")
-
-
-def salt_of(spread: Sequence[str], salts: int) -> Column:
-    return F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-
-
-def repeat_by_salt(lookup: DataFrame, salts: int) -> DataFrame:
-    return lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

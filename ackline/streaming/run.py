@@ -27,8 +27,9 @@ Sink = Callable[[DataFrame], DataFrame]
 
 _ACKS = (
     "topic string, partition_id int, epoch bigint, record_offset bigint, seq bigint, "
-    "outcome string, reason string, batch_id bigint"
+    "outcome string, reason string"
 )
+_ATTEMPTS = _ACKS + ", batch bigint, run bigint"
 
 
 @dataclass(frozen=True)
@@ -47,8 +48,11 @@ class RunPaths:
 
 
 def read_acks(spark: SparkSession, paths: RunPaths) -> DataFrame:
-    """The ack table of a started run; empty before its first batch."""
-    return spark.read.schema(_ACKS + ", attempt string").parquet(paths.acks)
+    """The ack table of a started run; empty before its first batch.
+
+    Partitioned by ``batch`` and ``run``, the epoch of the run that wrote it.
+    """
+    return spark.read.schema(_ATTEMPTS).parquet(paths.acks)
 
 
 def committed_offsets(acks: DataFrame) -> DataFrame:
@@ -81,9 +85,7 @@ def run_with_sink(
     acks are written; Spark then leaves the batch uncommitted and repeats it.
     """
 
-    # An empty table to begin with: readers never meet a missing folder.
-    empty = records.sparkSession.createDataFrame([], _ACKS)
-    empty.write.mode("ignore").parquet(f"{paths.acks}/attempt=start")
+    _seed(records.sparkSession, f"{paths.acks}/batch=-1/run=0")
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -107,10 +109,12 @@ def _run_batch(
     max_payload_bytes: int,
     memory_budget_bytes: int,
 ) -> None:
-    attempt_path = f"{paths.acks}/attempt={batch_id}-{epoch}"
-    earlier = read_acks(spark, paths).filter(
-        (F.col("batch_id") == batch_id) & (F.col("attempt") != f"{batch_id}-{epoch}")
-    )
+    # Only this batch's own attempts are listed and read.
+    batch_path = f"{paths.acks}/batch={batch_id}"
+    attempt_path = f"{batch_path}/run={epoch}"
+    _seed(spark, f"{batch_path}/run=0")
+    attempts = spark.read.schema(_ATTEMPTS).option("basePath", paths.acks).parquet(batch_path)
+    earlier = attempts.filter(F.col("run") != epoch)
     resumed = lookup_join(
         batch, committed_offsets(earlier), PARTITION, "left", spread=["record_offset"]
     )
@@ -130,13 +134,17 @@ def _run_batch(
     (
         guarded.select(*TOKEN, "seq")
         .join(outcomes, TOKEN, "left")
-        .withColumn("batch_id", F.lit(batch_id).cast("long"))
         .write.mode("overwrite")
         .parquet(attempt_path)
     )
     _stop_on_failure(spark, attempt_path)
 
 
+def _seed(spark: SparkSession, path: str) -> None:
+    """An empty attempt, so that readers never meet a missing folder."""
+    spark.createDataFrame([], _ACKS).write.mode("ignore").parquet(path)
+
+
 def _stop_on_failure(spark: SparkSession, attempt_path: str) -> None:
     location = record_location(F.col("topic"), F.col("partition_id"), F.col("record_offset"))
     # Fixed value: error text.
