@@ -274,21 +274,37 @@ def completion_effects(
     stale = fenced.filter(~F.col("is_current")).select(*TOKEN, "seq", F.lit("stale").alias("effect"))
     live = fenced.filter("is_current").select(*TOKEN, "seq")
 
-    # First successes are rows of `positions` already.
-    firsts = positions.filter(F.col("success_seq").isNotNull()).select(
-        *TOKEN, F.col("success_seq").alias("seq"), "popped_seq"
+    # First successes are rows of `positions` already. Of those that close a gap
+    # together, the one whose own seq it is moved the prefix.
+    firsts = positions.filter(F.col("success_seq").isNotNull())
+    moves = F.coalesce(F.col("popped_seq") == F.col("success_seq"), F.lit(False))
+    waiting = firsts.filter(~moves).select(
+        *TOKEN, F.col("success_seq").alias("seq"), F.lit("beyond_gap").alias("cause")
+    )
+    stores = (
+        positions.filter(F.col("popped_seq").isNotNull())
+        .groupBy(*PROGRESS, F.col("popped_seq").alias("seq"))
+        .agg(
+            F.max(F.when(moves, F.col("record_offset"))).alias("record_offset"),
+            F.max("record_offset").alias("_top"),
+        )
+    )
+    no_next = F.col("_top") == F.lit(I64_MAX)
+    stores = stores.select(
+        *TOKEN,
+        "seq",
+        F.when(no_next, "offset_overflow").otherwise("store_next").alias("effect"),
+        F.when(~no_next, F.try_add("_top", F.lit(1))).alias("safe_next_offset"),
     )
-    moves = F.coalesce(F.col("popped_seq") == F.col("seq"), F.lit(False))
-    moved = firsts.filter(moves).drop("popped_seq")
-    waiting = firsts.filter(~moves).select(*TOKEN, "seq", F.lit("beyond_gap").alias("cause"))
 
     # The rest are repeats and strays. The key of this anti join includes seq, and
     # tokens are reduced before they are looked up: no token gets a task of its own.
-    others = live.join(firsts.select(*TOKEN, "seq"), [*TOKEN, "seq"], "left_anti")
+    first_keys = firsts.select(*TOKEN, F.col("success_seq").alias("seq"))
+    others = cut(live.join(first_keys, [*TOKEN, "seq"], "left_anti"), "other-completions")
     known = positions.withColumnRenamed("seq", "_delivered").join(
         others.select(*TOKEN).distinct(), TOKEN, "left_semi"
     )
-    placed = lookup_join(others, known, TOKEN, "left", spread=["seq"])
+    placed = cut(lookup_join(others, known, TOKEN, "left", spread=["seq"]), "placed-completions")
     tracked = F.coalesce(F.col("_delivered") < F.col("seq"), F.lit(False))
     repeats = placed.filter(tracked).select(
         *TOKEN,
@@ -297,24 +313,12 @@ def completion_effects(
     )
     kept = waiting.unionByName(repeats).withColumn("effect", F.lit("unchanged"))
 
-    advances = _advances(positions)
-    tops = positions.filter(
-        (F.col("record_offset") == F.lit(I64_MAX)) & F.col("popped_seq").isNotNull()
-    ).select(*PROGRESS, F.col("popped_seq").alias("seq"), F.lit(True).alias("_top"))
-    stores = (
-        moved.join(advances, [*PROGRESS, "seq"], "left")
-        .join(tops, [*PROGRESS, "seq"], "left")
-        .withColumn("effect", F.when(F.col("_top"), "offset_overflow").otherwise("store_next"))
-        .withColumn("safe_next_offset", F.when(F.col("_top").isNull(), F.col("safe_next_offset")))
-        .drop("_top")
-    )
-
     # A success of an offset never delivered: harmless below the safe offset of
     # its moment, which is an as-of lookup on the advances of its epoch.
     strays = placed.filter(~tracked).select(*TOKEN, "seq")
     asof = prefix_scan(
         strays.withColumn("_stray", F.lit(True)).unionByName(
-            advances.withColumnRenamed("safe_next_offset", "_safe"), allowMissingColumns=True
+            _advances(positions).withColumnRenamed("safe_next_offset", "_safe"), allowMissingColumns=True
         ),
         "seq",
         [Running("last", F.col("_safe"), "_safe_before", exclusive=True)],

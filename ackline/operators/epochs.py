@@ -96,6 +96,7 @@ def stamp_epochs(events: DataFrame, intervals: DataFrame, *, method: str = "auto
         [Running("last", F.col("_mark"), "epoch")],
         group=PARTITION,
         ties=["_after"],
+        tied_values=False,
     )
     return stamped.filter("_event").select(
         *events.columns, F.when(F.col("epoch") >= 0, F.col("epoch")).alias("epoch")

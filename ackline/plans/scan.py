@@ -74,10 +74,13 @@ def prefix_scan(
     reverse: bool = False,
     block_bits: Sequence[int] = BLOCK_BITS,
     keep_block: str | None = None,
+    tied_values: bool = True,
 ) -> DataFrame:
     """Add one column per entry of ``runs``, scanned by ``key`` within ``group``.
 
-    ``ties`` orders rows that share a key. ``reverse`` scans from the highest
+    ``ties`` orders rows that share a key; ``tied_values=False`` promises that no
+    two of them have a ``last`` value, which keeps the totals a hash aggregate.
+    ``reverse`` scans from the highest
     key down, so an exclusive ``last`` is the value of the following row.
     ``group`` columns must not be null. ``keep_block`` keeps the block number
     under that name; the result is partitioned by group and block, so a join on
@@ -95,7 +98,7 @@ def prefix_scan(
     window = Window.partitionBy(*cut).orderBy(*ordering)
     local = based.withColumns({r.name: r.local(window) for r in runs})
 
-    position = F.struct(key, *ties) if ties else F.col(key)
+    position = F.struct(key, *ties) if ties and tied_values else F.col(key)
     totals = based.groupBy(*cut).agg(
         *[r.total(position, reverse).alias(f"_total{len(block_bits)}_{i}") for i, r in enumerate(runs)]
     )
