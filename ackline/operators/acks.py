@@ -9,7 +9,7 @@ the safe offset to ``max{o : R(o) = s} + 1`` if there is such an ``o``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ackline.functions.records import partition_text, record_location
@@ -17,12 +17,9 @@ from ackline.operators.epochs import current_assignments, fence, stamp_epochs
 from ackline.params import COMMIT_INTERVAL_MS, I64_MAX, choice, positive
 from ackline.plans.joins import lookup_join
 from ackline.plans.scan import Running, prefix_scan
-from ackline.schemas import PARTITION, PROGRESS, TOKEN
+from ackline.schemas import PARTITION, PROGRESS, PROGRESS_KEYS, TOKEN, TOKEN_KEYS
 from ackline.session import cut
 
-# Offsets per block of the safe-prefix aggregate.
-OFFSET_BLOCK_BITS = 16
-
 
 def _successes(completions: DataFrame) -> DataFrame:
     return completions.filter(F.col("outcome") == "succeeded")
@@ -30,7 +27,8 @@ def _successes(completions: DataFrame) -> DataFrame:
 
 def first_success(completions: DataFrame) -> DataFrame:
     """The first success of every token; repeats change nothing."""
-    return _successes(completions).groupBy(*TOKEN).agg(F.min("seq").alias("first_seq"))
+    firsts = _successes(completions).groupBy(*TOKEN_KEYS).agg(F.min("seq").alias("first_seq"))
+    return firsts.select(*TOKEN, "first_seq")
 
 
 # -- safe prefix -------------------------------------------------------------
@@ -42,50 +40,55 @@ def safe_prefix(deliveries: DataFrame, completions: DataFrame, intervals: DataFr
     One row per ``(topic, partition_id, epoch)`` current at the end of the log
     whose first delivered record has succeeded. ``deliveries`` are accepted ones.
     """
-    blocks = prefix_blocks(deliveries, completions)
-    return live_prefix(merge_blocks(blocks), intervals)
+    return live_prefix(safe_offsets(deliveries, completions), intervals)
 
 
-def prefix_blocks(deliveries: DataFrame, completions: DataFrame) -> DataFrame:
-    """Prefix summary of each block of ``2**16`` offsets of an epoch.
+def safe_offsets(deliveries: DataFrame, completions: DataFrame) -> DataFrame:
+    """``safe_next_offset`` of every epoch, current or not.
 
-    Successes are reduced to one row per token first; then deliveries and
-    successes meet in one shuffle by block, so a partition of any size spreads
-    over as many tasks as it has blocks. Columns: ``first_open`` (lowest
-    delivered offset without success), ``last_ok`` (highest delivered offset
-    below ``first_open``; never ``2**63 - 1``, which has no next offset).
+    Deliveries and successes meet in one aggregation by token, which combines
+    repeats before its shuffle; the first gap of an epoch and the last delivery
+    below it are plain minima and maxima, so no epoch is ever gathered or sorted.
+    Everything below the first gap has succeeded, so the second pass reads the
+    deliveries alone. ``2**63 - 1`` has no next offset and is never included.
     """
-    reduced = _successes(completions).groupBy(*TOKEN).agg(F.max("seq").alias("_success"))
     delivered = deliveries.select(*TOKEN, F.col("seq").alias("_delivery"))
+    succeeded = _successes(completions).select(*TOKEN, F.col("seq").alias("_success"))
     tokens = (
-        delivered.unionByName(reduced, allowMissingColumns=True)
-        .withColumn("offset_block", F.shiftright("record_offset", OFFSET_BLOCK_BITS))
-        .repartition(*PROGRESS, "offset_block")
-        .groupBy(*PROGRESS, "offset_block", "record_offset")
+        delivered.unionByName(succeeded, allowMissingColumns=True)
+        .groupBy(*TOKEN_KEYS)
         .agg(F.min("_delivery").alias("_delivery"), F.max("_success").alias("_success"))
-        .filter(F.col("_delivery").isNotNull())
     )
-    done = F.coalesce(F.col("_success") > F.col("_delivery"), F.lit(False))
-    closed = F.col("first_open").isNull() | (F.col("record_offset") < F.col("first_open"))
-    window = Window.partitionBy(*PROGRESS, "offset_block")
+    open_ = F.col("_success").isNull() | (F.col("_success") <= F.col("_delivery"))
+    # One row per epoch: stored, Catalyst sees its true size and broadcasts it.
+    gaps = cut(
+        tokens.filter(F.col("_delivery").isNotNull() & open_)
+        .groupBy(*PROGRESS_KEYS)
+        .agg(F.min("record_offset").alias("_gap")),
+        "first-gaps",
+    )
+    below = F.col("_gap").isNull() | (F.col("record_offset") < F.col("_gap"))
     return (
-        tokens.withColumn("first_open", F.min(F.when(~done, F.col("record_offset"))).over(window))
-        .groupBy(*PROGRESS, "offset_block")
-        .agg(
-            F.min("first_open").alias("first_open"),
-            F.max(F.when(closed & (F.col("record_offset") < F.lit(I64_MAX)), F.col("record_offset"))).alias("last_ok"),
-        )
+        lookup_join(deliveries.select(*TOKEN), gaps, PROGRESS_KEYS, "left", spread=["record_offset"])
+        .filter(below & (F.col("record_offset") < F.lit(I64_MAX)))
+        .groupBy(*PROGRESS_KEYS)
+        .agg((F.max("record_offset") + 1).alias("safe_next_offset"))
+        .select(*PROGRESS, "safe_next_offset")
     )
 
 
 def merge_blocks(blocks: DataFrame) -> DataFrame:
-    """Combine block summaries to ``safe_next_offset`` per epoch."""
-    gaps = blocks.groupBy(*PROGRESS).agg(F.min("first_open").alias("_gap"))
+    """Combine summaries of offset blocks to ``safe_next_offset`` per epoch.
+
+    ``first_open`` is the lowest delivered offset of a block without success,
+    ``last_ok`` its highest delivered offset below that.
+    """
+    gaps = blocks.groupBy(*PROGRESS_KEYS).agg(F.min("first_open").alias("_gap"))
     reachable = F.col("_gap").isNull() | (F.col("last_ok") < F.col("_gap"))
     return (
         lookup_join(blocks, gaps, PROGRESS, "inner", spread=["offset_block"])
         .filter(reachable & F.col("last_ok").isNotNull())
-        .groupBy(*PROGRESS)
+        .groupBy(*PROGRESS_KEYS)
         .agg((F.max("last_ok") + 1).alias("safe_next_offset"))
     )
 
@@ -115,7 +118,7 @@ def prefix_positions(deliveries: DataFrame, completions: DataFrame, intervals: D
         succeeded,
         "record_offset",
         [Running("max", F.coalesce("success_seq", never), "popped_seq")],
-        group=PROGRESS,
+        group=PROGRESS_KEYS,
     )
     return scanned.withColumn("popped_seq", F.when(F.col("popped_seq") < never, F.col("popped_seq")))
 
@@ -126,18 +129,18 @@ def _first_success_after(deliveries: DataFrame, successes: DataFrame) -> DataFra
     Successes are reduced per token before the join. Only tokens whose first
     success came before their delivery look at all their successes again.
     """
-    firsts = successes.groupBy(*TOKEN).agg(F.min("seq").alias("_first"))
-    joined = deliveries.join(firsts, TOKEN, "left")
+    firsts = successes.groupBy(*TOKEN_KEYS).agg(F.min("seq").alias("_first"))
+    joined = deliveries.join(firsts, TOKEN_KEYS, "left")
     early = joined.filter(F.col("_first") <= F.col("seq")).select(*TOKEN, F.col("seq").alias("_delivered"))
     later = (
-        lookup_join(successes, early, TOKEN, "inner", spread=["seq"])
+        lookup_join(successes, early, TOKEN_KEYS, "inner", spread=["seq"])
         .filter(F.col("seq") > F.col("_delivered"))
-        .groupBy(*TOKEN)
+        .groupBy(*TOKEN_KEYS)
         .agg(F.min("seq").alias("_later"))
     )
     in_time = F.when(F.col("_first") > F.col("seq"), F.col("_first"))
     return (
-        joined.join(later, TOKEN, "left")
+        joined.join(later, TOKEN_KEYS, "left")
         .withColumn("success_seq", F.coalesce(in_time, F.col("_later")))
         .select(*TOKEN, "seq", "success_seq")
     )
@@ -162,12 +165,12 @@ def delivery_violations(
     )
     # A token can be repeated any number of times: reduce before looking it up.
     repeated = late.select(*TOKEN).distinct()
-    known = pending.join(repeated, TOKEN, "left_semi")
+    known = pending.join(repeated, TOKEN_KEYS, "left_semi")
     still = (F.col("_accepted") < F.col("seq")) & (
         F.col("popped_seq").isNull() | (F.col("popped_seq") > F.col("seq"))
     )
     settled = (
-        lookup_join(late, known, TOKEN, "left", spread=["seq"])
+        lookup_join(late, known, TOKEN_KEYS, "left", spread=["seq"])
         .withColumn("verdict", F.when(still, "duplicate").otherwise("non_monotonic"))
         .select(judged.columns)
     )
@@ -194,7 +197,7 @@ def _judge_order(deliveries: DataFrame, intervals: DataFrame) -> DataFrame:
         fenced.filter("is_current").drop("is_current"),
         "seq",
         [Running("max", F.col("record_offset"), "_last", exclusive=True)],
-        group=PROGRESS,
+        group=PROGRESS_KEYS,
     )
     late = F.when(F.col("record_offset") <= F.col("_last"), "late").otherwise("ok")
     valid = ordered.withColumns({"_in_force": F.col("epoch"), "verdict": late})
@@ -252,7 +255,7 @@ def prefix_advances(
 def _advances(positions: DataFrame) -> DataFrame:
     return (
         positions.filter(F.col("popped_seq").isNotNull() & (F.col("record_offset") < F.lit(I64_MAX)))
-        .groupBy(*PROGRESS, F.col("popped_seq").alias("seq"))
+        .groupBy(*PROGRESS_KEYS, F.col("popped_seq").alias("seq"))
         .agg((F.max("record_offset") + 1).alias("safe_next_offset"))
     )
 
@@ -283,7 +286,7 @@ def completion_effects(
     )
     stores = (
         positions.filter(F.col("popped_seq").isNotNull())
-        .groupBy(*PROGRESS, F.col("popped_seq").alias("seq"))
+        .groupBy(*PROGRESS_KEYS, F.col("popped_seq").alias("seq"))
         .agg(
             F.max(F.when(moves, F.col("record_offset"))).alias("record_offset"),
             F.max("record_offset").alias("_top"),
@@ -300,11 +303,11 @@ def completion_effects(
     # The rest are repeats and strays. The key of this anti join includes seq, and
     # tokens are reduced before they are looked up: no token gets a task of its own.
     first_keys = firsts.select(*TOKEN, F.col("success_seq").alias("seq"))
-    others = cut(live.join(first_keys, [*TOKEN, "seq"], "left_anti"), "other-completions")
+    others = cut(live.join(first_keys, ["seq", *TOKEN_KEYS], "left_anti"), "other-completions")
     known = positions.withColumnRenamed("seq", "_delivered").join(
         others.select(*TOKEN).distinct(), TOKEN, "left_semi"
     )
-    placed = cut(lookup_join(others, known, TOKEN, "left", spread=["seq"]), "placed-completions")
+    placed = cut(lookup_join(others, known, TOKEN_KEYS, "left", spread=["seq"]), "placed-completions")
     tracked = F.coalesce(F.col("_delivered") < F.col("seq"), F.lit(False))
     repeats = placed.filter(tracked).select(
         *TOKEN,
@@ -322,7 +325,7 @@ def completion_effects(
         ),
         "seq",
         [Running("last", F.col("_safe"), "_safe_before", exclusive=True)],
-        group=PROGRESS,
+        group=PROGRESS_KEYS,
     ).filter("_stray")
     below = F.coalesce(F.col("record_offset") < F.col("_safe_before"), F.lit(False))
     unmatched = asof.select(
@@ -386,8 +389,8 @@ def committed_by_interval(
     advances = prefix_advances(deliveries, completions, intervals, positions=positions)
     times = _successes(completions).select(*PROGRESS, "seq", "ts")
     return (
-        advances.join(times, [*PROGRESS, "seq"])
-        .groupBy(*PROGRESS, F.window("ts", f"{interval_ms} milliseconds").alias("_w"))
+        advances.join(times, ["seq", *PROGRESS_KEYS])
+        .groupBy(*PROGRESS_KEYS, F.window("ts", f"{interval_ms} milliseconds").alias("_w"))
         .agg(F.max("safe_next_offset").alias("committed_offset"))
         .select(
             *PROGRESS,
@@ -413,16 +416,16 @@ def record_states(
     live = lookup_join(
         deliveries.select(*TOKEN, "seq"), current_assignments(intervals), PROGRESS, "left_semi", spread=["record_offset"]
     )
-    done = _successes(completions).groupBy(*TOKEN).agg(F.max("seq").alias("_success"))
+    done = _successes(completions).groupBy(*TOKEN_KEYS).agg(F.max("seq").alias("_success"))
     # A few longs per epoch: stored, Catalyst sees their true size and broadcasts them.
     marks = cut(
-        merge_blocks(prefix_blocks(deliveries, completions)).join(
+        safe_offsets(deliveries, completions).join(
             committed.select(*PROGRESS, "committed_offset"), PROGRESS, "full"
         ),
         "prefix-marks",
     )
     joined = lookup_join(
-        live.join(done, TOKEN, "left"), marks, PROGRESS, "left", spread=["record_offset"]
+        live.join(done, TOKEN_KEYS, "left"), marks, PROGRESS, "left", spread=["record_offset"]
     )
     state = (
         F.when(F.col("record_offset") < F.col("committed_offset"), "COMMITTED")
@@ -475,11 +478,11 @@ def replay_set(
 
 def in_flight(deliveries: DataFrame, completions: DataFrame, intervals: DataFrame) -> DataFrame:
     """Delivered but not succeeded, per current assignment."""
-    done = _successes(completions).groupBy(*TOKEN).agg(F.max("seq").alias("_success"))
+    done = _successes(completions).groupBy(*TOKEN_KEYS).agg(F.max("seq").alias("_success"))
     open_ = (
-        deliveries.join(done, TOKEN, "left")
+        deliveries.join(done, TOKEN_KEYS, "left")
         .filter(F.col("_success").isNull() | (F.col("_success") <= F.col("seq")))
-        .groupBy(*PROGRESS)
+        .groupBy(*PROGRESS_KEYS)
         .agg(
             F.count(F.lit(1)).alias("n_records"),
             F.sum("accounted_bytes").alias("n_bytes"),

@@ -93,7 +93,7 @@ def prefix_scan(
         return df.withColumns({r.name: r.combined(r.local(window), None) for r in runs})
 
     block = keep_block or f"_{key.strip('_')}_block"
-    cut = [*group, block]
+    cut = [block, *group]
     based = df.withColumn(block, F.shiftright(F.col(key).cast("long"), int(block_bits[0])))
     window = Window.partitionBy(*cut).orderBy(*ordering)
     local = based.withColumns({r.name: r.local(window) for r in runs})

@@ -100,3 +100,8 @@ PARTITION = ["topic", "partition_id"]
 PROGRESS = [*PARTITION, "epoch"]
 TOKEN = [*PROGRESS, "record_offset"]
 OBJECT = ["bucket", "object_key"]
+
+# The same keys for joins, groupings and windows: the most selective number comes
+# first, so that sorts compare prefixes of it and rarely get to the topic text.
+PROGRESS_KEYS = ["epoch", "partition_id", "topic"]
+TOKEN_KEYS = ["record_offset", *PROGRESS_KEYS]

@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ackline.operators.acks import OFFSET_BLOCK_BITS
 from ackline.params import I64_MAX
 from ackline.schemas import PROGRESS, TOKEN
 
+# Offsets per block of state.
+OFFSET_BLOCK_BITS = 16
 BLOCK = [*PROGRESS, "offset_block"]
 _STATE = (
     "last_ok bigint, version bigint, offsets array<bigint>, delivered array<bigint>, succeeded array<bigint>"

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ackline.functions.records import record_location
-from ackline.operators.acks import merge_blocks, prefix_blocks
+from ackline.operators.acks import safe_offsets
 from ackline.operators.records import payload_guard
 from ackline.params import MAX_PAYLOAD_BYTES, MEMORY_BUDGET_BYTES
 from ackline.plans.joins import lookup_join
@@ -64,7 +64,7 @@ def committed_offsets(acks: DataFrame) -> DataFrame:
     one_epoch = acks.withColumn("epoch", F.lit(0).cast("long"))
     deliveries = one_epoch.select(*TOKEN, F.lit(0).cast("long").alias("seq"))
     completions = one_epoch.select(*TOKEN, F.lit(1).cast("long").alias("seq"), "outcome")
-    return merge_blocks(prefix_blocks(deliveries, completions)).select(
+    return safe_offsets(deliveries, completions).select(
         *PARTITION, F.col("safe_next_offset").alias("committed_offset")
     )
 
