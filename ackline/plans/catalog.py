@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -441,7 +442,7 @@ def stream_safe_prefix(inputs: Inputs) -> DataFrame:
 
 
 def _poisoned(first_epoch_only: bool) -> run.Sink:
-    """Sample sink: offset 40 of every partition's hundred fails in the first run."""
+    """Sample sink: offsets 401, 1401, ... fail in the first run."""
 
     def sink(delivered: DataFrame) -> DataFrame:
         poison = (F.col("record_offset") % 1000 == 401) & (F.col("epoch") == 1)
@@ -466,7 +467,7 @@ def _stream_run(inputs: Inputs, failing: bool) -> tuple[run.RunPaths, list[str]]
         )
         try:
             query.awaitTermination()
-        except Exception as error:  # noqa: BLE001 - the run is meant to fail closed
+        except StreamingQueryException as error:
             if not failing or epoch > 1:
                 raise
             errors.append(str(error))
@@ -493,6 +494,35 @@ def stream_replay(inputs: Inputs) -> DataFrame:
     )
 
 
+def run_with_object_processor(inputs: Inputs) -> DataFrame:
+    """A run over the object records; it fails closed, having acked every record."""
+    spark = inputs.spark
+    paths = run.RunPaths(workspace(spark, "object-run"))
+    none = F.lit(None)
+    log = inputs["object_records"].select(
+        *LOCATION,
+        (F.col("record_offset") * 10).alias("seq"),
+        none.cast("binary").alias("rec_key"),
+        F.col("payload_text").cast("binary").alias("payload"),
+        none.cast("array<struct<key string, value binary>>").alias("headers"),
+        none.cast("timestamp").alias("ts"),
+    )
+    write_record_log(log, f"{paths.root}/log")
+    query = run.run_with_object_processor(
+        stream_record_log(spark, f"{paths.root}/log"),
+        reject_by_size,
+        paths,
+        epoch=1,
+        max_object_size=MAX_OBJECT_SIZE,
+    )
+    try:
+        query.awaitTermination()
+    except StreamingQueryException as error:
+        if "downstream processing failed" not in str(error):
+            raise
+    return run.read_acks(spark, paths).select(*LOCATION, "outcome", "reason")
+
+
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "safe_prefix": safe_prefix,
     "read_record_log": read_record_log_query,
@@ -544,6 +574,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "run_object_processor": run_object_processor,
     "discard_completions": discard_completions,
     "run_with_sink": run_with_sink,
+    "run_with_object_processor": run_with_object_processor,
     "stream_replay": stream_replay,
 }
 

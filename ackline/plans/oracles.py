@@ -474,6 +474,13 @@ FROM decoded WHERE error_code IS NULL""",
         "",
         f"SELECT {_LOCATION}, 'succeeded' AS outcome, CAST(NULL AS VARCHAR) AS reason FROM records",
     ),
+    "run_with_object_processor": _q(
+        ["object_records"],
+        _DECODED,
+        f"""SELECT {_LOCATION}, CASE WHEN error_code IS NULL AND size % 7 <> 0 THEN 'succeeded' ELSE 'failed' END AS outcome,
+  CASE WHEN error_code IS NOT NULL THEN error_message
+       WHEN size % 7 = 0 THEN 'synthetic object failure of ' || bucket || '/' || object_key END AS reason FROM decoded""",
+    ),
     # The first run stops each partition at its first record that fails; the
     # second delivers everything from there on.
     "stream_replay": _q(

@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ackline.functions.metadata import decode_metadata
 from ackline.functions.records import record_location
 from ackline.operators.acks import safe_offsets
-from ackline.operators.records import payload_guard
-from ackline.params import MAX_PAYLOAD_BYTES, MEMORY_BUDGET_BYTES
+from ackline.operators.processing import Processor, run_object_processor
+from ackline.operators.records import discard, fail, payload_guard
+from ackline.params import MAX_OBJECT_SIZE, MAX_PAYLOAD_BYTES, MEMORY_BUDGET_BYTES
 from ackline.plans.joins import lookup_join
 from ackline.schemas import PARTITION, TOKEN
 
@@ -99,6 +101,50 @@ def run_with_sink(
     )
 
 
+def object_sink(
+    processor: Processor | None,
+    *,
+    max_object_size: int = MAX_OBJECT_SIZE,
+    worker_count: int | None = None,
+) -> Sink:
+    """A sink that decodes object metadata and calls ``processor`` on each valid one.
+
+    Records that do not decode fail with the error text and never reach it.
+    """
+
+    def sink(delivered: DataFrame) -> DataFrame:
+        decoded = decode_metadata(delivered, max_object_size=max_object_size)
+        rejected = fail(decoded.filter(F.col("error_code").isNotNull()), F.col("error_message"))
+        accepted = decoded.filter(F.col("error_code").isNull())
+        processed = run_object_processor(
+            accepted.select(*TOKEN, "bucket", "object_key", "size", "etag"), processor, worker_count=worker_count
+        )
+        columns = [*TOKEN, "outcome", "reason"]
+        return processed.select(*columns).unionByName(rejected.select(*columns))
+
+    return sink
+
+
+def run_with_object_processor(
+    records: DataFrame,
+    processor: Processor,
+    paths: RunPaths,
+    *,
+    epoch: int,
+    max_object_size: int = MAX_OBJECT_SIZE,
+    worker_count: int | None = None,
+    **limits: int,
+) -> StreamingQuery:
+    """:func:`run_with_sink` with an :func:`object_sink`."""
+    sink = object_sink(processor, max_object_size=max_object_size, worker_count=worker_count)
+    return run_with_sink(records, sink, paths, epoch=epoch, **limits)
+
+
+def run_discarding(records: DataFrame, paths: RunPaths, *, epoch: int, **limits: int) -> StreamingQuery:
+    """:func:`run_with_sink` with the sink that does nothing and succeeds."""
+    return run_with_sink(records, discard, paths, epoch=epoch, **limits)
+
+
 def _run_batch(
     spark: SparkSession,
     batch: DataFrame,

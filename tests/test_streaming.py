@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ackline.operators import acks
@@ -109,3 +110,52 @@ def test_oversized_payload_stops_the_run(spark):
     )
     with pytest.raises(Exception, match="has a 600 byte payload, exceeding max_payload_bytes=512"):
         query.awaitTermination()
+
+
+def _object_run(spark, payloads, processor, **options):
+    path = workspace(spark, "records")
+    rows = [("objects", 0, i, i, None, p, None, None) for i, p in enumerate(payloads)]
+    write_record_log(spark.createDataFrame(rows, RECORD), path)
+    paths = run.RunPaths(workspace(spark, "run"))
+    query = run.run_with_object_processor(
+        stream_record_log(spark, path), processor, paths, epoch=1, max_object_size=1024, **options
+    )
+    error = None
+    try:
+        query.awaitTermination()
+    except StreamingQueryException as raised:
+        error = str(raised)
+    rows = run.read_acks(spark, paths).orderBy("record_offset").collect()
+    return error, [(r.outcome, r.reason) for r in rows]
+
+
+VALID = b'{"bucket":"signals","key":"one.gz","size":1}'
+
+
+def test_object_run_succeeds(spark):
+    error, outcomes = _object_run(spark, [VALID] * 6, lambda metadata: None, worker_count=2)
+    assert error is None and outcomes == [("succeeded", None)] * 6
+
+
+def test_object_run_never_processes_what_does_not_decode(spark):
+    def processor(metadata):
+        raise AssertionError("called")
+
+    error, outcomes = _object_run(spark, [b"not-json"], processor)
+    assert "objects[0] offset 0: object metadata is not valid JSON" in error
+    assert outcomes == [("failed", "object metadata is not valid JSON")]
+
+
+def test_object_run_keeps_the_processor_error(spark):
+    def processor(metadata):
+        raise RuntimeError("synthetic object failure")
+
+    error, outcomes = _object_run(spark, [VALID], processor)
+    assert "synthetic object failure" in error
+    assert outcomes == [("failed", "synthetic object failure")]
+
+
+def test_discarding_run(spark):
+    paths = run.RunPaths(workspace(spark, "run"))
+    run.run_discarding(stream_record_log(spark, _log(spark, 5)), paths, epoch=1).awaitTermination()
+    assert [r.committed_offset for r in run.committed_offsets(run.read_acks(spark, paths)).collect()] == [5]
