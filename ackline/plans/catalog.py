@@ -169,7 +169,7 @@ def object_chunks(inputs: Inputs) -> DataFrame:
 
 def fetch_small_objects(inputs: Inputs) -> DataFrame:
     fetched = stores.fetch_small_objects(
-        inputs.spark, inputs["object_meta"], _object_store(inputs), max_bytes=4096
+        inputs["object_meta"], _object_store(inputs), max_bytes=4096
     )
     return fetched.select(*OBJECT, "size", F.md5("content").alias("content_md5"))
 

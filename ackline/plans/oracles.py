@@ -1,7 +1,7 @@
 """Reference SQL of the catalog queries, for DuckDB over the same tables.
 
 Written from the definitions (plain windows, as-of and interval joins), not from
-the Spark plans. ``fetch_small_objects`` reads files and has none.
+the Spark plans. Stored objects are the texts of the documents.
 """
 
 from __future__ import annotations
@@ -254,6 +254,12 @@ ORACLES: dict[str, str] = {
         """SELECT 'chunk' AS kind, bucket, object_key, CAST(i AS INTEGER) AS chunk_index, least(1024, size - 1024 * i) AS n_bytes
 FROM (SELECT *, unnest(range(k)) AS i FROM n) u
 UNION ALL SELECT 'end', bucket, object_key, CAST(k AS INTEGER), 0 FROM n""",
+    ),
+    "fetch_small_objects": _q(
+        ["object_meta"],
+        "",
+        """SELECT m.bucket, m.object_key, m.size, md5(d.text) AS content_md5
+FROM object_meta m JOIN documents d ON m.doc_id = d.doc_id WHERE m.size <= 4096""",
     ),
     "record_envelope": _q(["records"], "", _RECORD_TEXT),
     "accounted_bytes": _q(["records"], _SIZED, f"SELECT {_LOCATION}, accounted_bytes FROM sized"),

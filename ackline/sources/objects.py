@@ -1,7 +1,6 @@
 """Stored objects: ordered chunks of large ones, whole small ones.
 
-Objects live under ``root/bucket/key`` on any file system pyarrow or Hadoop can
-open. Spark spreads byte ranges over tasks; no task holds more than one chunk.
+Objects live under ``root/bucket/key`` on any file system pyarrow can open. Spark spreads byte ranges over tasks; no task holds more than one chunk.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ackline.params import positive
@@ -62,19 +61,16 @@ def read_object_chunks(
     cannot be read yields one row with ``read_error`` instead of failing the job.
     """
     ranges = object_ranges(requests, chunk_bytes, range_chunks)
-    spark = requests.sparkSession
-    tasks = read_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = ranges.repartition(positive("read_tasks", tasks), *OBJECT, "range")
-    filesystem_root = root
+    uri = _as_uri(root)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filesystem, base = fs.FileSystem.from_uri(_as_uri(filesystem_root))
+        filesystem, base = fs.FileSystem.from_uri(uri)
         for batch in batches:
             for row in batch.to_pylist():
                 for chunk in _read_range(filesystem, base, row, chunk_bytes, range_chunks):
                     yield pa.RecordBatch.from_pylist([chunk], schema=_ARROW_ROWS)
 
-    return spread.mapInArrow(read, _CHUNK_ROWS)
+    return _spread(ranges, read_tasks, *OBJECT, "range").mapInArrow(read, _CHUNK_ROWS)
 
 
 _ARROW_ROWS = pa.schema(
@@ -118,30 +114,57 @@ def _as_uri(root: str) -> str:
 
 
 def fetch_small_objects(
-    spark: SparkSession, requests: DataFrame, root: str, *, max_bytes: int
+    requests: DataFrame, root: str, *, max_bytes: int, read_tasks: int | None = None
 ) -> DataFrame:
-    """Read objects of at most ``max_bytes`` whole; larger ones are left to chunked reading.
+    """Read objects of at most ``max_bytes`` whole: adds ``content`` and ``read_error``.
 
-    The length test is pushed into the file scan, so large files are never opened.
+    Requests for larger objects are left to chunked reading. The request table,
+    not a listing of the store on the driver, says what is read. An object that
+    is stored larger than the limit, or cannot be read, has ``read_error``.
     """
     positive("max_bytes", max_bytes)
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .filter(F.col("length") <= max_bytes)
-    )
-    stored = files.select(_relative(root).alias("_relative"), "length", "content")
-    wanted = requests.filter(F.col("size") <= max_bytes).withColumn(
-        "_relative", F.concat("bucket", F.lit("/"), "object_key")
+    wanted = requests.filter(F.col("size") <= max_bytes).select(*OBJECT, F.col("size").cast("long").alias("size"))
+    uri = _as_uri(root)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, base = fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for row in batch.to_pylist():
+                found = _read_whole(filesystem, base, row, max_bytes)
+                yield pa.RecordBatch.from_pylist([{**row, **found}], schema=_ARROW_OBJECTS)
+
+    return _spread(wanted, read_tasks, *OBJECT).mapInArrow(
+        read, "bucket string, object_key string, size bigint, content binary, read_error string"
     )
-    return wanted.join(stored, "_relative").drop("_relative")
 
 
-def _relative(root: str):
-    """Path below ``root``, whichever way its scheme is written."""
-    folder = F.lit(root.split(":", 1)[-1].strip("/") + "/")
-    return F.col("path").substr(F.instr("path", folder) + F.length(folder), F.length("path"))
+_ARROW_OBJECTS = pa.schema(
+    [
+        ("bucket", pa.string()),
+        ("object_key", pa.string()),
+        ("size", pa.int64()),
+        ("content", pa.binary()),
+        ("read_error", pa.string()),
+    ]
+)
+
+
+def _read_whole(filesystem, base: str, row: dict, max_bytes: int) -> dict:
+    try:
+        with filesystem.open_input_file(object_path(base, row["bucket"], row["object_key"])) as source:
+            content = source.read(max_bytes + 1)
+    except OSError as error:
+        return {"read_error": str(error)}
+    if len(content) > max_bytes:
+        return {"read_error": f"stored object exceeds {max_bytes} bytes"}
+    return {"content": content}
+
+
+def _spread(requests: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    """Spread small request rows over enough tasks for the reads they cause."""
+    if tasks is None:
+        tasks = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return requests.repartition(positive("read_tasks", tasks), *keys)
 
 
 def write_objects(objects: DataFrame, root: str) -> None:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,7 +22,7 @@ from ackline.operators.processing import Processor, run_object_processor
 from ackline.operators.records import discard, fail, payload_guard
 from ackline.params import MAX_OBJECT_SIZE, MAX_PAYLOAD_BYTES, MEMORY_BUDGET_BYTES
 from ackline.plans.joins import lookup_join
-from ackline.schemas import PARTITION, TOKEN
+from ackline.schemas import PARTITION, TOKEN, TOKEN_KEYS
 
 # A sink maps delivered records to one completion row per record:
 # topic, partition_id, epoch, record_offset, outcome, reason.
@@ -167,22 +168,27 @@ def _run_batch(
     todo = resumed.filter(
         F.col("committed_offset").isNull() | (F.col("record_offset") >= F.col("committed_offset"))
     ).select(batch.columns)
+    # The sink and the ack write both read the batch: fetch it from the source once.
     guarded = payload_guard(
         todo.withColumn("epoch", F.lit(epoch).cast("long")),
         max_payload_bytes=max_payload_bytes,
         memory_budget_bytes=memory_budget_bytes,
-    )
-    admitted = guarded.filter(F.col("violation").isNull()).drop("violation", "message", "payload_bytes")
-    refused = guarded.filter(F.col("violation").isNotNull()).select(
-        *TOKEN, F.lit("failed").alias("outcome"), F.col("message").alias("reason")
-    )
-    outcomes = sink(admitted).select(*TOKEN, "outcome", "reason").unionByName(refused)
-    (
-        guarded.select(*TOKEN, "seq")
-        .join(outcomes, TOKEN, "left")
-        .write.mode("overwrite")
-        .parquet(attempt_path)
-    )
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        admitted = guarded.filter(F.col("violation").isNull()).drop("violation", "message", "payload_bytes")
+        refused = guarded.filter(F.col("violation").isNotNull()).select(
+            *TOKEN, F.lit("failed").alias("outcome"), F.col("message").alias("reason")
+        )
+        outcomes = sink(admitted).select(*TOKEN, "outcome", "reason").unionByName(refused)
+        (
+            guarded.select(*TOKEN, "seq")
+            .join(outcomes, TOKEN_KEYS, "left")
+            .select(*TOKEN, "seq", "outcome", "reason")
+            .write.mode("overwrite")
+            .parquet(attempt_path)
+        )
+    finally:
+        guarded.unpersist()
     _stop_on_failure(spark, attempt_path)
 
 

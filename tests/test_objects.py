@@ -150,8 +150,9 @@ def test_object_store_round_trip(spark, tmp_path):
     longer = stores.read_object_chunks(short, root, chunk_bytes=16, range_chunks=4)
     assert longer.agg(F.sum("n_bytes")).head()[0] == 768
 
-    small = stores.fetch_small_objects(spark, requests, root, max_bytes=16).collect()
-    assert {r.object_key: bytes(r.content) for r in small} == {
-        # Spark plans no read for empty files; metadata of size 0 is rejected anyway.
-        k: v for k, v in contents.items() if 0 < len(v) <= 16
-    }
+    small = {r.object_key: r for r in stores.fetch_small_objects(requests, root, max_bytes=16).collect()}
+    assert small.pop("absent").read_error
+    assert {k: bytes(r.content) for k, r in small.items()} == {k: v for k, v in contents.items() if len(v) <= 16}
+    grown = spark.createDataFrame([("b", "long", 10, None)], REQUEST)
+    row = stores.fetch_small_objects(grown, root, max_bytes=16).head()
+    assert row.content is None and row.read_error == "stored object exceeds 16 bytes"
