@@ -77,34 +77,17 @@ def _record_text(df: DataFrame) -> DataFrame:
 
 def _log_of_records(inputs: Inputs) -> str:
     """A record log folder holding all records, written once."""
-    key = (inputs.spark.sparkContext.applicationId, inputs.sf_dir)
-    if key not in _LOGS:
-        path = workspace(inputs.spark, "record-log")
-        write_record_log(_records(inputs), path)
-        _LOGS[key] = path
-    return _LOGS[key]
+    return inputs.folder("records", lambda path: write_record_log(_records(inputs), path))
 
 
 def _object_store(inputs: Inputs) -> str:
     """A folder holding every document as an object, written once."""
-    key = (inputs.spark.sparkContext.applicationId, inputs.sf_dir)
-    if key not in _STORES:
-        path = workspace(inputs.spark, "objects")
-        documents = inputs.spark.read.parquet(f"{inputs.sf_dir}/documents.parquet")
-        stores.write_objects(
-            documents.select(
-                F.col("source").alias("bucket"),
-                F.concat("lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("object_key"),
-                F.col("text").alias("content"),
-            ),
-            path,
-        )
-        _STORES[key] = path
-    return _STORES[key]
-
-
-_LOGS: dict[tuple[str, str], str] = {}
-_STORES: dict[tuple[str, str], str] = {}
+    objects_of_documents = inputs["documents"].select(
+        F.col("source").alias("bucket"),
+        F.concat("lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("object_key"),
+        F.col("text").alias("content"),
+    )
+    return inputs.folder("objects", lambda path: stores.write_objects(objects_of_documents, path))
 
 
 def _acks(inputs: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -10,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ackline.operators.epochs import epoch_intervals
-from ackline.session import cut
+from ackline.session import workspace
 
 TABLES = ("events", "documents")
 
@@ -194,7 +195,8 @@ class Inputs:
     that take work to derive are evaluated once per session and folder.
     """
 
-    _stored: dict[tuple[str, str, str], DataFrame] = {}
+    # Folder and schema of what is stored, by session, working folder, data folder and name.
+    _stored: dict[tuple[str | None, ...], tuple[str, StructType | None]] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
@@ -210,9 +212,25 @@ class Inputs:
 
     def store(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """The stored table ``name``, made on first use."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+
+        def write(path: str) -> StructType:
+            df = make()
+            df.write.parquet(path)
+            return df.schema
+
+        path, schema = self._once(name, write)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def folder(self, name: str, write: Callable[[str], None]) -> str:
+        """A folder ``name`` filled by ``write`` on first use."""
+        return self._once(name, write)[0]
+
+    def _once(self, name: str, write: Callable[[str], StructType | None]) -> tuple[str, StructType | None]:
+        root = self.spark.conf.get("spark.checkpoint.dir", None)
+        key = (self.spark.sparkContext.applicationId, root, self.sf_dir, name)
         if key not in self._stored:
-            self._stored[key] = cut(make(), f"log-{name}")
+            path = workspace(self.spark, f"log-{name}")
+            self._stored[key] = (path, write(path))
         return self._stored[key]
 
     def intervals(self, log: str) -> DataFrame:
