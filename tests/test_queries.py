@@ -5,11 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry_point
+from ackline.plans.catalog import QUERIES as CATALOG
 from compare import duck_rows, spark_rows
 
 SF_DIR = os.environ.get("ACKLINE_TEST_DIR", "/root/testdata/sf0.001")
 
-QUERIES = entry_point.queries()
+QUERIES = {name: query for name, query in entry_point.queries().items() if name in CATALOG}
 ORACLES = entry_point.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
@@ -27,4 +28,5 @@ def test_entry(spark):
 
 
 def test_oracles_belong_to_queries():
-    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) == set(CATALOG)
+    assert set(QUERIES) <= set(ORACLES) <= set(entry_point.queries())
