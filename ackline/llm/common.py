@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ackline import session
 
@@ -36,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def map_batches(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
+    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType
 ) -> DataFrame:
     """Apply ``function`` to every Arrow batch of ``df``."""
 

@@ -18,7 +18,7 @@ import re
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from ackline.llm.common import map_batches, prepare
 
@@ -123,11 +123,10 @@ def count_tokens(docs: DataFrame, vocabulary: str, *, text: str = "text", limit:
     the same names are replaced, all others kept.
     """
     prepare(docs.sparkSession)
-    added = {"n_bytes": "long", "n_tokens": "long", "over_limit": "boolean"}
+    added = {"n_bytes": LongType(), "n_tokens": LongType(), "over_limit": BooleanType()}
     others = docs.drop(*added)
-    schema = others.schema
-    for name, kind in added.items():
-        schema = schema.add(name, kind)
+    fields = [StructField(name, kind) for name, kind in added.items()]
+    schema = StructType([*others.schema.fields, *fields])
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         encode = encoder(vocabulary).ids
@@ -143,4 +142,4 @@ def count_tokens(docs: DataFrame, vocabulary: str, *, text: str = "text", limit:
 
 def token_count_digest(docs: DataFrame, vocabulary: str, *, limit: int = 2048) -> DataFrame:
     counted = count_tokens(docs.select("doc_id", "text"), vocabulary, limit=limit)
-    return counted.select("doc_id", "n_bytes", "n_tokens", F.col("over_limit"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
