@@ -6,7 +6,8 @@ import math
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ackline import session
@@ -49,6 +50,16 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add ``value`` as a column that is computed once a row.
+
+    Catalyst copies a projected expression into filters and later expressions
+    that refer to it, where a lambda function would run it for every element.
+    It does not copy what a generator puts out.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def shards(rows: int, per_shard: int) -> int:
     """How many tasks of about ``per_shard`` rows hold ``rows`` rows."""
     return max(1, math.ceil(rows / per_shard))

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ackline.llm import packing, tokens
+from ackline.llm import licenses, packing, tokens, urls
 from ackline.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -20,14 +21,29 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY))
 
 
+def op7_judge_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled URLs are the pages whose id has a label: to be blocked if of low quality."""
+    pages = table(spark, sf_dir, "pages")
+    labels = table(spark, sf_dir, "labels")
+    labelled = pages.join(labels, pages.page_id == labels.doc_id).select("url", (F.col("quality") == 0).alias("blocked"))
+    judged = urls.judge_urls(pages.select("page_id", "url"), labelled)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return tokens.token_count_digest(docs, public_tokenizers.path(VOCABULARY))
 
 
+def op9_scan_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op5_pack": op5_pack,
+    "op7_judge_urls": op7_judge_urls,
     "op8_count_tokens": op8_count_tokens,
+    "op9_scan_licenses": op9_scan_licenses,
 }
 
 # Reference SQL, where SQL can express the query.
