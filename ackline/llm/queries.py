@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ackline.llm import licenses, packing, tokens, urls
+from ackline.llm import licenses, neardup, packing, tokens, urls
 from ackline.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -21,6 +21,10 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 def op7_judge_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled URLs are the pages whose id has a label: to be blocked if of low quality."""
     pages = table(spark, sf_dir, "pages")
@@ -41,6 +45,7 @@ def op9_scan_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op5_pack": op5_pack,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_judge_urls": op7_judge_urls,
     "op8_count_tokens": op8_count_tokens,
     "op9_scan_licenses": op9_scan_licenses,
