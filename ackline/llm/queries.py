@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ackline.llm import licenses, neardup, packing, tokens, urls
+from ackline.llm import licenses, neardup, packing, suffixes, tokens, urls
 from ackline.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -16,6 +16,10 @@ VOCABULARY = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY))
@@ -44,6 +48,7 @@ def op9_scan_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_repeated_bytes": op3_repeated_bytes,
     "op5_pack": op5_pack,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_judge_urls": op7_judge_urls,
