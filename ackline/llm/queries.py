@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ackline.llm import licenses, neardup, packing, suffixes, tokens, urls
+from ackline.llm import licenses, neardup, packing, pages, quality, suffixes, tokens, urls
 from ackline.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -16,6 +16,14 @@ VOCABULARY = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_text(table(spark, sf_dir, "pages"))
+
+
+def op2_rate_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rate_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_bytes(table(spark, sf_dir, "documents"))
 
@@ -31,10 +39,10 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_judge_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled URLs are the pages whose id has a label: to be blocked if of low quality."""
-    pages = table(spark, sf_dir, "pages")
+    all_pages = table(spark, sf_dir, "pages").select("page_id", "url")
     labels = table(spark, sf_dir, "labels")
-    labelled = pages.join(labels, pages.page_id == labels.doc_id).select("url", (F.col("quality") == 0).alias("blocked"))
-    judged = urls.judge_urls(pages.select("page_id", "url"), labelled)
+    labelled = all_pages.join(labels, all_pages.page_id == labels.doc_id)
+    judged = urls.judge_urls(all_pages, labelled.select("url", (F.col("quality") == 0).alias("blocked")))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
@@ -48,6 +56,8 @@ def op9_scan_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_extract_text": op1_extract_text,
+    "op2_rate_quality": op2_rate_quality,
     "op3_repeated_bytes": op3_repeated_bytes,
     "op5_pack": op5_pack,
     "op6_near_duplicates": op6_near_duplicates,
