@@ -174,6 +174,16 @@ class Neighbours:
         return np.clip(np.concatenate(out).astype(np.float64), 0.0, 1.0)
 
 
+def leading_directions(matrix: np.ndarray, count: int, rounds: int = 6) -> np.ndarray:
+    """The ``count`` leading right singular vectors, by subspace iteration from a fixed start."""
+    start = np.random.default_rng(7).standard_normal((matrix.shape[0], min(matrix.shape[0], count + 16)))
+    space = np.linalg.qr(matrix.T @ start.astype(np.float32))[0]
+    for _ in range(rounds):
+        space = np.linalg.qr(matrix.T @ (matrix @ space))[0]
+    _, _, turned = np.linalg.svd(matrix @ space, full_matrices=False)
+    return (space @ turned.T)[:, :count].astype(np.float32)
+
+
 def fit(
     docs: DataFrame,
     labelled: DataFrame,
@@ -196,8 +206,7 @@ def fit(
         empty = np.zeros((0, 0), dtype=np.float32)
         return Neighbours(weights, empty, empty, labels, weight, nearest, sharpness, prior)
     matrix = np.stack([features(r["text"]) for r in rows]) * weights
-    values, vectors = np.linalg.eigh(matrix.T @ matrix)
-    basis = vectors[:, np.argsort(values)[::-1][: min(dimensions, len(rows))]].astype(np.float32)
+    basis = leading_directions(matrix, min(dimensions, len(rows)))
     model = Neighbours(weights, basis, np.empty(0), labels, weight, nearest, sharpness, prior)
     points = matrix @ basis
     model.vectors = (points / np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-9)).T.astype(np.float32)
