@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ackline.llm import licenses, neardup, packing, pages, quality, suffixes, tokens, urls
+from ackline.llm import fingerprints, licenses, neardup, packing, pages, quality, suffixes, tokens, urls
 from ackline.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -28,6 +28,10 @@ def op3_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_bytes(table(spark, sf_dir, "documents"))
 
 
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY))
@@ -59,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op1_extract_text": op1_extract_text,
     "op2_rate_quality": op2_rate_quality,
     "op3_repeated_bytes": op3_repeated_bytes,
+    "op4_fingerprint": op4_fingerprint,
     "op5_pack": op5_pack,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_judge_urls": op7_judge_urls,
