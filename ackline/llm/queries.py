@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ackline.llm import fingerprints, licenses, neardup, packing, pages, quality, suffixes, tokens, urls
+from ackline.llm import contamination, fingerprints, licenses, neardup, packing, pages, quality, suffixes, tokens, urls
 from ackline.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -59,6 +60,10 @@ def op9_scan_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op10_find_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_extract_text": op1_extract_text,
     "op2_rate_quality": op2_rate_quality,
@@ -69,6 +74,8 @@ QUERIES: dict[str, Query] = {
     "op7_judge_urls": op7_judge_urls,
     "op8_count_tokens": op8_count_tokens,
     "op9_scan_licenses": op9_scan_licenses,
+    "op10_find_contamination": op10_find_contamination,
+    "pipeline": corpus_pipeline.run,
 }
 
 # Reference SQL, where SQL can express the query.
