@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -19,18 +20,22 @@ from ackline.functions.metadata import decode_metadata
 from ackline.functions.records import record_location
 from ackline.operators.acks import safe_offsets
 from ackline.operators.processing import Processor, run_object_processor
-from ackline.operators.records import discard, fail, payload_guard
+from ackline.operators.records import discard, fail, payload_guard, with_accounted_bytes
 from ackline.params import MAX_OBJECT_SIZE, MAX_PAYLOAD_BYTES, MEMORY_BUDGET_BYTES
 from ackline.plans.joins import lookup_join
 from ackline.schemas import PARTITION, TOKEN, TOKEN_KEYS
 
 # A sink maps delivered records to one completion row per record:
 # topic, partition_id, epoch, record_offset, outcome, reason.
+# A record it does not answer stays unacknowledged and keeps its batch
+# uncommitted; of several answers for one record a failure counts.
 Sink = Callable[[DataFrame], DataFrame]
 
+# ``answers`` is how many rows the sink gave for the record (0: none). A row
+# without ``seq`` and with ``delivered`` false answers a record never delivered.
 _ACKS = (
-    "topic string, partition_id int, epoch bigint, record_offset bigint, seq bigint, "
-    "outcome string, reason string"
+    "topic string, partition_id int, epoch bigint, record_offset bigint, seq bigint, ts timestamp, "
+    "accounted_bytes bigint, outcome string, reason string, answers bigint, delivered boolean"
 )
 _ATTEMPTS = _ACKS + ", batch bigint, run bigint"
 
@@ -65,8 +70,8 @@ def committed_offsets(acks: DataFrame) -> DataFrame:
     delivery and any success count.
     """
     one_epoch = acks.withColumn("epoch", F.lit(0).cast("long"))
-    deliveries = one_epoch.select(*TOKEN, F.lit(0).cast("long").alias("seq"))
-    completions = one_epoch.select(*TOKEN, F.lit(1).cast("long").alias("seq"), "outcome")
+    deliveries = one_epoch.filter("delivered").select(*TOKEN, F.lit(0).cast("long").alias("seq"))
+    completions = one_epoch.filter(F.col("delivered") & F.col("outcome").isNotNull()).select(*TOKEN, F.lit(1).cast("long").alias("seq"), "outcome")
     return safe_offsets(deliveries, completions).select(
         *PARTITION, F.col("safe_next_offset").alias("committed_offset")
     )
@@ -80,15 +85,19 @@ def run_with_sink(
     epoch: int,
     max_payload_bytes: int = MAX_PAYLOAD_BYTES,
     memory_budget_bytes: int = MEMORY_BUDGET_BYTES,
+    trigger: dict[str, Any] | None = None,
 ) -> StreamingQuery:
-    """Start a run over ``records`` (RECORD schema, streaming) that stops at the end of input.
+    """Start a run over ``records`` (RECORD schema, streaming).
 
-    ``epoch`` numbers the run: use a larger one for every restart. A failed
-    completion or a record no budget admits fails the query after the batch's
-    acks are written; Spark then leaves the batch uncommitted and repeats it.
+    ``epoch`` numbers the run and must not have been used before. A failed
+    completion, a record no budget admits and a record the sink does not answer
+    fail the query after the batch's acks are written; Spark then leaves the
+    batch uncommitted and repeats it. ``trigger`` goes to ``DataStreamWriter.trigger``;
+    by default the run stops at the end of input.
     """
-
-    _seed(records.sparkSession, f"{paths.acks}/batch=-1/run=0")
+    spark = records.sparkSession
+    _refuse_used_run(spark, paths, epoch)
+    _seed(spark, f"{paths.acks}/batch=-1/run=0")
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -97,7 +106,7 @@ def run_with_sink(
     return (
         records.writeStream.foreachBatch(process)
         .option("checkpointLocation", paths.checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
@@ -134,14 +143,14 @@ def run_with_object_processor(
     epoch: int,
     max_object_size: int = MAX_OBJECT_SIZE,
     worker_count: int | None = None,
-    **limits: int,
+    **limits: Any,
 ) -> StreamingQuery:
     """:func:`run_with_sink` with an :func:`object_sink`."""
     sink = object_sink(processor, max_object_size=max_object_size, worker_count=worker_count)
     return run_with_sink(records, sink, paths, epoch=epoch, **limits)
 
 
-def run_discarding(records: DataFrame, paths: RunPaths, *, epoch: int, **limits: int) -> StreamingQuery:
+def run_discarding(records: DataFrame, paths: RunPaths, *, epoch: int, **limits: Any) -> StreamingQuery:
     """:func:`run_with_sink` with the sink that does nothing and succeeds."""
     return run_with_sink(records, discard, paths, epoch=epoch, **limits)
 
@@ -179,11 +188,12 @@ def _run_batch(
         refused = guarded.filter(F.col("violation").isNotNull()).select(
             *TOKEN, F.lit("failed").alias("outcome"), F.col("message").alias("reason")
         )
-        outcomes = sink(admitted).select(*TOKEN, "outcome", "reason").unionByName(refused)
+        outcomes = one_answer(sink(admitted).select(*TOKEN, "outcome", "reason").unionByName(refused))
+        delivered = with_accounted_bytes(guarded).select(*TOKEN, "seq", "ts", "accounted_bytes", F.lit(True).alias("delivered"))
         (
-            guarded.select(*TOKEN, "seq")
-            .join(outcomes, TOKEN_KEYS, "left")
-            .select(*TOKEN, "seq", "outcome", "reason")
+            delivered.join(outcomes, TOKEN_KEYS, "full_outer")
+            .withColumns({"answers": F.coalesce("answers", F.lit(0).cast("long")), "delivered": F.coalesce("delivered", F.lit(False))})
+            .select(*TOKEN, "seq", "ts", "accounted_bytes", "outcome", "reason", "answers", "delivered")
             .write.mode("overwrite")
             .parquet(attempt_path)
         )
@@ -197,19 +207,42 @@ def _seed(spark: SparkSession, path: str) -> None:
     spark.createDataFrame([], _ACKS).write.mode("ignore").parquet(path)
 
 
+def one_answer(outcomes: DataFrame) -> DataFrame:
+    """One outcome per token, ``failed`` before ``succeeded``, with the number of answers."""
+    best = F.min(F.struct("outcome", "reason")).alias("best")  # "failed" sorts first
+    counted = outcomes.groupBy(*TOKEN).agg(best, F.count("*").alias("answers"))
+    return counted.select(*TOKEN, "best.outcome", "best.reason", "answers")
+
+
+def odd_answers(acks: DataFrame) -> DataFrame:
+    """What the sink should not have answered: several times, or for records it was not given."""
+    kind = F.when(~F.col("delivered"), "unknown_record").otherwise("several_answers")
+    return acks.filter("not delivered or answers > 1").select(*TOKEN, "answers", kind.alias("kind"))
+
+
+def _refuse_used_run(spark: SparkSession, paths: RunPaths, epoch: int) -> None:
+    """A run number that has written acks before would overwrite its failed attempt."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{paths.acks}/batch=*/run={epoch}")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    if found is not None and len(found):
+        raise ValueError(f"run {epoch} has written acks already: use a number not used before")
+
+
 def _stop_on_failure(spark: SparkSession, attempt_path: str) -> None:
+    """Raise for the first delivered record that failed or has no outcome."""
     location = record_location(F.col("topic"), F.col("partition_id"), F.col("record_offset"))
     # Fixed value: error text.
-    text = F.concat(
+    failed = F.concat(
         F.lit("downstream processing failed for "), location, F.lit(": "), F.coalesce("reason", F.lit(""))
     )
+    unanswered = F.concat(F.lit("the sink gave no outcome for "), location)
+    text = F.when(F.col("outcome").isNull(), unanswered).otherwise(failed)
     first = (
         spark.read.schema(_ACKS)
         .parquet(attempt_path)
-        .filter(F.col("outcome") == "failed")
+        .filter(F.col("delivered") & (F.col("outcome").isNull() | (F.col("outcome") == "failed")))
         .agg(F.min_by(text, F.struct("seq", *TOKEN)).alias("first"))
         .head()["first"]
     )
     if first is not None:
         raise RuntimeError(first)
-

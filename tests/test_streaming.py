@@ -62,14 +62,14 @@ class Poison:
         return delivered.select(
             *TOKEN,
             F.when(bad, "failed").otherwise("succeeded").alias("outcome"),
-            F.when(bad, "synthetic downstream rejection").alias("reason"),
+            F.when(bad, "the store was closed").alias("reason"),
         )
 
 
-def _log(spark, n, payload=b"signal"):
+def _log(spark, n, payload=b"row"):
     path = workspace(spark, "records")
     write_record_log(
-        spark.createDataFrame([("vehicle-signals", 0, i, i, None, payload, None, None) for i in range(n)], RECORD), path
+        spark.createDataFrame([("orders", 0, i, i, None, payload, None, None) for i in range(n)], RECORD), path
     )
     return path
 
@@ -78,7 +78,7 @@ def test_failed_run_commits_the_prefix_and_restart_resumes_there(spark):
     path = _log(spark, 100)
     paths = run.RunPaths(workspace(spark, "run"))
     query = run.run_with_sink(stream_record_log(spark, path), Poison(40, True), paths, epoch=1)
-    with pytest.raises(Exception, match="downstream processing failed for vehicle-signals\\[0\\] offset 40: synthetic"):
+    with pytest.raises(Exception, match="downstream processing failed for orders\\[0\\] offset 40: the store"):
         query.awaitTermination()
     committed = run.committed_offsets(run.read_acks(spark, paths)).collect()
     assert [r.committed_offset for r in committed] == [40]
@@ -98,7 +98,7 @@ def test_failed_run_commits_the_prefix_and_restart_resumes_there(spark):
 def test_failure_at_the_first_record_commits_nothing(spark):
     paths = run.RunPaths(workspace(spark, "run"))
     query = run.run_with_sink(stream_record_log(spark, _log(spark, 3)), Poison(0, True), paths, epoch=1)
-    with pytest.raises(Exception, match="synthetic downstream rejection"):
+    with pytest.raises(Exception, match="the store was closed"):
         query.awaitTermination()
     assert run.committed_offsets(run.read_acks(spark, paths)).count() == 0
 
@@ -129,7 +129,7 @@ def _object_run(spark, payloads, processor, **options):
     return error, [(r.outcome, r.reason) for r in rows]
 
 
-VALID = b'{"bucket":"signals","key":"one.gz","size":1}'
+VALID = b'{"bucket":"depot","key":"a/first.txt","size":3}'
 
 
 def test_object_run_succeeds(spark):
@@ -141,21 +141,93 @@ def test_object_run_never_processes_what_does_not_decode(spark):
     def processor(metadata):
         raise AssertionError("called")
 
-    error, outcomes = _object_run(spark, [b"not-json"], processor)
+    error, outcomes = _object_run(spark, [b"size: 1"], processor)
     assert "objects[0] offset 0: object metadata is not valid JSON" in error
     assert outcomes == [("failed", "object metadata is not valid JSON")]
 
 
 def test_object_run_keeps_the_processor_error(spark):
     def processor(metadata):
-        raise RuntimeError("synthetic object failure")
+        raise RuntimeError("no room for it")
 
     error, outcomes = _object_run(spark, [VALID], processor)
-    assert "synthetic object failure" in error
-    assert outcomes == [("failed", "synthetic object failure")]
+    assert "no room for it" in error
+    assert outcomes == [("failed", "no room for it")]
 
 
 def test_discarding_run(spark):
     paths = run.RunPaths(workspace(spark, "run"))
     run.run_discarding(stream_record_log(spark, _log(spark, 5)), paths, epoch=1).awaitTermination()
     assert [r.committed_offset for r in run.committed_offsets(run.read_acks(spark, paths)).collect()] == [5]
+
+
+class Careless:
+    """Sink that leaves out one offset, answers another twice, and one it was never given."""
+
+    def __init__(self, silent, twice=None, foreign=None):
+        self.silent, self.twice, self.foreign = silent, twice, foreign
+
+    def __call__(self, delivered):
+        done = delivered.select(*TOKEN, F.lit("succeeded").alias("outcome"), F.lit(None).cast("string").alias("reason"))
+        answers = done.filter(F.col("record_offset") != self.silent)
+        if self.twice is not None:
+            again = done.filter(F.col("record_offset") == self.twice)
+            answers = answers.unionByName(again.withColumns({"outcome": F.lit("failed"), "reason": F.lit("second thoughts")}))
+        if self.foreign is not None:
+            unknown = done.filter(F.col("record_offset") == 0).withColumn("record_offset", F.lit(self.foreign).cast("long"))
+            answers = answers.unionByName(unknown)
+        return answers
+
+
+def test_unanswered_record_is_delivered_again(spark):
+    path = _log(spark, 100)
+    paths = run.RunPaths(workspace(spark, "run"))
+    query = run.run_with_sink(stream_record_log(spark, path), Careless(40), paths, epoch=1)
+    with pytest.raises(Exception, match="the sink gave no outcome for orders\\[0\\] offset 40"):
+        query.awaitTermination()
+    assert [r.committed_offset for r in run.committed_offsets(run.read_acks(spark, paths)).collect()] == [40]
+    run.run_with_sink(stream_record_log(spark, path), Careless(-1), paths, epoch=2).awaitTermination()
+    acks_table = run.read_acks(spark, paths)
+    assert tuple(acks_table.filter("epoch = 2").agg(F.min("record_offset"), F.count("*")).head()) == (40, 60)
+    assert [r.committed_offset for r in run.committed_offsets(acks_table).collect()] == [100]
+
+
+def test_doubled_and_foreign_answers(spark):
+    paths = run.RunPaths(workspace(spark, "run"))
+    query = run.run_with_sink(stream_record_log(spark, _log(spark, 10)), Careless(-1, twice=4, foreign=77), paths, epoch=1)
+    with pytest.raises(Exception, match="offset 4: second thoughts"):
+        query.awaitTermination()
+    acks_table = run.read_acks(spark, paths)
+    assert acks_table.filter("delivered").count() == 10
+    assert {(r.record_offset, r.answers, r.kind) for r in run.odd_answers(acks_table).collect()} == {
+        (4, 2, "several_answers"),
+        (77, 1, "unknown_record"),
+    }
+    assert [r.committed_offset for r in run.committed_offsets(acks_table).collect()] == [4]
+
+
+def test_run_number_cannot_be_used_again(spark):
+    path = _log(spark, 5)
+    paths = run.RunPaths(workspace(spark, "run"))
+    query = run.run_with_sink(stream_record_log(spark, path), Poison(2, True), paths, epoch=1)
+    with pytest.raises(Exception, match="the store was closed"):
+        query.awaitTermination()
+    with pytest.raises(ValueError, match="run 1 has written acks"):
+        run.run_with_sink(stream_record_log(spark, path), Poison(2, False), paths, epoch=1)
+    assert run.read_acks(spark, paths).filter("outcome = 'failed'").count() == 1
+
+
+def test_replay_over_several_batches(spark):
+    path = workspace(spark, "records")
+    for part in range(4):
+        rows = [("orders", 0, i, i, None, b"row", None, None) for i in range(part * 25, part * 25 + 25)]
+        spark.createDataFrame(rows, RECORD).coalesce(1).write.mode("append").parquet(path)
+    paths = run.RunPaths(workspace(spark, "run"))
+    first = stream_record_log(spark, path, max_files_per_trigger=1)
+    with pytest.raises(Exception, match="offset 60: the store was closed"):
+        run.run_with_sink(first, Poison(60, True), paths, epoch=1).awaitTermination()
+    again = stream_record_log(spark, path, max_files_per_trigger=1)
+    run.run_with_sink(again, Poison(60, False), paths, epoch=2).awaitTermination()
+    acks_table = run.read_acks(spark, paths)
+    assert tuple(acks_table.filter("epoch = 2").agg(F.min("record_offset"), F.count("*")).head()) == (60, 40)
+    assert [r.committed_offset for r in run.committed_offsets(acks_table).collect()] == [100]
