@@ -1,6 +1,8 @@
 """Stored objects: ordered chunks of large ones, whole small ones.
 
-Objects live under ``root/bucket/key`` on any file system pyarrow can open. Spark spreads byte ranges over tasks; no task holds more than one chunk.
+Objects live under ``root/bucket/key`` on any file system pyarrow can open. Spark
+spreads byte ranges over tasks; a task holds no more than one batch of chunks.
+Buckets and keys come from payloads: names that would leave the root are refused.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from ackline.schemas import OBJECT
 
 CHUNK_BYTES = 1024 * 1024
 RANGE_CHUNKS = 64
+# Rows are handed to Spark in batches of about this many bytes.
+BATCH_BYTES = 4 * 1024 * 1024
 
 _CHUNK_ROWS = (
     "kind string, bucket string, object_key string, chunk_index int, n_bytes bigint, data binary, read_error string"
@@ -25,14 +29,37 @@ _CHUNK_ROWS = (
 
 
 def object_path(root: str, bucket: str, key: str) -> str:
+    """The path of an object; ``ValueError`` for a name that is no place under the root."""
+    if not bucket or "/" in bucket or not key or key.startswith("/"):
+        raise ValueError("bucket and key do not name a place under the root")
+    if "\0" in bucket + key or any(part in (".", "..") for part in (bucket, *key.split("/"))):
+        raise ValueError("bucket and key do not name a place under the root")
     return f"{root.rstrip('/')}/{bucket}/{key}"
 
 
+# What is wrong with one object must not end the job.
+_ROW_ERRORS = (OSError, ValueError, TypeError, pa.ArrowException)
+
+
+def _in_batches(rows: Iterator[dict], schema: pa.Schema, payload: str) -> Iterator[pa.RecordBatch]:
+    """Rows as record batches of about ``BATCH_BYTES`` of ``payload`` each."""
+    held: list[dict] = []
+    size = 0
+    for row in rows:
+        held.append(row)
+        size += len(row.get(payload) or b"") + 64
+        if size >= BATCH_BYTES:
+            yield pa.RecordBatch.from_pylist(held, schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema=schema)
+
+
 def object_ranges(requests: DataFrame, chunk_bytes: int, range_chunks: int) -> DataFrame:
     """Cut every requested object into ranges of ``range_chunks`` chunks.
 
-    The last range of an object is open: whatever is stored beyond the expected
-    size is read too, so that verification can see it.
+    The last range of an object reads one chunk past the announced size, so that
+    verification sees a body that is longer, however long it is.
     """
     positive("chunk_bytes", chunk_bytes)
     positive("range_chunks", range_chunks)
@@ -43,7 +70,7 @@ def object_ranges(requests: DataFrame, chunk_bytes: int, range_chunks: int) -> D
         requests.select(*OBJECT, size.alias("size"))
         .withColumn("_last", last)
         .withColumn("range", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last"))))
-        .select(*OBJECT, "range", (F.col("range") == F.col("_last")).alias("is_last"))
+        .select(*OBJECT, "size", "range", (F.col("range") == F.col("_last")).alias("is_last"))
     )
 
 
@@ -65,10 +92,9 @@ def read_object_chunks(
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, base = fs.FileSystem.from_uri(uri)
-        for batch in batches:
-            for row in batch.to_pylist():
-                for chunk in _read_range(filesystem, base, row, chunk_bytes, range_chunks):
-                    yield pa.RecordBatch.from_pylist([chunk], schema=_ARROW_ROWS)
+        wanted = (row for batch in batches for row in batch.to_pylist())
+        chunks = (c for row in wanted for c in _read_range(filesystem, base, row, chunk_bytes, range_chunks))
+        yield from _in_batches(chunks, _ARROW_ROWS, "data")
 
     return _spread(ranges, read_tasks, *OBJECT, "range").mapInArrow(read, _CHUNK_ROWS)
 
@@ -89,17 +115,19 @@ _ARROW_ROWS = pa.schema(
 def _read_range(filesystem, base: str, row: dict, chunk_bytes: int, range_chunks: int) -> Iterator[dict]:
     named = {"bucket": row["bucket"], "object_key": row["object_key"]}
     index = row["range"] * range_chunks
-    stop = None if row["is_last"] else index + range_chunks
+    stop = index + range_chunks
+    if row["is_last"]:
+        stop = max(index, -(-max(row["size"] or 0, 0) // chunk_bytes)) + 1
     try:
         with filesystem.open_input_file(object_path(base, row["bucket"], row["object_key"])) as source:
             source.seek(index * chunk_bytes)
-            while stop is None or index < stop:
+            while index < stop:
                 data = source.read(chunk_bytes)
                 if not data:
                     break
                 yield {"kind": "chunk", **named, "chunk_index": index, "n_bytes": len(data), "data": data}
                 index += 1
-    except OSError as error:
+    except _ROW_ERRORS as error:
         yield {"kind": "chunk", **named, "chunk_index": index, "n_bytes": 0, "read_error": str(error)}
         return
     if row["is_last"]:
@@ -118,20 +146,20 @@ def fetch_small_objects(
 ) -> DataFrame:
     """Read objects of at most ``max_bytes`` whole: adds ``content`` and ``read_error``.
 
-    Requests for larger objects are left to chunked reading. The request table,
-    not a listing of the store on the driver, says what is read. An object that
-    is stored larger than the limit, or cannot be read, has ``read_error``.
+    Every request has a row. One announced or stored larger than the limit, or
+    that cannot be read, has ``read_error``; larger objects are for
+    :func:`read_object_chunks`. The request table, not a listing of the store on
+    the driver, says what is read.
     """
     positive("max_bytes", max_bytes)
-    wanted = requests.filter(F.col("size") <= max_bytes).select(*OBJECT, F.col("size").cast("long").alias("size"))
+    wanted = requests.select(*OBJECT, F.col("size").cast("long").alias("size"))
     uri = _as_uri(root)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, base = fs.FileSystem.from_uri(uri)
-        for batch in batches:
-            for row in batch.to_pylist():
-                found = _read_whole(filesystem, base, row, max_bytes)
-                yield pa.RecordBatch.from_pylist([{**row, **found}], schema=_ARROW_OBJECTS)
+        wanted_rows = (row for batch in batches for row in batch.to_pylist())
+        found = ({**row, **_read_whole(filesystem, base, row, max_bytes)} for row in wanted_rows)
+        yield from _in_batches(found, _ARROW_OBJECTS, "content")
 
     return _spread(wanted, read_tasks, *OBJECT).mapInArrow(
         read, "bucket string, object_key string, size bigint, content binary, read_error string"
@@ -150,10 +178,12 @@ _ARROW_OBJECTS = pa.schema(
 
 
 def _read_whole(filesystem, base: str, row: dict, max_bytes: int) -> dict:
+    if row["size"] is not None and row["size"] > max_bytes:
+        return {"read_error": f"announced size {row['size']} is over the limit of {max_bytes} bytes"}
     try:
         with filesystem.open_input_file(object_path(base, row["bucket"], row["object_key"])) as source:
             content = source.read(max_bytes + 1)
-    except OSError as error:
+    except _ROW_ERRORS as error:
         return {"read_error": str(error)}
     if len(content) > max_bytes:
         return {"read_error": f"stored object exceeds {max_bytes} bytes"}

@@ -47,8 +47,8 @@ BODIES = {
         "S3 body size 2 does not match metadata size 3",
     ),
     "consumer": (
-        (3, [("chunk", 0, 3, 10, 20, "synthetic gzip boundary failure"), ("end", 9, 0, 50, None, None)]),
-        "consumer_error", 0, "object chunk consumer failed: synthetic gzip boundary failure",
+        (3, [("chunk", 0, 3, 10, 20, "unreadable header"), ("end", 9, 0, 50, None, None)]),
+        "consumer_error", 0, "object chunk consumer failed: unreadable header",
     ),
     "stalled": ((3, [("chunk", 0, 3, 101, 110, None), ("end", 9, 0, 120, None, None)]), "stalled", 0, "S3 body made no progress for 100ms"),
     "slow consumer": ((2, [("chunk", 0, 1, 10, 400, None), ("chunk", 1, 1, 450, 900, None), ("end", 9, 0, 950, None, None)]), "ok", 2, None),
@@ -102,7 +102,7 @@ def test_verdict_stages_and_summary(spark, transfers):
         "S3 response validation failed for s3://b/truncated: S3 Content-Length 99 does not match metadata size 3"
     )
     assert rows["consumer"].message == (
-        "S3 body streaming failed for s3://b/consumer: object chunk consumer failed: synthetic gzip boundary failure"
+        "S3 body streaming failed for s3://b/consumer: object chunk consumer failed: unreadable header"
     )
     assert (rows["never sent"].verdict, rows["never sent"].stage) == ("incomplete", "body")
     summary = objects.download_summary(verdicts).collect()
@@ -145,14 +145,34 @@ def test_object_store_round_trip(spark, tmp_path):
     absent = [r for r in rows if r.object_key == "absent"]
     assert len(absent) == 1 and absent[0].read_error
 
-    # A stored object longer than announced is read beyond its expected size.
+    # Of an object stored longer than announced one chunk beyond is read, no more.
     short = spark.createDataFrame([("b", "long", 100, None)], REQUEST)
     longer = stores.read_object_chunks(short, root, chunk_bytes=16, range_chunks=4)
-    assert longer.agg(F.sum("n_bytes")).head()[0] == 768
+    assert longer.agg(F.sum("n_bytes")).head()[0] == 128
 
     small = {r.object_key: r for r in stores.fetch_small_objects(requests, root, max_bytes=16).collect()}
     assert small.pop("absent").read_error
-    assert {k: bytes(r.content) for k, r in small.items()} == {k: v for k, v in contents.items() if len(v) <= 16}
+    assert {k: bytes(r.content) for k, r in small.items() if r.content is not None} == {
+        k: v for k, v in contents.items() if len(v) <= 16
+    }
+    assert set(small) == set(contents) and small["long"].read_error == "announced size 768 is over the limit of 16 bytes"
     grown = spark.createDataFrame([("b", "long", 10, None)], REQUEST)
     row = stores.fetch_small_objects(grown, root, max_bytes=16).head()
     assert row.content is None and row.read_error == "stored object exceeds 16 bytes"
+
+
+def test_names_outside_the_root_are_refused(spark, tmp_path):
+    (tmp_path / "outside.txt").write_bytes(b"not for you")
+    root = str(tmp_path / "store")
+    good = spark.createDataFrame([("b", "in", b"fine")], "bucket string, object_key string, content binary")
+    stores.write_objects(good, root)
+    bad = [("b", "../../outside.txt"), ("..", "outside.txt"), ("b", "/etc/hostname"), ("b", "x/./in"), ("b/c", "in"), ("", "in"), ("b", ""), ("b", "nul\0")]
+    requests = spark.createDataFrame([(b, k, 4, None) for b, k in [("b", "in"), *bad]], REQUEST)
+    whole = stores.fetch_small_objects(requests, root, max_bytes=64).collect()
+    assert [bytes(r.content) for r in whole if r.content is not None] == [b"fine"]
+    assert sum(r.read_error is not None for r in whole) == len(bad)
+    rows = stores.read_object_chunks(requests, root).collect()
+    assert sum(r.read_error is not None for r in rows) == len(bad)
+    assert [bytes(r.data) for r in rows if r.data is not None] == [b"fine"]
+    with pytest.raises(ValueError):
+        stores.object_path("/root", "..", "x")
