@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ackline.functions.records import object_location
-from ackline.params import I64_MAX, MAX_OBJECT_SIZE, U64_MAX, positive
+from ackline.params import MAX_OBJECT_SIZE, U64_MAX, positive
 
 # Error texts by code. {field}, {actual} and {maximum} are filled in.
 MESSAGES = {
@@ -25,9 +25,12 @@ MESSAGES = {
 # The Unicode White_Space class, whole text.
 BLANK = r"^\p{IsWhite_Space}*\z"
 
-# The raw number of a "size" member, to tell what a parsed number no longer shows.
-_NEGATIVE_ZERO = r'"size"\s*:\s*-0'
-_PLAIN_DIGITS = r'"size"\s*:\s*\d{19,20}\s*[,}]'
+# How an unsigned number is written without fraction or exponent. A parsed number
+# no longer shows that, the text of the top-level member does.
+_PLAIN_DIGITS = r"^(0|[1-9][0-9]{0,19})\z"
+# Parsing makes 0 of -0. With -1 in place of every -0 (inside texts it does no
+# harm, they are not looked at) only a size of -0 becomes -1.
+_NEGATIVE_ZERO = r"-0(?![0-9.eE])"
 
 
 def is_empty_text(value: Column, reject_blank: bool) -> Column:
@@ -67,17 +70,17 @@ def parse_metadata(df: DataFrame, payload: str = "payload") -> DataFrame:
         .withColumn("_more", F.try_variant_get("_listed", "$[1]", "variant"))
         .withColumn("_size_type", F.schema_of_variant(_member("size")))
         .withColumn("_size", _member("size", "decimal(20,0)"))
+        .withColumn("_size_text", F.from_json("_text", "size string")["size"])
         .withColumn("_etag_type", F.schema_of_variant(_member("etag")))
     )
     plain = F.col("_size_type") == "BIGINT"
     wide = F.col("_size_type").isin("DECIMAL(19,0)", "DECIMAL(20,0)")
-    size_ok = (
-        plain & (F.col("_size") >= 0) & ~((F.col("_size") == 0) & F.col("_text").rlike(_NEGATIVE_ZERO))
-    ) | (
-        wide
-        & F.col("_size").between(_u64(I64_MAX + 1), _u64(U64_MAX))
-        & F.col("_text").rlike(_PLAIN_DIGITS)
-    )
+    marked = F.try_parse_json(F.regexp_replace("_text", _NEGATIVE_ZERO, "-1"))
+    negative_zero = F.when(
+        F.contains("_text", F.lit("-0")) & (F.col("_size") == 0),
+        F.coalesce(F.try_variant_get(marked, "$.size", "decimal(20,0)") == -1, F.lit(False)),
+    ).otherwise(False)
+    size_ok = (plain | wide) & ~negative_zero & F.col("_size_text").rlike(_PLAIN_DIGITS) & F.col("_size").between(_u64(0), _u64(U64_MAX))
     ok = (
         F.schema_of_variant("_object").startswith("OBJECT")
         & F.col("_more").isNull()

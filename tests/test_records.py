@@ -12,10 +12,9 @@ GOOD = b'{"bucket":"b","key":"k","size":1}'
 # payload, max size, expected (code, field)
 PAYLOADS = {
     "extra field ignored": (
-        b'{"bucket":"vehicle-signals","key":"2026/09/02/signals.dbc.gz","size":42,"etag":"\\"abc123\\"",'
-        b'"producer_trace_id":"future-compatible"}', None, None),
-    "no etag": (b'{"bucket":"signals","key":"one.gz","size":1}', None, None),
-    "null etag": (b'{"bucket":"signals","key":"one.gz","size":1,"etag":null}', None, None),
+        b'{"note":["x",{"size":3}],"bucket":"depot","etag":"W/\\"77\\"","key":"in/box 4.bin","size":31}', None, None),
+    "no etag": (b'{"size":8,"key":"in/b","bucket":"depot"}', None, None),
+    "null etag": (b'{"etag":null,"size":8,"key":"in/b","bucket":"depot"}', None, None),
     "no bucket": (b'{"key":"k","size":1}', "invalid_json", None),
     "no key": (b'{"bucket":"b","size":1}', "invalid_json", None),
     "size text": (b'{"bucket":"b","key":"k","size":"1"}', "invalid_json", None),
@@ -36,12 +35,17 @@ PAYLOADS = {
     "first rule wins": (b'{"bucket":"","key":"","size":0}', "empty_field", "bucket"),
     "missing payload": (None, "missing_payload", None),
     "empty payload": (b"", "invalid_json", None),
-    "not json": (b"not-json", "invalid_json", None),
+    "not json": (b"size: 1", "invalid_json", None),
     "bad utf-8": (b'{"bucket":"\xff","key":"k","size":1}', "invalid_json", None),
     "bucket number": (b'{"bucket":5,"key":"k","size":1}', "invalid_json", None),
     "etag number": (b'{"bucket":"b","key":"k","size":1,"etag":5}', "invalid_json", None),
     "negative size": (b'{"bucket":"b","key":"k","size":-1}', "invalid_json", None),
     "negative zero": (b'{"bucket":"b","key":"k","size":-0}', "invalid_json", None),
+    "nested negative zero": (b'{"bucket":"b","key":"k","size":0,"t":{"size":-0}}', "empty_object", None),
+    "nested fraction": (b'{"bucket":"b","key":"k","size":0,"t":{"size":-0.5}}', "empty_object", None),
+    "nested digits": (b'{"bucket":"b","key":"k","size":9223372036854775808.0,"t":{"size":1234567890123456789}}', "invalid_json", None),
+    "escaped name": (b'{"bucket":"b","key":"k","siz\\u0065":9223372036854775808}', "object_too_large", None),
+    "escaped name, negative zero": (b'{"bucket":"b","key":"k","siz\\u0065":-0}', "invalid_json", None),
     "fraction": (b'{"bucket":"b","key":"k","size":1.5}', "invalid_json", None),
     "whole fraction": (b'{"bucket":"b","key":"k","size":1.0}', "invalid_json", None),
     "exponent": (b'{"bucket":"b","key":"k","size":1e2}', "invalid_json", None),
@@ -84,8 +88,8 @@ def test_decode_values_and_messages(decoded):
     rows = decoded[1]
     full = rows["extra field ignored"]
     assert (full.bucket, full.object_key, int(full.size), full.etag, full.location) == (
-        "vehicle-signals", "2026/09/02/signals.dbc.gz", 42, '"abc123"',
-        "s3://vehicle-signals/2026/09/02/signals.dbc.gz",
+        "depot", "in/box 4.bin", 31, 'W/"77"',
+        "s3://depot/in/box 4.bin",
     )
     assert rows["null etag"].etag is None and rows["null etag"].error_message is None
     assert rows["size above max"].bucket is None
@@ -114,7 +118,7 @@ def test_rejects_keep_their_source(decoded):
     assert {r.name for r in accepted.collect()} == good
     bad = {r.name: r for r in rejected.collect()}
     assert set(bad) == set(PAYLOADS) - good
-    assert bytes(bad["not json"].payload) == b"not-json"
+    assert bytes(bad["not json"].payload) == b"size: 1"
     offset = bad["not json"].record_offset
     assert bad["not json"].failure == (
         f"metadata decode failed for t[1] offset {offset}: object metadata is not valid JSON"
@@ -124,19 +128,19 @@ def test_rejects_keep_their_source(decoded):
 def test_envelope_and_accounting(spark):
     messages = spark.createDataFrame(
         [
-            (b"vehicle-1", b"signal-1", "vehicle-signals", 0, 7, [("h", b"\x00\x01"), ("h", None)]),
-            (None, None, "vehicle-signals", 0, 8, None),
-            (b"", b"", "vehicle-signals", 0, 9, []),
+            (b"truck 5/9", b"full load", "orders", 0, 7, [("h", b"\x00\x01"), ("h", None)]),
+            (None, None, "orders", 0, 8, None),
+            (b"", b"", "orders", 0, 9, []),
         ],
         "key binary, value binary, topic string, partition int, offset bigint, headers array<struct<key string, value binary>>",
     ).withColumn("timestamp", F.lit(None).cast("timestamp"))
     sized = records.with_location(records.with_accounted_bytes(records.record_envelope(messages)))
     rows = {r.record_offset: r for r in sized.collect()}
     assert set(RECORD.names) <= set(sized.columns)
-    assert {o: r.accounted_bytes for o, r in rows.items()} == {7: 128 + 9 + 8 + 2 + 2, 8: 128, 9: 128}
+    assert {o: r.accounted_bytes for o, r in rows.items()} == {7: 128 + 9 + 9 + 2 + 2, 8: 128, 9: 128}
     assert [(h.key, h.value and bytes(h.value)) for h in rows[7].headers] == [("h", b"\x00\x01"), ("h", None)]
     assert rows[8].payload is None and bytes(rows[9].payload) == b""
-    assert rows[7].location == "vehicle-signals[0] offset 7"
+    assert rows[7].location == "orders[0] offset 7"
 
 
 def _small_records(spark, sizes):
@@ -183,12 +187,12 @@ def test_processor_sees_metadata_and_keeps_reasons(spark):
     def processor(metadata):
         assert isinstance(metadata.size, int) and metadata.etag in (None, '"e"')
         if metadata.key == "k3":
-            raise RuntimeError("synthetic object failure")
+            raise RuntimeError("no room for it")
 
     for workers in (None, 2):
         done = run_object_processor(df, processor, worker_count=workers)
         rows = {r.object_key: (r.outcome, r.reason) for r in done.collect()}
-        assert rows.pop("k3") == ("failed", "synthetic object failure")
+        assert rows.pop("k3") == ("failed", "no room for it")
         assert set(rows.values()) == {("succeeded", None)} and len(rows) == 5
     assert run_object_processor(df, processor, worker_count=2).rdd.getNumPartitions() == 2
     with pytest.raises(ValueError):
