@@ -8,7 +8,7 @@ from ackline.schemas import ASSIGNMENT_EVENT, COMPLETION, DELIVERY
 from ackline.session import cut
 from model import TOP, Tracker
 
-TOPIC, P = "signals", 2
+TOPIC, P = "audit", 2
 
 
 class Log:
@@ -74,7 +74,7 @@ def merged(logs):
             {(topic, p, e + epoch): safe for (_, p, e), safe in log.tracker.snapshot().items()}
         )
         seq += log.seq
-        epoch += log.tracker.epoch_counter
+        epoch += log.tracker.assignments()
     return total
 
 
@@ -179,10 +179,10 @@ def test_rejected_deliveries_and_messages(spark):
     }
     assert messages == {
         "ok": None,
-        "unassigned": "delivery references unassigned partition signals[2]",
-        "epoch_mismatch": "delivery epoch 1 does not match assignment epoch 2 for signals[2]",
-        "non_monotonic": "non-monotonic delivery for signals[2]: offset 100 followed 102",
-        "duplicate": "duplicate in-flight delivery for signals[2] at offset 110",
+        "unassigned": "delivery references unassigned partition audit[2]",
+        "epoch_mismatch": "delivery epoch 1 does not match assignment epoch 2 for audit[2]",
+        "non_monotonic": "non-monotonic delivery for audit[2]: offset 100 followed 102",
+        "duplicate": "duplicate in-flight delivery for audit[2] at offset 110",
     }
 
 
@@ -221,14 +221,14 @@ def test_failures_are_fatal_even_when_stale(spark):
     log.assign(P)
     log.deliver(P, 1, 1)
     log.assign(P)
-    log.fail(P, 1, 1, "synthetic")
+    log.fail(P, 1, 1, "disk full")
     log.deliver(P, 2, 1)
     log.fail(P, 2, 1, "again")
     _, completions, intervals = log.frames(spark)
     rows = acks.failed_completions(completions, intervals).orderBy("seq").collect()
     assert [(r.is_stale, r.message) for r in rows] == [
-        (True, "downstream processing failed for signals[2] offset 1: synthetic"),
-        (False, "downstream processing failed for signals[2] offset 1: again"),
+        (True, "downstream processing failed for audit[2] offset 1: disk full"),
+        (False, "downstream processing failed for audit[2] offset 1: again"),
     ]
 
 
@@ -239,10 +239,10 @@ def _random_log(seed, n, partitions=3):
     sent = []
     for _ in range(n):
         p = rng.choice([0, 0, 0, *range(partitions)])
-        epoch = log.tracker.current.get((TOPIC, p), rng.randint(1, 4))
+        epoch = log.tracker.epoch_of((TOPIC, p)) or rng.randint(1, 4)
         action = rng.random()
         if action < 0.42:
-            last = (log.tracker.progress.get((TOPIC, p)) or {}).get("last")
+            last = max(log.tracker.offsets((TOPIC, p), "delivery"), default=None)
             offset = rng.choice([(last or 0) + rng.choice([1, 1, 1, 2, 70_000]), rng.randint(0, 12)])
             if rng.random() < 0.05:
                 epoch += 1
