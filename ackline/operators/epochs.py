@@ -15,8 +15,6 @@ from ackline.plans.joins import lookup_join
 from ackline.plans.scan import Running, prefix_scan
 from ackline.schemas import PARTITION, PROGRESS
 
-# An event meets every interval of its partition in a broadcast join: keep them few.
-MAX_BROADCAST_INTERVALS = 256
 
 
 def _changes(log: DataFrame) -> DataFrame:
@@ -69,22 +67,17 @@ def current_assignments(intervals: DataFrame) -> DataFrame:
     return intervals.filter(F.col("to_seq").isNull()).select(*PROGRESS)
 
 
-def stamp_epochs(events: DataFrame, intervals: DataFrame, *, method: str = "auto") -> DataFrame:
+def stamp_epochs(events: DataFrame, intervals: DataFrame, *, method: str = "scan") -> DataFrame:
     """Add ``epoch``, the epoch in force at each event's ``seq`` (null if none).
 
     ``scan`` is an as-of scan: one shuffle of the events by partition and seq
     block, whatever the number of epochs or the size of a partition. ``join``
-    broadcasts the intervals and leaves the events where they are; it refuses
-    more than ``MAX_BROADCAST_INTERVALS``. ``auto`` counts the intervals (up to
-    that bound) and joins if they fit. Streaming events can only be joined.
+    looks the intervals up by partition and range, for streaming events, which
+    cannot be scanned; Catalyst broadcasts the intervals where they are small.
     """
-    choice("method", method, ("auto", "scan", "join"))
-    if method != "scan":
-        fits = intervals.limit(MAX_BROADCAST_INTERVALS + 1).count() <= MAX_BROADCAST_INTERVALS
-        if fits:
-            return _stamp_by_join(events, intervals)
-        if method == "join":
-            raise ValueError(f"more than {MAX_BROADCAST_INTERVALS} intervals to broadcast: use scan")
+    choice("method", method, ("scan", "join"))
+    if method == "join":
+        return _stamp_by_join(events, intervals)
     starts = intervals.select(*PARTITION, F.col("from_seq").alias("seq"), F.col("epoch").alias("_mark"))
     ends = effective_revokes(intervals).select(*PARTITION, "seq", F.lit(-1).cast("long").alias("_mark"))
     marks = starts.unionByName(ends)
@@ -104,7 +97,7 @@ def stamp_epochs(events: DataFrame, intervals: DataFrame, *, method: str = "auto
 
 
 def _stamp_by_join(events: DataFrame, intervals: DataFrame) -> DataFrame:
-    spans = F.broadcast(intervals.drop("closed_by")).alias("s")
+    spans = intervals.drop("closed_by").alias("s")
     rows = events.alias("e")
     keys = [F.col(f"e.{c}") == F.col(f"s.{c}") for c in PARTITION]
     inside = _inside(F.col("e.seq"), F.col("s.from_seq"), F.col("s.to_seq"))
@@ -116,12 +109,12 @@ def _inside(seq: Column, from_seq: Column, to_seq: Column) -> Column:
     return (seq >= from_seq) & (to_seq.isNull() | (seq < to_seq))
 
 
-def assigned_records(records: DataFrame, intervals: DataFrame, *, method: str = "auto") -> DataFrame:
+def assigned_records(records: DataFrame, intervals: DataFrame, *, method: str = "scan") -> DataFrame:
     """Records with their epoch; records outside any assignment are dropped."""
     return stamp_epochs(records, intervals, method=method).filter(F.col("epoch").isNotNull())
 
 
-def unassigned_records(records: DataFrame, intervals: DataFrame, *, method: str = "auto") -> DataFrame:
+def unassigned_records(records: DataFrame, intervals: DataFrame, *, method: str = "scan") -> DataFrame:
     """The records :func:`assigned_records` drops."""
     return stamp_epochs(records, intervals, method=method).filter(F.col("epoch").isNull()).drop("epoch")
 

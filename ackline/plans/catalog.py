@@ -12,7 +12,7 @@ from ackline.functions.metadata import decode_metadata, metadata_rule_hits
 from ackline.operators import acks, budget, epochs, objects, processing, records
 from ackline.plans.fixtures import Inputs
 from ackline.schemas import OBJECT, PARTITION, PROGRESS, TOKEN
-from ackline.session import workspace
+from ackline.session import cut, workspace
 from ackline.sources import objects as stores
 from ackline.sources.record_log import read_record_log, stream_record_log, write_record_log
 from ackline.streaming import prefix, run
@@ -95,17 +95,13 @@ def _acks(inputs: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def _positions(inputs: Inputs) -> DataFrame:
-    return inputs.store("prefix-positions", lambda: acks.prefix_positions(*_acks(inputs)))
+    return cut(acks.prefix_positions(*_acks(inputs)), "prefix-positions")
 
 
 def _committed(inputs: Inputs) -> DataFrame:
-    """Offsets committed before a point in time: the last one of each partition and epoch."""
+    """The last offset committed of each partition and epoch."""
     by_interval = acks.committed_by_interval(*_acks(inputs), positions=_positions(inputs))
-    return (
-        by_interval.filter(F.col("window_end") <= F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"))
-        .groupBy(*PROGRESS)
-        .agg(F.max("committed_offset").alias("committed_offset"))
-    )
+    return by_interval.groupBy(*PROGRESS).agg(F.max("committed_offset").alias("committed_offset"))
 
 
 def _object_records(inputs: Inputs) -> DataFrame:
@@ -133,7 +129,7 @@ def _verdicts(inputs: Inputs) -> DataFrame:
 def reject_by_size(metadata: processing.ObjectMetadata) -> None:
     """Sample processor: fails objects whose size is a multiple of 7."""
     if metadata.size % 7 == 0:
-        raise ValueError(f"synthetic object failure of {metadata.bucket}/{metadata.key}")
+        raise ValueError(f"size refused for {metadata.bucket}/{metadata.key}")
 
 
 # -- queries ------------------------------------------------------------------
@@ -154,7 +150,7 @@ def fetch_small_objects(inputs: Inputs) -> DataFrame:
     fetched = stores.fetch_small_objects(
         inputs["object_meta"], _object_store(inputs), max_bytes=4096
     )
-    return fetched.select(*OBJECT, "size", F.md5("content").alias("content_md5"))
+    return fetched.select(*OBJECT, "size", F.md5("content").alias("content_md5"), "read_error")
 
 
 def record_envelope(inputs: Inputs) -> DataFrame:
@@ -433,7 +429,7 @@ def _poisoned(first_epoch_only: bool) -> run.Sink:
         return delivered.select(
             *TOKEN,
             F.when(bad, "failed").otherwise("succeeded").alias("outcome"),
-            F.when(bad, "synthetic downstream rejection").alias("reason"),
+            F.when(bad, "the store was closed").alias("reason"),
         )
 
     return sink
@@ -477,6 +473,52 @@ def stream_replay(inputs: Inputs) -> DataFrame:
     )
 
 
+def _silent_at(offsets: tuple[int, ...]) -> run.Sink:
+    """Sample sink: gives no outcome for ``offsets`` in the first run."""
+
+    def sink(delivered: DataFrame) -> DataFrame:
+        answered = delivered.filter(~(F.col("record_offset").isin(*offsets) & (F.col("epoch") == 1)))
+        return answered.select(*TOKEN, F.lit("succeeded").alias("outcome"), F.lit(None).cast("string").alias("reason"))
+
+    return sink
+
+
+def _log_in_parts(inputs: Inputs) -> str:
+    """The record log as eight files by offset, for runs over several micro-batches."""
+    return inputs.folder(
+        "record-parts", lambda path: write_record_log(_records(inputs).repartitionByRange(8, "record_offset"), path)
+    )
+
+
+def replay_unanswered(inputs: Inputs) -> DataFrame:
+    """Per record: attempts without an outcome, and whether one succeeded.
+
+    The log comes in four micro-batches. The first run stops at the batch that
+    holds the two records its sink leaves out; the second delivers them again.
+    """
+    paths = run.RunPaths(workspace(inputs.spark, "silent-run"))
+    log = _log_in_parts(inputs)
+    for epoch in (1, 2):
+        stream = stream_record_log(inputs.spark, log, max_files_per_trigger=2)
+        query = run.run_with_sink(stream, _silent_at((401, 402)), paths, epoch=epoch)
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if epoch > 1:
+                raise
+    acks_of_run = run.read_acks(inputs.spark, paths)
+    return acks_of_run.groupBy(*LOCATION).agg(
+        F.count_if(F.col("outcome").isNull()).alias("n_unanswered"),
+        F.bool_or(F.coalesce(F.col("outcome") == "succeeded", F.lit(False))).alias("succeeded"),
+    )
+
+
+def run_audit(inputs: Inputs) -> DataFrame:
+    """The safe offset of every partition, worked out from what a failed run and its restart wrote."""
+    paths, _ = _stream_run(inputs, failing=True)
+    return run.committed_offsets(run.read_acks(inputs.spark, paths))
+
+
 def run_with_object_processor(inputs: Inputs) -> DataFrame:
     """A run over the object records; it fails closed, having acked every record."""
     spark = inputs.spark
@@ -559,6 +601,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "run_with_sink": run_with_sink,
     "run_with_object_processor": run_with_object_processor,
     "stream_replay": stream_replay,
+    "replay_unanswered": replay_unanswered,
+    "run_audit": run_audit,
 }
 
 

@@ -1,8 +1,8 @@
 """Test inputs derived from the given tables, in SQL both Spark and DuckDB run.
 
-Every view but ``assignment_events`` (the short control log that goes with
-``deliveries``) grows with the tables; ``rebalance_log`` is a control log that
-grows with them, for queries that read nothing but a control log.
+Every view grows with the tables. ``assignment_events`` is the control log that
+goes with ``deliveries``, ``rebalance_log`` a denser one for the queries that
+read nothing but a control log.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ackline.operators.epochs import epoch_intervals
-from ackline.session import workspace
+from ackline.session import cut, workspace
 
 TABLES = ("events", "documents")
 
@@ -26,25 +26,30 @@ SELECT 'events' AS topic, CAST(event_id % 4 AS INT) AS partition_id, event_id AS
        event_type AS h_type, CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END AS h_retry
 FROM events""",
     "assignment_events": """
-SELECT CAST(seq AS BIGINT) AS seq, event, CAST(list_pos AS INT) AS list_pos, topic,
+SELECT CAST(seq AS BIGINT) AS seq, event, CAST(list_pos AS INT) AS list_pos, 'events' AS topic,
        CAST(partition_id AS INT) AS partition_id, message
-FROM (VALUES (-5000, 'assigned', 0, 'events', 0, ''), (-5000, 'assigned', 1, 'events', 1, ''),
-             (-5000, 'assigned', 2, 'events', 2, ''), (-5000, 'assigned', 3, 'events', 3, ''),
-             (3005000, 'revoked', 0, 'events', 1, ''), (3005000, 'revoked', 1, 'events', 9, ''),
-             (3205000, 'assigned', 0, 'events', 1, ''), (6005000, 'revoked', 0, 'events', 2, ''),
-             (6505000, 'assigned', 0, 'events', 2, ''), (7005000, 'revoked', 0, 'events', 3, ''),
-             (8005000, 'assigned', 0, 'events', 0, ''), (9005000, 'error', 0, 'events', 0, 'synthetic rebalance failure')
-     ) AS t(seq, event, list_pos, topic, partition_id, message)""",
+FROM (
+  SELECT -5000 AS seq, 'assigned' AS event, partition_id AS list_pos, partition_id, '' AS message
+  FROM (SELECT DISTINCT event_id % 4 AS partition_id FROM events) p
+  UNION ALL
+  SELECT event_id * 10000 + 5000, 'revoked', 0, event_id % 4, '' FROM events WHERE event_type = 'error' AND user_id % 61 = 7
+  UNION ALL
+  SELECT event_id * 10000 + 5000, 'revoked', 1, 9, '' FROM events WHERE event_type = 'error' AND user_id % 61 = 7
+  UNION ALL
+  SELECT (event_id + 5) * 10000 + 6000, 'assigned', 0, event_id % 4, '' FROM events WHERE event_type = 'error' AND user_id % 61 = 7
+  UNION ALL
+  SELECT event_id * 10000 + 7000, 'error', 0, event_id % 4, concat('coordinator unreachable ', event_id)
+  FROM events WHERE event_type = 'error' AND user_id % 61 = 7) t""",
     "rebalance_log": """
 SELECT seq, CASE event_type WHEN 'signup' THEN 'assigned' WHEN 'purchase' THEN 'revoked' ELSE 'error' END AS event,
        list_pos, 'events' AS topic, CAST((user_id + list_pos) % 4 AS INT) AS partition_id,
-       CASE WHEN event_type = 'error' THEN concat('synthetic rebalance failure ', event_id) ELSE '' END AS message
+       CASE WHEN event_type = 'error' THEN concat('coordinator unreachable ', event_id) ELSE '' END AS message
 FROM (
   SELECT event_id * 10000 - 3000 AS seq, event_id, user_id, event_type, 0 AS list_pos FROM events
   UNION ALL
   SELECT event_id * 10000 - 3000, event_id, user_id, event_type, 1 FROM events
   WHERE event_id % 2 = 0 AND event_type <> 'error') e
-WHERE (event_type IN ('signup', 'purchase') AND event_id % 3 = 0) OR (event_type = 'error' AND event_id % 25 = 0)""",
+WHERE event_type IN ('signup', 'purchase', 'error')""",
     "fx_epochs": """
 SELECT topic, partition_id, epoch, seq AS from_seq, to_seq FROM (
   SELECT topic, partition_id, event, seq,
@@ -68,7 +73,7 @@ UNION ALL SELECT topic, 7, epoch, record_offset, seq + 9000 FROM deliveries WHER
 SELECT d.topic, d.partition_id, d.epoch, d.record_offset,
        (d.record_offset + (d.record_offset * 7919) % 50) * 10000 + 100 + d.record_offset % 1000 AS seq, r.ts,
        CASE WHEN d.record_offset % 997 = 996 THEN 'failed' ELSE 'succeeded' END AS outcome,
-       CASE WHEN d.record_offset % 997 = 996 THEN 'synthetic downstream rejection' END AS reason
+       CASE WHEN d.record_offset % 997 = 996 THEN 'the store was closed' END AS reason
 FROM deliveries d JOIN records r ON d.topic = r.topic AND d.partition_id = r.partition_id AND d.record_offset = r.record_offset
 WHERE d.record_offset % 501 <> 500
 UNION ALL
@@ -126,17 +131,16 @@ SELECT bucket, object_key,
        CASE WHEN doc_id % 19 = 0 THEN NULL WHEN doc_id % 17 = 0 THEN '"stale"' ELSE coalesce(etag, '"unrequested"') END AS response_etag
 FROM object_meta WHERE doc_id % 31 <> 0""",
     "chunks": """
-WITH digits AS (SELECT * FROM (VALUES (0), (1), (2), (3), (4), (5), (6), (7), (8), (9)) AS t(d)),
-nums AS (SELECT a.d + 10 * b.d + 100 * c.d AS i FROM digits a CROSS JOIN digits b CROSS JOIN digits c),
-obj AS (SELECT *, CAST(ceil(size / 1024.0) AS BIGINT) AS n,
+WITH obj AS (SELECT *, CAST(ceil(size / 1024.0) AS BIGINT) AS n,
                CASE WHEN doc_id % 3 = 0 THEN 25000 ELSE 0 END + CASE WHEN doc_id % 41 = 0 THEN 30000 ELSE 0 END AS shift
         FROM object_meta),
+sent AS (SELECT *, unnest(range(n - CASE WHEN doc_id % 13 = 0 THEN 1 ELSE 0 END)) AS i FROM obj),
 body AS (
   SELECT doc_id, bucket, object_key, CAST(i * 10 AS INT) AS chunk_index, least(1024, size - 1024 * i) AS n_bytes,
          i * 100 + 10 + CASE WHEN i >= 1 THEN shift ELSE 0 END AS arrived_ms,
          CASE WHEN i = 0 AND doc_id % 3 = 0 THEN 25000 ELSE 0 END AS slow,
-         CASE WHEN i = 0 AND doc_id % 47 = 0 THEN 'synthetic gzip boundary failure' END AS consumer_error
-  FROM obj JOIN nums ON i < n - CASE WHEN doc_id % 13 = 0 THEN 1 ELSE 0 END
+         CASE WHEN i = 0 AND doc_id % 47 = 0 THEN 'the reader gave up on the first part' END AS consumer_error
+  FROM sent
   UNION ALL
   SELECT doc_id, bucket, object_key, CAST(n * 10 AS INT), 7, n * 100 + 10 + shift, 0, NULL FROM obj WHERE doc_id % 11 = 0
   UNION ALL
@@ -144,7 +148,7 @@ body AS (
 SELECT 'chunk' AS kind, bucket, object_key, chunk_index, CAST(n_bytes AS BIGINT) AS n_bytes, CAST(arrived_ms AS BIGINT) AS arrived_ms,
        CAST(arrived_ms + 20 + slow AS BIGINT) AS consumed_ms, consumer_error FROM body
 UNION ALL
-SELECT 'end', bucket, object_key, 1000000, 0, CAST(n * 100 + 200 + shift + CASE WHEN doc_id % 43 = 0 THEN 30000 ELSE 0 END AS BIGINT), NULL, NULL FROM obj""",
+SELECT 'end', bucket, object_key, CAST(n * 10 + 1 AS INT), 0, CAST(n * 100 + 200 + shift + CASE WHEN doc_id % 43 = 0 THEN 30000 ELSE 0 END AS BIGINT), NULL, NULL FROM obj""",
     "work_spans": """
 SELECT doc_id, doc_id * 10 AS start_tick, doc_id * 10 + 1 + (doc_id * 37) % 75 AS end_tick FROM documents""",
 }
@@ -170,7 +174,7 @@ body AS (
   SELECT doc_id, bucket, object_key, CAST(i * 10 AS INT) AS chunk_index, least(1024, size - 1024 * i) AS n_bytes,
          i * 100 + 10 + CASE WHEN i >= 1 THEN shift ELSE 0 END AS arrived_ms,
          CASE WHEN i = 0 AND doc_id % 3 = 0 THEN 25000 ELSE 0 END AS slow,
-         CASE WHEN i = 0 AND doc_id % 47 = 0 THEN 'synthetic gzip boundary failure' END AS consumer_error
+         CASE WHEN i = 0 AND doc_id % 47 = 0 THEN 'the reader gave up on the first part' END AS consumer_error
   FROM sent LATERAL VIEW explode(CASE WHEN n_sent > 0 THEN sequence(0, n_sent - 1) END) t AS i
   UNION ALL
   SELECT doc_id, bucket, object_key, CAST(n * 10 AS INT), 7, n * 100 + 10 + shift, 0, NULL FROM obj WHERE doc_id % 11 = 0
@@ -179,7 +183,7 @@ body AS (
 SELECT 'chunk' AS kind, bucket, object_key, chunk_index, CAST(n_bytes AS BIGINT) AS n_bytes, CAST(arrived_ms AS BIGINT) AS arrived_ms,
        CAST(arrived_ms + 20 + slow AS BIGINT) AS consumed_ms, consumer_error FROM body
 UNION ALL
-SELECT 'end', bucket, object_key, 1000000, 0, CAST(n * 100 + 200 + shift + CASE WHEN doc_id % 43 = 0 THEN 30000 ELSE 0 END AS BIGINT), NULL, NULL FROM obj""",
+SELECT 'end', bucket, object_key, CAST(n * 10 + 1 AS INT), 0, CAST(n * 100 + 200 + shift + CASE WHEN doc_id % 43 = 0 THEN 30000 ELSE 0 END AS BIGINT), NULL, NULL FROM obj""",
 }
 
 
@@ -234,8 +238,8 @@ class Inputs:
         return self._stored[key]
 
     def intervals(self, log: str) -> DataFrame:
-        """The epoch intervals of an assignment log."""
-        return self.store(f"intervals-{log}", lambda: epoch_intervals(self[log]))
+        """The epoch intervals of an assignment log, worked out anew by every query."""
+        return cut(epoch_intervals(self[log]), f"intervals-{log}")
 
     def _view(self, name: str) -> DataFrame:
         for needed in DEPENDS.get(name, TABLES):

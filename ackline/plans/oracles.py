@@ -258,8 +258,9 @@ UNION ALL SELECT 'end', bucket, object_key, CAST(k AS INTEGER), 0 FROM n""",
     "fetch_small_objects": _q(
         ["object_meta"],
         "",
-        """SELECT m.bucket, m.object_key, m.size, md5(d.text) AS content_md5
-FROM object_meta m JOIN documents d ON m.doc_id = d.doc_id WHERE m.size <= 4096""",
+        """SELECT m.bucket, m.object_key, m.size, CASE WHEN m.size <= 4096 THEN md5(d.text) END AS content_md5,
+  CASE WHEN m.size > 4096 THEN 'announced size ' || m.size || ' is over the limit of 4096 bytes' END AS read_error
+FROM object_meta m JOIN documents d ON m.doc_id = d.doc_id""",
     ),
     "record_envelope": _q(["records"], "", _RECORD_TEXT),
     "accounted_bytes": _q(["records"], _SIZED, f"SELECT {_LOCATION}, accounted_bytes FROM sized"),
@@ -390,8 +391,7 @@ FROM fenced WHERE outcome = 'failed'""",
        WHEN done THEN 'COMPLETED' ELSE 'DELIVERED' END AS state
 FROM st SEMI JOIN cur USING ({_PROGRESS})
 LEFT JOIN safe s USING ({_PROGRESS})
-LEFT JOIN (SELECT {_PROGRESS}, max(committed_offset) AS committed_offset FROM commits
-           WHERE w + INTERVAL '5 seconds' <= TIMESTAMP '2024-01-10 00:00:00' GROUP BY ALL) k USING ({_PROGRESS})""",
+LEFT JOIN (SELECT {_PROGRESS}, max(committed_offset) AS committed_offset FROM commits GROUP BY ALL) k USING ({_PROGRESS})""",
     ),
     "replay_set": _q(
         ["records", *_ACKS],
@@ -459,7 +459,7 @@ FROM moves WHERE paused <> was_paused""",
         f"""SELECT {_LOCATION},
   CASE WHEN error_code IS NULL AND v.verdict = 'ok' AND d.size % 7 <> 0 THEN 'succeeded' ELSE 'failed' END AS outcome,
   CASE WHEN error_code IS NOT NULL THEN error_message WHEN v.verdict <> 'ok' THEN v.message
-       WHEN d.size % 7 = 0 THEN 'synthetic object failure of ' || d.bucket || '/' || d.object_key END AS reason
+       WHEN d.size % 7 = 0 THEN 'size refused for ' || d.bucket || '/' || d.object_key END AS reason
 FROM decoded d LEFT JOIN verdicts v ON d.error_code IS NULL AND d.bucket = v.bucket AND d.object_key = v.object_key
  AND d.size = v.size AND d.etag IS NOT DISTINCT FROM v.etag""",
     ),
@@ -467,7 +467,7 @@ FROM decoded d LEFT JOIN verdicts v ON d.error_code IS NULL AND d.bucket = v.buc
         ["object_records"],
         _DECODED,
         f"""SELECT {_LOCATION}, CASE WHEN size % 7 = 0 THEN 'failed' ELSE 'succeeded' END AS outcome,
-  CASE WHEN size % 7 = 0 THEN 'synthetic object failure of ' || bucket || '/' || object_key END AS reason
+  CASE WHEN size % 7 = 0 THEN 'size refused for ' || bucket || '/' || object_key END AS reason
 FROM decoded WHERE error_code IS NULL""",
     ),
     "discard_completions": _q(
@@ -485,7 +485,7 @@ FROM decoded WHERE error_code IS NULL""",
         _DECODED,
         f"""SELECT {_LOCATION}, CASE WHEN error_code IS NULL AND size % 7 <> 0 THEN 'succeeded' ELSE 'failed' END AS outcome,
   CASE WHEN error_code IS NOT NULL THEN error_message
-       WHEN size % 7 = 0 THEN 'synthetic object failure of ' || bucket || '/' || object_key END AS reason FROM decoded""",
+       WHEN size % 7 = 0 THEN 'size refused for ' || bucket || '/' || object_key END AS reason FROM decoded""",
     ),
     # The first run stops each partition at its first record that fails; the
     # second delivers everything from there on.
@@ -497,4 +497,13 @@ r AS (SELECT records.topic, records.partition_id, record_offset, coalesce(record
         f"""SELECT {_LOCATION}, CASE WHEN again THEN 2 ELSE 1 END AS n_deliveries, 1 AS first_run,
   CASE WHEN again THEN 2 ELSE 1 END AS last_run, CASE WHEN again THEN 2 ELSE 1 END AS last_success FROM r""",
     ),
+    "replay_unanswered": _q(
+        ["records"],
+        "",
+        f"""SELECT {_LOCATION}, CAST(CASE WHEN record_offset IN (401, 402) THEN 1 ELSE 0 END AS BIGINT) AS n_unanswered,
+  true AS succeeded FROM records""",
+    ),
+    "run_audit": _q(
+        ["records"], "", f"SELECT {_TP}, max(record_offset) + 1 AS committed_offset FROM records GROUP BY {_TP}"
+    ),
 }

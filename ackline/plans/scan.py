@@ -17,10 +17,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Blocks of 2**20 keys. The totals of one group (key range / 2**20 rows) are
-# scanned in one task: add a level, e.g. (20, 20), for sparse keys such as
-# nanosecond timestamps, whose range is far larger than their number.
-BLOCK_BITS = (20,)
+# Blocks of 2**20 keys, of 2**20 blocks, and of 2**20 of those: what is scanned in
+# one task at the top is 16 rows of a group for any 64-bit key.
+BLOCK_BITS = (20, 20, 20)
 
 
 @dataclass(frozen=True)
