@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from ackline.llm import contamination, fingerprints, licenses, neardup, packing, pages, quality, suffixes, tokens, urls
 from ackline.llm.common import table
+from ackline.llm.oracles import ORACLES
 
 VOCABULARY = "word_bpe_49k.json"
 
+__all__ = ["ORACLES", "QUERIES"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -77,6 +80,3 @@ QUERIES: dict[str, Query] = {
     "op10_find_contamination": op10_find_contamination,
     "pipeline": corpus_pipeline.run,
 }
-
-# Reference SQL, where SQL can express the query.
-ORACLES: dict[str, str] = {}

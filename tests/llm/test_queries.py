@@ -1,0 +1,66 @@
+"""Registered queries: against reference SQL where there is some, and for their shape."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry_point
+import corpus_pipeline
+from ackline.llm.queries import ORACLES, QUERIES
+from compare import duck_rows, spark_rows
+
+SF_DIR = os.environ.get("ACKLINE_TEST_DIR", "/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
+
+COLUMNS = {
+    "op1_extract_text": "page_id url text n_chars",
+    "op2_rate_quality": "doc_id held_out score predicted",
+    "op3_repeated_bytes": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op4_fingerprint": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
+    "op5_pack": "doc_id piece start length ids_crc32 sequence_id offset",
+    "op8_count_tokens": "doc_id n_bytes n_tokens over_limit",
+}
+
+
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
+    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES if name != "pipeline"}
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_equals_reference_sql(spark, name):
+    got = spark_rows(QUERIES[name](spark, SF_DIR))
+    assert got == duck_rows(SF_DIR, ORACLES[name])
+    assert got[1]
+
+
+@pytest.mark.parametrize("name", COLUMNS)
+def test_one_row_for_every_row(spark, name):
+    df = QUERIES[name](spark, SF_DIR)
+    assert df.columns == COLUMNS[name].split()
+    read = "pages" if name == "op1_extract_text" else "documents"
+    key = df.columns[0]
+    expected = sorted(r[0] for r in spark.read.parquet(f"{SF_DIR}/{read}.parquet").select(key).collect())
+    got = [r[0] for r in df.select(key).collect()]
+    assert sorted(got if name != "op5_pack" else set(got)) == expected
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    n = docs.count()
+    at = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, at, SF_DIR)
+        kept = after.collect()
+        assert after.columns == docs.columns, name
+        assert 0 < len(kept) <= n
+        n = len(kept)
+        at = spark.createDataFrame(kept, docs.schema)
+    packed = corpus_pipeline.STAGES[-1][1](spark, at, SF_DIR)
+    assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in kept}
+
+
+def test_pipeline_on_an_empty_table(spark):
+    at = spark.read.parquet(f"{SF_DIR}/documents.parquet").filter("false")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, at, SF_DIR).collect() == []
