@@ -1,13 +1,18 @@
 """Registered queries: against reference SQL where there is some, and for their shape."""
 
 import os
+import re
+from collections import Counter
 
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
 from ackline.llm.queries import ORACLES, QUERIES
 from compare import duck_rows, spark_rows
+from test_neardup import brute_force as brute_force_groups
+from test_suffixes import brute_force as brute_force_spans
 
 SF_DIR = os.environ.get("ACKLINE_TEST_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
@@ -45,19 +50,57 @@ def test_one_row_for_every_row(spark, name):
     assert sorted(got if name != "op5_pack" else set(got)) == expected
 
 
-def test_pipeline_stages(spark):
+def _words(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+    return " " + " ".join(w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered) if w) + " "
+
+
+def test_pipeline_against_brute_force(spark, vocabulary):
+    """Every stage on what the one before kept, against a plain version of it."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    n = docs.count()
-    at = docs
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        after = stage(spark, at, SF_DIR)
-        kept = after.collect()
-        assert after.columns == docs.columns, name
-        assert 0 < len(kept) <= n
-        n = len(kept)
-        at = spark.createDataFrame(kept, docs.schema)
-    packed = corpus_pipeline.STAGES[-1][1](spark, at, SF_DIR)
-    assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in kept}
+    steps = dict(corpus_pipeline.STAGES)
+
+    def after(name, at):
+        df = steps[name](spark, at, SF_DIR)
+        assert name == "packing" or df.columns == docs.columns
+        return df.collect()
+
+    def table(rows):
+        return spark.createDataFrame(rows, docs.schema)
+
+    good = after("quality", docs)
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    kept = {r.doc_id for r in good}
+    rated = [r.doc_id for r in docs.collect() if labels.get(r.doc_id) == 1]
+    assert sum(i in kept for i in rated) >= 0.98 * len(rated)
+
+    single = after("near_duplicates", table(good))
+    groups = brute_force_groups([(r.doc_id, r.text) for r in good], 5, 80)
+    assert {r.doc_id for r in single} == {i for i, (_, _, first) in groups.items() if first}
+
+    cut = after("repeats", table(single))
+    removed = brute_force_spans([(r.doc_id, r.text) for r in single], 400)
+    left = {i: n - gone for i, (n, gone, _, _) in removed.items()}
+    assert {r.doc_id for r in cut} == {i for i, n in left.items() if n}
+    assert all(left[r.doc_id] - 6 <= len(r.text.encode()) <= left[r.doc_id] and r.n_chars == len(r.text) for r in cut)
+
+    clean = after("decontamination", table(cut))
+    items = [_words(r.text) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    whole = {r.doc_id for r in cut if any(item in _words(r.text) for item in items)}
+    gone = {r.doc_id for r in cut} - {r.doc_id for r in clean}
+    pieces = {" ".join(w[i : i + 5]) for w in (item.split() for item in items) for i in range(len(w) - 4)}
+    assert whole <= gone
+    for r in cut:
+        if r.doc_id in gone - whole:
+            assert any(piece in _words(r.text) for piece in pieces)
+
+    packed = after("packing", table(clean))
+    library = Tokenizer.from_file(vocabulary)
+    wanted = {r.doc_id: len(library.encode(r.text, add_special_tokens=False).ids) + 1 for r in clean}
+    got = Counter()
+    for r in packed:
+        got[r.doc_id] += r.length
+    assert got == wanted
 
 
 def test_pipeline_on_an_empty_table(spark):
