@@ -32,8 +32,8 @@ from ackline.llm.common import keep, map_batches, prepare
 
 LENGTH = 400
 GRAM = 256
-# A bucket with more different pieces is split by window.
-SPLIT = 2000
+# A bucket with more different pieces (about 2.5 MB) is split by window.
+SPLIT = 5000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -300,7 +300,13 @@ def windows_one_by_one(different: DataFrame, length: int) -> DataFrame:
 
     each = map_batches(different.select("anchor", "key", "n", "piece"), spread, "anchor long, key binary, lo int, window binary")
     again = each.groupBy("anchor", "window").agg(F.count("*").alias("uses")).filter("uses > 1")
-    return each.join(again, ["anchor", "window"]).select("anchor", "key", "lo", F.col("lo").alias("hi"))
+    found = each.join(again, ["anchor", "window"]).groupBy("anchor", "key")
+    # Neighbouring windows of a piece, of which there are few, become one run.
+    los = found.agg(F.sort_array(F.collect_set("lo")).alias("los"))
+    opens = F.filter("los", lambda x, i: (i == 0) | (F.get(F.col("los"), i - 1) != x - 1))
+    closes = F.filter("los", lambda x, i: (i == F.size("los") - 1) | (F.get(F.col("los"), i + 1) != x + 1))
+    runs = los.select("anchor", "key", F.explode(F.arrays_zip(opens.alias("lo"), closes.alias("hi"))).alias("run"))
+    return runs.select("anchor", "key", "run.lo", "run.hi")
 
 
 def recurring_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, split: int = SPLIT) -> DataFrame:
