@@ -114,25 +114,33 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     edited text is what is left of theirs.
     """
     prepare(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     order = keep(next_ids(texts.select("doc_id")), "next-ids")
     half = F.floor(F.length("text") / 2).cast("int")
     sizes = keep(texts.groupBy("doc_id").agg(F.max(half).alias("head_length"), F.count("*").alias("uses")), "text-sizes")
     wanting = order.join(sizes, "doc_id").select(
         F.col("next_id").alias("doc_id"), F.col("doc_id").alias("wanted_by"), "head_length"
     )
+    known = texts.filter(F.col("doc_id").isNotNull())
+    digest = F.xxhash64("text")
+    prints = keep(with_codes(known, "text", "codes").select("doc_id", digest.alias("of"), "codes"), "fingerprints")
+    by_id = prints.groupBy("doc_id").agg(F.collect_set(F.struct("of", "codes")).alias("prints"))
+    own = F.filter("prints", lambda p: p["of"] == digest)[0]["codes"].alias("codes")
     # One exchange of the texts by id serves both: their own row, and what the
-    # document before them takes of them.
-    placed = with_codes(texts, "text", "codes").join(wanting, "doc_id", "left")
-    heads = placed.filter(F.col("wanted_by").isNotNull()).select(
+    # document before them takes of them. Every id is wanted by one.
+    placed = known.join(wanting.join(by_id, "doc_id"), "doc_id")
+    heads = placed.select(
         F.col("wanted_by").alias("doc_id"),
         F.expr("substring(text, 1, head_length)").alias("head"),
-        F.col("codes").alias("next_codes"),
+        own.alias("next_codes"),
     )
     if not sizes.filter("uses > 1 and doc_id is not null").isEmpty():
         first = F.min(F.struct("head", "next_codes")).alias("first")
         heads = heads.groupBy("doc_id").agg(first).select("doc_id", "first.head", "first.next_codes")
-    joined = placed.drop("wanted_by", "head_length").join(heads, "doc_id", "left")
+    joined = placed.select("doc_id", "text", own).join(heads, "doc_id")
+    apart = with_codes(texts.filter(F.col("doc_id").isNull()), "text", "codes")
+    nothing = {"head": F.lit(None).cast("string"), "next_codes": F.lit(None).cast("array<smallint>")}
+    joined = joined.unionByName(apart.withColumns(nothing))
     edited = joined.withColumn("n_chars", F.length("text").cast("long")).withColumn(
         "edited",
         F.concat(
