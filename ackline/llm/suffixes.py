@@ -316,6 +316,8 @@ def recurring_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM,
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     found = keep(anchors(docs, length, gram), "anchors")
     twice = found.groupBy("anchor").agg(F.count("*").alias("uses")).filter("uses > 1").select("anchor")
+    # Stored, so that the join has exchanges of its own and a hot anchor is split.
+    twice = keep(twice, "recurring-anchors")
     places = found.join(twice, "anchor").groupBy("doc_id").agg(F.collect_list("place").alias("places"))
     made = keep(pieces(docs, places, length, gram), "pieces")
 
