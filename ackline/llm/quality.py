@@ -128,16 +128,25 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
     return total, frequency
 
 
-def bounded_sample(labelled: DataFrame, per_class: int) -> tuple[list, dict[int, float]]:
+def bounded_sample(docs: DataFrame, labelled: DataFrame, per_class: int) -> tuple[list, dict[int, float]]:
     """Up to ``per_class`` rows ``(text, label)`` of each label, and what each row stands for.
 
-    Rows are taken by the hash of their id, so the choice repeats.
+    Ids are chosen first, by their hash, so the choice repeats and no text moves
+    that is not chosen; the chosen ids are few enough to broadcast.
     """
     totals = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
-    rows = []
-    for label in sorted(totals):
-        order = [F.xxhash64("doc_id"), "doc_id", "text"]
-        rows += labelled.filter(F.col("label") == label).orderBy(*order).limit(per_class).collect()
+    chosen = [
+        tuple(row)
+        for label in sorted(totals)
+        for row in labelled.filter(F.col("label") == label)
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(per_class)
+        .select("doc_id", "label")
+        .collect()
+    ]
+    ids = docs.sparkSession.createDataFrame(chosen, "doc_id long, label int")
+    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id", "label"])
+    rows = found.orderBy("label", F.xxhash64("doc_id"), "doc_id").collect()
     return rows, {label: n / min(n, per_class) for label, n in totals.items()}
 
 
@@ -194,9 +203,9 @@ def fit(
     sharpness: float = 8.0,
 ) -> Neighbours:
     """Feature weights from all ``docs``; space and voters from at most ``per_class``
-    rows of each label of ``labelled`` (``doc_id, text, label``)."""
+    rows of each label of ``labelled`` (``doc_id, label``)."""
     total, frequency = document_frequencies(docs)
-    rows, stands_for = bounded_sample(labelled, per_class)
+    rows, stands_for = bounded_sample(docs, labelled, per_class)
     inverse = np.log((total + 1) / (frequency + 1)) + 0.5
     weights = (inverse * FAMILY).astype(np.float32)
     labels = np.array([r["label"] for r in rows], dtype=np.float32)
@@ -214,10 +223,10 @@ def fit(
 
 
 def learnable(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
-    """Labelled texts that are not held out. Learned from: ``crc32(doc_id) mod 5 <> 0``."""
+    """``(doc_id, label)`` of labelled documents that are not held out: ``crc32(doc_id) mod 5 <> 0``."""
     known = labels.filter(F.col(label).isNotNull()).select("doc_id", F.col(label).cast("int").alias("label"))
     known = known.filter(~held_out("doc_id")).filter(F.col("label").isin(0, 1))
-    return docs.select("doc_id", "text").join(known, "doc_id")
+    return docs.select("doc_id").join(known, "doc_id").distinct()
 
 
 def held_out(doc_id: str) -> Column:
