@@ -11,8 +11,11 @@ Two sets of similarity 0.8 miss all 40 bands with a chance of 7e-10.
 
 Only connected groups are wanted, so pairs inside a group need not all be seen:
 documents with equal sets count once; the members of a bucket are first compared
-with one of them, for two choices of it; then each bucket compares only members
-that are still in different groups.
+with one of them, at first the one with most company in all its buckets (an
+original among its copies), then another; after that each bucket compares only
+members that are still in different groups. Such a pair is taken up in its first
+common bucket only, and only if bitmaps of the sets allow it: every bit in which
+they differ is a shingle that only one of the sets has. That bound is exact.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ COLLISION = 0.169919 * 2.0**-MANTISSA
 # Standard errors under the threshold at which an estimate is ruled out.
 SAFETY = 5
 STAR_ROUNDS = 2
+BITMAP = 4096
 REMEMBERED = 1_000_000
 
 _EVEN, _MIX1, _MIX2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -103,27 +107,36 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     return value.astype("<u2")
 
 
+def bitmap(hashes: np.ndarray) -> np.ndarray:
+    """One bit for every shingle, in ``BITMAP`` places."""
+    bits = np.zeros(BITMAP, dtype=np.uint8)
+    bits[(hashes & np.uint64(BITMAP - 1)).astype(np.int64)] = 1
+    return np.packbits(bits).view("<i8")
+
+
 def sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """``(doc_id, n, set_key, bands)``: set size, key of the set, packed registers by band."""
+    """``(doc_id, n, set_key, bands, bits)``: set size, key of the set, packed registers, bitmap."""
 
     def sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
         shingler = Shingler(shingle)
-        n, keys, bands = [], [], []
+        n, keys, bands, bits = [], [], [], []
         for text in batch.column("text").to_pylist():
             hashes = shingler.hashes(text)
             n.append(len(hashes))
             keys.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
             bands.append(registers(hashes).view("<i8") if len(hashes) else None)
+            bits.append(bitmap(hashes) if len(hashes) else None)
         columns = [
             batch.column("doc_id"),
             pa.array(n, pa.int64()),
             pa.array(keys, pa.binary()),
             pa.array(bands, pa.list_(pa.int64())),
+            pa.array(bits, pa.list_(pa.int64())),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "set_key", "bands"])
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "set_key", "bands", "bits"])
 
     made = docs.select(F.col("doc_id").cast("long"), "text")
-    return map_batches(made, sketch, "doc_id long, n long, set_key binary, bands array<long>")
+    return map_batches(made, sketch, "doc_id long, n long, set_key binary, bands array<long>, bits array<long>")
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -143,6 +156,11 @@ def _possible(threshold: float, n_a: Column, n_b: Column) -> Column:
     return F.least(n_a, n_b) >= F.greatest(n_a, n_b) * threshold - 1e-6
 
 
+def _differing(a: Column, b: Column) -> Column:
+    """In how many bits two bitmaps differ: no more than the sets do in shingles."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
+
+
 def verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose full sets reach the threshold."""
     threshold = percent / 100
@@ -184,26 +202,36 @@ def _in_groups(members: DataFrame, groups: DataFrame | None) -> DataFrame:
 
 def _star_pairs(members: DataFrame, number: int) -> DataFrame:
     """Every member of a bucket with the bucket's chosen one."""
-    order = F.struct(F.xxhash64("rep", F.lit(number)), F.col("rep"), F.col("component"))
+    if number == 0:
+        company = members.groupBy("rep").agg((-F.sum("size")).alias("rank"))
+        members = members.join(company, "rep")
+    else:
+        members = members.withColumn("rank", F.xxhash64("rep", F.lit(number)))
+    order = F.struct("rank", "rep", "component")
     chosen = members.groupBy("bucket").agg(F.min(order).alias("chosen"))
     chosen = chosen.select("bucket", F.col("chosen.rep").alias("pivot"), F.col("chosen.component").alias("of"))
     pairs = members.join(chosen, "bucket").filter("component != of")
     return pairs.select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")).distinct()
 
 
-def _rest_pairs(members: DataFrame, threshold: float) -> DataFrame:
+def _rest_pairs(members: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     """All pairs of a bucket in different groups; its largest group meets only the others."""
-    sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("size"))
-    major = sizes.groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("top"))
+    sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("uses"))
+    major = sizes.groupBy("bucket").agg(F.max(F.struct("uses", "component")).alias("top"))
     major = major.select("bucket", F.col("top.component").alias("major"))
-    minor = members.join(major, "bucket").filter("component != major")
-    minor = minor.select("bucket", "major", F.col("rep").alias("x"), F.col("n").alias("x_n"), F.col("component").alias("x_of"))
-    met = minor.join(members, "bucket").filter(
-        (F.col("component") != F.col("x_of"))
-        & ((F.col("component") == F.col("major")) | (F.col("x") < F.col("rep")))
+    full = members.select("bucket", "band", "rep", "component").join(reps.select("rep", "n", "bands", "bits"), "rep")
+    minor = full.join(major, "bucket").filter("component != major")
+    minor = minor.select("bucket", "major", *[F.col(c).alias(f"x_{c}") for c in ("rep", "component", "n", "bands", "bits")])
+    first_common = F.array_position(F.zip_with("bands", "x_bands", lambda x, y: x == y), F.lit(True))
+    at_most = (F.col("n") + F.col("x_n")) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    met = minor.join(full, "bucket").filter(
+        (F.col("component") != F.col("x_component"))
+        & ((F.col("component") == F.col("major")) | (F.col("x_rep") < F.col("rep")))
         & _possible(threshold, F.col("x_n"), F.col("n"))
+        & (first_common == F.col("band") + 1)
+        & (_differing(F.col("bits"), F.col("x_bits")) <= at_most)
     )
-    return met.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
+    return met.select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -220,13 +248,14 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     spark = docs.sparkSession
     prepare(spark)
     made = keep(sketches(docs, shingle), "sketches")
-    least = F.min(F.struct("doc_id", "n", "bands"))
+    least = F.min(F.struct("doc_id", "n", "bands", "bits"))
     grouped = made.filter("n > 0 and doc_id is not null").groupBy("set_key").agg(least.alias("least"))
-    reps = keep(grouped.select("set_key", F.col("least.doc_id").alias("rep"), "least.n", "least.bands"), "set-classes")
+    reps = grouped.select("set_key", F.col("least.doc_id").alias("rep"), "least.n", "least.bands", "least.bits")
+    reps = keep(reps, "set-classes")
 
-    rows = reps.select("rep", "n", F.posexplode("bands").alias("band", "value"))
-    rows = rows.select("rep", "n", F.xxhash64("band", "value").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1").select("bucket")
+    rows = reps.select("rep", F.posexplode("bands").alias("band", "value"))
+    rows = rows.select("rep", "band", F.xxhash64("band", "value").alias("bucket"))
+    shared = rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     members = keep(rows.join(shared, "bucket"), "bucket-members")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     # Of rows that repeat an id, the text that gave the class is among them.
@@ -236,7 +265,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     groups = None
     rounds: list[Callable[[DataFrame], DataFrame]] = [
         *[lambda m, k=k: _star_pairs(m, k) for k in range(STAR_ROUNDS)],
-        lambda m: _rest_pairs(m, percent / 100),
+        lambda m: _rest_pairs(m, reps, percent / 100),
     ]
     for pairs_of in rounds:
         members = _in_groups(members, groups) if groups is None else keep(_in_groups(members, groups), "open-buckets")
