@@ -226,6 +226,40 @@ def test_license_scan(make):
     assert licenses.scan_licenses(docs, [("none", "too short")]).collect() == []
 
 
+def test_license_scan_finds_short_notices_and_many_licenses(make):
+    known = [
+        "© 2020 Acme. All Rights Reserved.",
+        "// SPDX-License-Identifier: MIT",
+        "# SPDX-License-Identifier: BSD-3-Clause",
+        "either version 2 of the license? under the terms of the GNU General Public License v2",
+        "distributed under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License",
+        "under the GNU Affero General Public License, version 3",
+        "subject to the terms of the Mozilla Public License, v. 2.0. This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "https://creativecommons.org/licenses/by-sa/4.0/",
+        "This is licensed under CC BY 4.0.",
+        "CC0 1.0 Universal",
+        "available under the ISC license",
+        "all rights were reserved; under the terms",
+    ]
+    wanted = {
+        (0, "All-Rights-Reserved"), (1, "MIT"), (2, "BSD-3-Clause"), (3, "GPL-2.0"), (4, "LGPL-2.1"), (5, "AGPL-3.0"),
+        (6, "MPL-2.0"), (7, "CC-BY-SA-4.0"), (8, "CC-BY-4.0"), (9, "CC0-1.0"), (10, "ISC"),
+    }
+    got = {(r.doc_id, r.license): r for r in licenses.scan_licenses(make(list(enumerate(known)))).collect()}
+    assert set(got) == wanted
+    assert got[0, "All-Rights-Reserved"].first_word == 3 and got[0, "All-Rights-Reserved"].containment == 1.0
+
+
+def test_every_notice_is_found(make):
+    rows = [(i, f"before {text} after") for i, (_, text) in enumerate(licenses.TEMPLATES)]
+    got = {(r.doc_id, r.license): r.containment for r in licenses.scan_licenses(make(rows)).collect()}
+    assert all(got.get((i, name)) == 1.0 for i, (name, _) in enumerate(licenses.TEMPLATES))
+    short = [("one", "alpha"), ("two", "beta gamma"), ("four", "delta epsilon zeta eta")]
+    docs = make([(1, "alpha"), (2, "x Beta, GAMMA"), (3, "gamma beta"), (4, "delta epsilon zeta eta alpha"), (5, "delta epsilon zeta")])
+    got = {(r.doc_id, r.license, r.template, r.first_word) for r in licenses.scan_licenses(docs, short).collect()}
+    assert got == {(1, "one", 0, 0), (2, "two", 1, 1), (4, "four", 2, 0), (4, "one", 0, 4)}
+
+
 # -- contamination ------------------------------------------------------------
 
 BENCHMARK = "item_id long, text string"
