@@ -1,15 +1,18 @@
 """URL filtering by a rule list and by mined association rules.
 
-Tokens of labelled URLs (host labels, leading path segments, file extension,
-query keys) and the label itself are the items of one transaction per URL.
-Spark's FP-growth finds the frequent item sets; those that with the label
-"block" reach the wanted support and confidence become rules. Each rule is
+Tokens of labelled URLs (host labels, path segments, file extension, query
+keys) and the label itself are the items of one transaction per URL. Tokens
+that are not in enough URLs to be blocked cannot be part of a rule and are left
+out; tokens that always stand together are mined as one. Spark's FP-growth
+finds the frequent item sets; those that with the label "block" reach the
+wanted support and confidence become rules of any length. Each rule is
 indexed under its rarest token, so a URL meets only rules one of whose tokens
 it has, and matches if it has all of them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -62,18 +65,17 @@ def listed_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Colu
 
 
 def url_tokens(url: Column) -> Column:
-    """Distinct tokens of a URL: at most twelve features, so item sets stay few.
+    """Distinct tokens of a URL.
 
-    The last four host labels, the first three path segments (digits become
-    ``0``), the extension, and the first four query keys in alphabetical order.
+    All host labels, path segments (digits become ``0``) and query keys, and the
+    extension.
     """
     host, path = split_url(url)
-    labels = F.slice(F.reverse(F.split(host, r"\.")), 1, 4)
-    segments = F.slice(F.filter(F.split(lower_ascii(path), "/"), lambda s: s != ""), 1, 3)
+    labels = F.split(host, r"\.")
+    segments = F.split(lower_ascii(path), "/")
     extension = F.regexp_extract(lower_ascii(path), r"\.([a-z0-9]{1,8})$", 1)
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^[^?#]*\?([^#]*)", 1)
     keys = F.transform(F.split(query, "&"), lambda pair: F.substring_index(pair, "=", 1))
-    keys = F.slice(F.array_sort(F.array_distinct(F.filter(keys, lambda key: key != ""))), 1, 4)
 
     def marked(mark: str, parts: Column) -> Column:
         return F.transform(F.filter(parts, lambda p: p != ""), lambda p: F.concat(F.lit(mark), p))
@@ -84,57 +86,82 @@ def url_tokens(url: Column) -> Column:
     )
 
 
+def _frequent_tokens(tokens: DataFrame, least: int) -> DataFrame:
+    """``(token, same)`` of all tokens in ``least`` URLs to be blocked.
+
+    ``same`` is the first of the tokens that stand in the same URLs.
+    """
+    row = lambda seed: F.bit_xor(F.xxhash64("row", F.lit(seed)))
+    found = tokens.groupBy("token").agg(
+        F.count("*").alias("n"), F.count_if("blocked").alias("n_block"), row(1).alias("in_1"), row(2).alias("in_2")
+    )
+    frequent = keep(found.filter(F.col("n_block") >= least), "url-tokens")
+    alike = frequent.groupBy("n", "n_block", "in_1", "in_2").agg(F.array_sort(F.collect_set("token")).alias("members"))
+    return alike.select(F.explode("members").alias("token"), F.get("members", F.lit(0)).alias("same"))
+
+
 def mine_rules(
     labelled: DataFrame,
     *,
     support: float = 0.002,
     least: int = 5,
     confidence: float = 0.5,
-    longest: int = 3,
+    longest: int | None = None,
 ) -> DataFrame:
     """Rules ``(tokens, n, n_block, confidence)`` from ``(url, blocked)`` rows.
 
-    A rule is a set of up to ``longest`` tokens found in at least
+    A rule is a set of tokens (up to ``longest``, if given) found in at least
     ``max(least, support * rows)`` labelled URLs that are to be blocked, of which
     at least ``confidence`` of all with these tokens are. A rule is dropped if a
     part of it alone is at least as confident. Rows with a null label do not count.
     """
-    prepare(labelled.sparkSession)
-    items = F.concat(url_tokens(F.col("url")), F.when(F.col("blocked"), F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>")))
-    baskets = keep(labelled.filter(F.col("blocked").isNotNull()).select(items.alias("items")), "baskets")
-    n = baskets.count()
-    empty = "tokens array<string>, n long, n_block long, confidence double"
-    if not n:
-        return labelled.sparkSession.createDataFrame([], empty)
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, least / n)), minConfidence=1.0).fit(baskets)
-    sets = model.freqItemsets.filter(F.size(F.array_remove("items", BLOCK)) <= longest).select(
+    spark = labelled.sparkSession
+    prepare(spark)
+    rows = labelled.filter(F.col("blocked").isNotNull()).select(F.monotonically_increasing_id().alias("row"), "blocked", url_tokens(F.col("url")).alias("has"))
+    rows = keep(rows, "baskets")
+    n = rows.count()
+    none = spark.createDataFrame([], "tokens array<string>, n long, n_block long, confidence double")
+    wanted = max(1, math.ceil(max(least, support * n) - 1e-9))
+    each = rows.select("row", "blocked", F.explode("has").alias("token"))
+    frequent = keep(_frequent_tokens(each, wanted), "url-token-groups")
+    used = lookup_join(each, frequent, ["token"], spread=["row"])
+    items = used.groupBy("row", "blocked").agg(F.collect_set("same").alias("items"))
+    mark = F.when(F.col("blocked"), F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>"))
+    baskets = keep(items.select(F.concat("items", mark).alias("items")), "url-items")
+    mined = baskets.count()
+    if mined < wanted:
+        return none
+    # Half a row less, so that rounding up gives ``wanted`` rows.
+    model = FPGrowth(itemsCol="items", minSupport=(wanted - 0.5) / mined, minConfidence=1.0).fit(baskets)
+    sets = model.freqItemsets.select(
         F.array_sort(F.array_remove("items", BLOCK)).alias("tokens"),
         F.array_contains("items", BLOCK).alias("joint"),
         "freq",
     )
-    sets = keep(sets.filter(F.size("tokens") > 0), "item-sets")
-    counted = sets.groupBy("tokens").agg(
+    if longest is not None:
+        sets = sets.filter(F.size("tokens") <= longest)
+    counted = sets.filter(F.size("tokens") > 0).groupBy("tokens").agg(
         F.sum(F.when(~F.col("joint"), F.col("freq"))).alias("n"),
         F.sum(F.when(F.col("joint"), F.col("freq"))).alias("n_block"),
     )
     rules = counted.filter("n_block is not null").withColumn("confidence", F.col("n_block") / F.col("n"))
-    rules = rules.filter(F.col("confidence") >= confidence)
-    # Parts of a rule are rules too (support only grows), or less confident.
+    rules = keep(rules.filter(F.col("confidence") >= confidence), "url-all-rules")
+    # A part that is as confident is a rule too: support only grows.
     part = rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("reached"))
-    shorter = rules.withColumn(
-        "part",
-        F.explode(
-            F.array_except(
-                F.array_union(
-                    F.transform("tokens", lambda t: F.array(t)),
-                    F.transform("tokens", lambda t: F.array_remove("tokens", t)),
-                ),
-                F.array(F.col("tokens")),
-            )
-        ),
-    )
-    beaten = shorter.join(part, "part").filter(F.col("reached") >= F.col("confidence")).select("tokens").distinct()
-    return rules.join(beaten, "tokens", "left_anti")
+    part = rule_index(rules).withColumnRenamed("tokens", "part").join(part, "part")
+    longer = rules.select("tokens", "confidence", F.explode("tokens").alias("token"))
+    met = lookup_join(longer, keep(part, "url-rule-parts"), ["token"], spread=["tokens"])
+    inside = (F.size("part") < F.size("tokens")) & (F.size(F.array_except("part", "tokens")) == 0)
+    beaten = met.filter(inside & (F.col("reached") >= F.col("confidence"))).select("tokens").distinct()
+    best = rules.join(beaten, "tokens", "left_anti")
+    # Each token may stand for those it was mined with.
+    members = frequent.groupBy("same").agg(F.collect_list("token").alias("members"))
+    lists = best.select("*", F.explode("tokens").alias("same")).join(members, "same")
+    lists = lists.groupBy("tokens", "n", "n_block", "confidence").agg(F.collect_list("members").alias("lists"))
+    start = F.array(F.array().cast("array<string>"))
+    grown = lambda made, more: F.flatten(F.transform(made, lambda m: F.transform(more, lambda t: F.concat(m, F.array(t)))))
+    full = lists.select(F.explode(F.aggregate("lists", start, grown)).alias("tokens"), "n", "n_block", "confidence")
+    return full.withColumn("tokens", F.array_sort("tokens"))
 
 
 def rule_index(rules: DataFrame) -> DataFrame:

@@ -196,6 +196,39 @@ def test_mined_rules(spark):
     assert got == {1: "block", 2: "allow", 3: "block"}
 
 
+def test_rules_use_every_part_of_a_url_and_any_length(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(800):
+        on = [rng.random() < 0.6 for _ in range(4)]
+        path = "/".join(a if x else b for x, a, b in zip(on, ("q", "r", "s", "t"), ("k", "l", "m", "n")))
+        rows.append((f"http://calm.shop/{path}", all(on)))
+    for i in range(200):
+        bad = i % 2 == 0
+        rows.append((f"http://{'spam' if bad else 'ham'}.a.b.c.d.info/x", bad))
+        rows.append((f"http://deep.com/1/2/3/{'bad' if bad else 'good'}/{i}", bad))
+        rows.append((f"http://keys.com/?a=1&b=1&c=1&d=1&{'zbad' if bad else 'zgood'}=1", bad))
+    labelled = spark.createDataFrame(rows, "url string, blocked boolean")
+    mined = {tuple(r.tokens): (r.n, r.n_block) for r in urls.mine_rules(labelled, confidence=0.95).collect()}
+    assert {("h:spam",), ("p:bad",), ("q:zbad",), ("p:q", "p:r", "p:s", "p:t")} <= set(mined)
+    assert mined["h:spam",] == (100, 100)
+    # Without parts of a rule that add nothing.
+    assert all(not set(a) < set(b) for a in mined for b in mined)
+    seen = spark.createDataFrame(
+        [(1, "http://spam.z.y.x.w.v/"), (2, "http://o.com/a/b/c/d/bad"), (3, "http://o.com/?a&b&c&d&zbad"), (4, "http://o.com/q/r/s/t"), (5, "http://o.com/q/r/s/n")],
+        "page_id long, url string",
+    )
+    got = {r.page_id: r.verdict for r in urls.judge_urls(seen, labelled, confidence=0.95).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow"}
+
+
+def test_tokens_that_stand_together_are_rules_each(spark):
+    rows = [(f"http://one.two.three/{'/'.join('abcdefghijklmnopqrstuvw')}", True)] * 20 + [("http://three/z", False)] * 20
+    mined = urls.mine_rules(spark.createDataFrame(rows, "url string, blocked boolean"), confidence=0.9).collect()
+    assert {tuple(r.tokens) for r in mined} == {("h:one",), ("h:two",), *((f"p:{c}",) for c in "abcdefghijklmnopqrstuvw")}
+    assert urls.mine_rules(spark.createDataFrame(rows[:3], "url string, blocked boolean")).collect() == []
+
+
 # -- licenses -----------------------------------------------------------------
 
 
