@@ -10,9 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ackline.operators.epochs import epoch_intervals
+from ackline.operators.epochs import assigned_records, epoch_intervals
+from ackline.schemas import PARTITION
 from ackline.session import cut, workspace
 
 TABLES = ("events", "documents")
@@ -32,14 +34,14 @@ FROM (
   SELECT -5000 AS seq, 'assigned' AS event, partition_id AS list_pos, partition_id, '' AS message
   FROM (SELECT DISTINCT event_id % 4 AS partition_id FROM events) p
   UNION ALL
-  SELECT event_id * 10000 + 5000, 'revoked', 0, event_id % 4, '' FROM events WHERE event_type = 'error' AND user_id % 61 = 7
+  SELECT event_id * 10000 + 5000, 'revoked', 0, event_id % 4, '' FROM events WHERE event_type = 'error'
   UNION ALL
-  SELECT event_id * 10000 + 5000, 'revoked', 1, 9, '' FROM events WHERE event_type = 'error' AND user_id % 61 = 7
+  SELECT event_id * 10000 + 5000, 'revoked', 1, 9, '' FROM events WHERE event_type = 'error'
   UNION ALL
-  SELECT (event_id + 5) * 10000 + 6000, 'assigned', 0, event_id % 4, '' FROM events WHERE event_type = 'error' AND user_id % 61 = 7
+  SELECT (event_id + 5) * 10000 + 6000, 'assigned', 0, event_id % 4, '' FROM events WHERE event_type = 'error'
   UNION ALL
   SELECT event_id * 10000 + 7000, 'error', 0, event_id % 4, concat('coordinator unreachable ', event_id)
-  FROM events WHERE event_type = 'error' AND user_id % 61 = 7) t""",
+  FROM events WHERE event_type = 'error') t""",
     "rebalance_log": """
 SELECT seq, CASE event_type WHEN 'signup' THEN 'assigned' WHEN 'purchase' THEN 'revoked' ELSE 'error' END AS event,
        list_pos, 'events' AS topic, CAST((user_id + list_pos) % 4 AS INT) AS partition_id,
@@ -153,6 +155,12 @@ SELECT 'end', bucket, object_key, CAST(n * 10 + 1 AS INT), 0, CAST(n * 100 + 200
 SELECT doc_id, doc_id * 10 AS start_tick, doc_id * 10 + 1 + (doc_id * 37) % 75 AS end_tick FROM documents""",
 }
 
+# As in the view of deliveries.
+ACCOUNTED = (
+    "128 + coalesce(CAST(bit_length(key_text) / 8 AS BIGINT), 0) + coalesce(CAST(bit_length(payload_text) / 8 AS BIGINT), 0)"
+    " + 10 + CAST(bit_length(h_type) / 8 AS BIGINT) + 5 * h_retry"
+)
+
 DEPENDS: dict[str, list[str]] = {
     "fx_epochs": ["assignment_events"],
     "deliveries": ["records", "fx_epochs"],
@@ -242,6 +250,12 @@ class Inputs:
         return cut(epoch_intervals(self[log]), f"intervals-{log}")
 
     def _view(self, name: str) -> DataFrame:
+        # By scans: in SQL one task would order the whole log, and records meet all intervals of their partition.
+        if name == "fx_epochs":
+            return epoch_intervals(self["assignment_events"]).drop("closed_by")
+        if name == "deliveries":
+            records = assigned_records(self["records"], self.intervals("assignment_events"))
+            return records.select(*PARTITION, "epoch", "record_offset", "seq", F.expr(ACCOUNTED).alias("accounted_bytes"))
         for needed in DEPENDS.get(name, TABLES):
             if needed not in self._registered:
                 self[needed].createOrReplaceTempView(needed)
