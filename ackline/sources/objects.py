@@ -7,6 +7,7 @@ Buckets and keys come from payloads: names that would leave the root are refused
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -59,7 +60,8 @@ def object_ranges(requests: DataFrame, chunk_bytes: int, range_chunks: int) -> D
     """Cut every requested object into ranges of ``range_chunks`` chunks.
 
     The last range of an object reads one chunk past the announced size, so that
-    verification sees a body that is longer, however long it is.
+    verification sees a body that is longer, however long it is. An object
+    without an announced size is one range that is read to its end.
     """
     positive("chunk_bytes", chunk_bytes)
     positive("range_chunks", range_chunks)
@@ -116,8 +118,10 @@ def _read_range(filesystem, base: str, row: dict, chunk_bytes: int, range_chunks
     named = {"bucket": row["bucket"], "object_key": row["object_key"]}
     index = row["range"] * range_chunks
     stop = index + range_chunks
-    if row["is_last"]:
-        stop = max(index, -(-max(row["size"] or 0, 0) // chunk_bytes)) + 1
+    if row["size"] is None:
+        stop = math.inf
+    elif row["is_last"]:
+        stop = max(index, -(-max(row["size"], 0) // chunk_bytes)) + 1
     try:
         with filesystem.open_input_file(object_path(base, row["bucket"], row["object_key"])) as source:
             source.seek(index * chunk_bytes)

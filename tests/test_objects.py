@@ -161,6 +161,21 @@ def test_object_store_round_trip(spark, tmp_path):
     assert row.content is None and row.read_error == "stored object exceeds 16 bytes"
 
 
+def test_object_without_announced_size_is_read_to_its_end(spark, tmp_path):
+    contents = {"empty": b"", "exact": b"ab" * 8, "long": bytes(range(256)) * 3}
+    root = str(tmp_path / "store")
+    stores.write_objects(
+        spark.createDataFrame([("b", k, v) for k, v in contents.items()], "bucket string, object_key string, content binary"), root
+    )
+    requests = spark.createDataFrame([("b", k, None, None) for k in [*contents, "absent"]], REQUEST)
+    rows = stores.read_object_chunks(requests, root, chunk_bytes=16, range_chunks=4).collect()
+    for key, content in contents.items():
+        mine = sorted((r for r in rows if r.object_key == key), key=lambda r: r.chunk_index)
+        assert b"".join(bytes(r.data) for r in mine if r.kind == "chunk") == content
+        assert [r.kind for r in mine].count("end") == 1 and mine[-1].kind == "end"
+    assert [r.kind for r in rows if r.object_key == "absent"] == ["chunk"]
+
+
 def test_names_outside_the_root_are_refused(spark, tmp_path):
     (tmp_path / "outside.txt").write_bytes(b"not for you")
     root = str(tmp_path / "store")
