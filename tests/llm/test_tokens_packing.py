@@ -93,6 +93,16 @@ def test_every_capacity_holds():
         assert (offset[sequence == s][order] == np.cumsum([0, *held[order][:-1]])).all()
 
 
+def test_document_and_attention_capacities_decide():
+    def sequences(lengths, **limits):
+        return len(np.unique(packing.best_fit(np.array(lengths), packing.Capacities(**limits))[0]))
+
+    # By tokens alone each list fits one sequence.
+    assert sequences([1] * 12) == sequences([10] * 12) == 1
+    assert sequences([1] * 12, documents=3) == 4
+    assert sequences([10] * 12, attention=200) == 6
+
+
 def test_nothing_to_pack(make, vocabulary):
     assert packing.pack_documents(make([]), vocabulary).collect() == []
     only = packing.pack_documents(make([(None, None)]), vocabulary).collect()
