@@ -133,9 +133,33 @@ SELECT page_id, host, path, {_case(0)} AS rule,
   coalesce({_case(1)}, CASE WHEN url IN (SELECT url FROM mined WHERE url IS NOT NULL) THEN 'block' END, 'allow') AS verdict
 FROM page"""
 
+FILL_IN_MIDDLE = """
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS parts,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents),
+drawn AS (
+  SELECT *, CAST(len(parts) - (CASE WHEN parts[-1] = '' THEN 1 ELSE 0 END) AS BIGINT) AS n,
+         list_transform(range(4), lambda k: CAST('0x' || substr(digest, CAST(8 * k + 1 AS BIGINT), 8) AS BIGINT)) AS h FROM doc),
+cut AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS low, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS high,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+              WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+sized AS (
+  SELECT *, CASE WHEN low = 0 THEN 0 ELSE least(length(text), length(array_to_string(parts[:low], chr(10))) + 1) END AS p,
+         CASE WHEN high = 0 THEN 0 ELSE least(length(text), length(array_to_string(parts[:high], chr(10))) + 1) END AS q FROM cut),
+made AS (
+  SELECT *, CASE form WHEN 'plain' THEN text
+      WHEN 'psm' THEN '<P>' || substr(text, 1, p) || '<S>' || substr(text, q + 1) || '<M>' || substr(text, p + 1, q - p)
+      ELSE '<S>' || substr(text, q + 1) || '<P>' || substr(text, 1, p) || '<M>' || substr(text, p + 1, q - p) END AS output FROM sized)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(p AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(q - p AS BIGINT) END AS middle_chars,
+       sha256(output) AS output_sha256, sha256(text) AS restored_sha256
+FROM made"""
+
 ORACLES: dict[str, str] = {
     "op6_near_duplicates": NEAR_DUPLICATES,
     "op7_judge_urls": URLS,
     "op9_scan_licenses": LICENSES,
     "op10_find_contamination": CONTAMINATION,
+    "op13_fill_in_middle": FILL_IN_MIDDLE,
 }

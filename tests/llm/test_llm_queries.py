@@ -29,7 +29,7 @@ COLUMNS = {
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES if name != "pipeline"}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES if name != "pipeline"}
 
 
 @pytest.mark.parametrize("name", ORACLES)
