@@ -156,10 +156,45 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(p AS BIGINT) END AS
        sha256(output) AS output_sha256, sha256(text) AS restored_sha256
 FROM made"""
 
+# CRC-32 of a word's UTF-8 bytes, from the polynomial: a table of 256 remainders, then byte by byte.
+RESAMPLING = r"""
+WITH tab AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) AS c
+    FROM (SELECT unnest(range(256)) AS b))),
+said AS (
+  SELECT doc_id, 'd' AS kind, {doc_words} AS w FROM documents
+  UNION ALL SELECT item_id, 't', {doc_words} FROM benchmark),
+word AS (SELECT DISTINCT unnest(w) AS word FROM said),
+bytes AS (
+  SELECT word, list_transform(range(0, strlen(word)), lambda i: CAST('0x' || substr(hex(word), 2 * i + 1, 2) AS BIGINT)) AS b FROM word),
+hashed AS (
+  SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295, b),
+           lambda c, x: xor(t[CAST(xor(c, x) % 256 + 1 AS BIGINT)], c // 256))) % 10000 AS bucket FROM bytes, tab),
+used AS (SELECT kind, doc_id, bucket FROM (SELECT kind, doc_id, unnest(w) AS word FROM said) JOIN hashed USING (word)),
+counted AS (
+  SELECT b.bucket, count(u.bucket) FILTER (kind = 'd') AS s, count(u.bucket) FILTER (kind = 't') AS t
+  FROM (SELECT unnest(range(10000)) AS bucket) b LEFT JOIN used u ON u.bucket = b.bucket GROUP BY b.bucket),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1.0::DOUBLE) * (sum(s) OVER () + 10000.0::DOUBLE)
+                                     / ((s + 1.0::DOUBLE) * (sum(t) OVER () + 10000.0::DOUBLE)))) AS BIGINT) AS g FROM counted),
+weighed AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(x.weight, 0) AS weight
+  FROM said d LEFT JOIN (SELECT doc_id, sum(g) AS weight FROM used JOIN gain USING (bucket) WHERE kind = 'd' GROUP BY doc_id) x
+    ON x.doc_id = d.doc_id WHERE d.kind = 'd'),
+scored AS (
+  SELECT doc_id, n_features, CAST(weight AS BIGINT) AS weight, CAST(weight + floor(-1000 * ln(-ln(
+    (CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM weighed),
+placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)""".replace("{doc_words}", _words("text"))
+
 ORACLES: dict[str, str] = {
     "op6_near_duplicates": NEAR_DUPLICATES,
     "op7_judge_urls": URLS,
     "op9_scan_licenses": LICENSES,
     "op10_find_contamination": CONTAMINATION,
+    "op11_resample": RESAMPLING,
     "op13_fill_in_middle": FILL_IN_MIDDLE,
 }

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ackline.llm import contamination, fim, fingerprints, licenses, neardup, packing, pages, quality, suffixes, tokens, urls
+from ackline.llm import contamination, fim, fingerprints, licenses, neardup, packing, pages, quality, resampling, suffixes, tokens, urls
 from ackline.llm.common import table
 from ackline.llm.oracles import ORACLES
 
@@ -67,6 +67,10 @@ def op10_find_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampling_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.fill_in_middle_digest(table(spark, sf_dir, "documents"))
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op8_count_tokens": op8_count_tokens,
     "op9_scan_licenses": op9_scan_licenses,
     "op10_find_contamination": op10_find_contamination,
+    "op11_resample": op11_resample,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
