@@ -190,11 +190,26 @@ placed AS (
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
 FROM scored LEFT JOIN placed USING (doc_id)""".replace("{doc_words}", _words("text"))
 
+NEAR_VECTORS = """
+WITH RECURSIVE given AS (
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+vec AS (
+  SELECT r, vec_id, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS u FROM given
+  WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.r AS a, b.r AS b FROM vec a JOIN vec b ON a.r <> b.r AND len(a.u) = len(b.u) AND list_inner_product(a.u, b.u) >= 0.95),
+reach AS (SELECT r AS a, r AS x FROM given UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.x = links.a),
+least AS (SELECT reach.a, min(vec_id) AS component_id FROM reach JOIN given ON reach.x = given.r GROUP BY reach.a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = g.r) AS n_links, component_id,
+       component_id IS NOT DISTINCT FROM vec_id AS kept
+FROM given g JOIN least ON least.a = g.r"""
+
 ORACLES: dict[str, str] = {
     "op6_near_duplicates": NEAR_DUPLICATES,
     "op7_judge_urls": URLS,
     "op9_scan_licenses": LICENSES,
     "op10_find_contamination": CONTAMINATION,
     "op11_resample": RESAMPLING,
+    "op12_near_duplicate_vectors": NEAR_VECTORS,
     "op13_fill_in_middle": FILL_IN_MIDDLE,
 }

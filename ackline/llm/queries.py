@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ackline.llm import contamination, fim, fingerprints, licenses, neardup, packing, pages, quality, resampling, suffixes, tokens, urls
+from ackline.llm import contamination, fim, fingerprints, licenses, neardup, packing, pages, quality, resampling, suffixes, tokens, urls, vectors
 from ackline.llm.common import table
 from ackline.llm.oracles import ORACLES
 
@@ -71,6 +71,10 @@ def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resampling_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_near_duplicate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.fill_in_middle_digest(table(spark, sf_dir, "documents"))
 
@@ -87,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op9_scan_licenses": op9_scan_licenses,
     "op10_find_contamination": op10_find_contamination,
     "op11_resample": op11_resample,
+    "op12_near_duplicate_vectors": op12_near_duplicate_vectors,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
