@@ -30,6 +30,11 @@ def _shingles(parts: str, size: int = 5) -> str:
     return f"list_transform(range(1, len({parts}) - {size} + 2), lambda i: array_to_string({parts}[i:i + {size - 1}], ' '))"
 
 
+def _runs(parts: str, size: str) -> str:
+    """All runs of ``size`` (a column) words."""
+    return f"list_transform(range(1, len({parts}) - {size} + 2), lambda i: array_to_string({parts}[i:i + {size} - 1], ' '))"
+
+
 NEAR_DUPLICATES = rf"""
 WITH RECURSIVE cut AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+'),
@@ -80,11 +85,13 @@ _TEMPLATES = ", ".join(f"({i}, {_quoted(name)}, {_quoted(text)})" for i, (name,
 
 LICENSES = f"""
 WITH template AS (
-  SELECT t, license, list_distinct({_shingles('w')}) AS s
-  FROM (SELECT t, license, {_words('body')} AS w FROM (VALUES {_TEMPLATES}) v(t, license, body))),
+  SELECT t, license, k, list_distinct({_runs('w', 'k')}) AS s
+  FROM (SELECT t, license, w, least(5, len(w)) AS k
+        FROM (SELECT t, license, {_words('body')} AS w FROM (VALUES {_TEMPLATES}) v(t, license, body)))),
 sized AS (SELECT *, len(s) AS n, greatest(1, len(s) // 4) AS step FROM template WHERE len(s) > 0),
-doc AS (SELECT doc_id, {_shingles('w')} AS h FROM (SELECT doc_id, {_words('text')} AS w FROM documents) WHERE len(w) >= 5),
-hit AS (SELECT DISTINCT doc_id, h, t FROM doc JOIN sized ON list_has_any(h, s)),
+doc AS (SELECT doc_id, k, {_runs('w', 'k')} AS h
+        FROM (SELECT doc_id, {_words('text')} AS w FROM documents), (SELECT DISTINCT k FROM sized) WHERE len(w) >= k),
+hit AS (SELECT DISTINCT doc_id, h, t FROM doc JOIN sized ON doc.k = sized.k AND list_has_any(h, s)),
 tried AS (
   SELECT doc_id, license, hit.t, n, s, h, unnest(range(0, len(h), step)) AS start FROM hit JOIN sized USING (t)),
 held AS (
