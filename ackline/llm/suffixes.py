@@ -94,47 +94,59 @@ def owners(data: np.ndarray, length: int, gram: int, powers: Powers) -> tuple[np
     return hashes, (sliding_minimum(ranked, length - gram + 1) & _LOW).astype(np.int64)
 
 
+# A row is told from others by its id and the hash of its text; rows equal in both are copies.
+KEY = ["doc", "print"]
+_KEY = "doc long, print long"
+
+
+def row_key(docs: DataFrame, text: str = "text") -> list[F.Column]:
+    """The key of every row; a null id is replaced by a second hash of the text."""
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("no id"), F.col(text)))
+    return [doc.alias("doc"), F.xxhash64(F.col(text)).alias("print")]
+
+
 def _bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """``(anchor, doc_id, place)`` of every document."""
+def anchors(keyed: DataFrame, length: int, gram: int) -> DataFrame:
+    """``(doc, print, anchor, place)`` of every row."""
 
     def find(batch: pa.RecordBatch) -> pa.RecordBatch:
         powers = Powers()
-        ids, found, places = [], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+        row, found, places = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for number, text in enumerate(batch.column("text").to_pylist()):
             data = np.frombuffer(_bytes(text), np.uint8)
             if len(data) < length:
                 continue
             hashes, owner = owners(data, length, gram, powers)
             place = owner[np.flatnonzero(np.diff(owner, prepend=-1))]
-            ids.extend([doc_id] * len(place))
+            row.append(np.full(len(place), number))
             found.append(hashes[place].view(np.int64))
             places.append(place)
-        columns = [pa.array(ids, pa.int64()), pa.array(np.concatenate(found)), pa.array(np.concatenate(places))]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "anchor", "place"])
+        at = pa.array(np.concatenate(row))
+        columns = [*(batch.column(c).take(at) for c in KEY), pa.array(np.concatenate(found)), pa.array(np.concatenate(places))]
+        return pa.RecordBatch.from_arrays(columns, names=[*KEY, "anchor", "place"])
 
-    return map_batches(docs.select("doc_id", "text"), find, "doc_id long, anchor long, place long")
+    return map_batches(keyed.select(*KEY, "text"), find, f"{_KEY}, anchor long, place long")
 
 
-PIECES = "anchor long, key binary, doc_id long, first long, n int, lead int, piece binary"
+PIECES = f"anchor long, key binary, {_KEY}, first long, n int, lead int, piece binary"
 
 
-def pieces(docs: DataFrame, recurring: DataFrame, length: int, gram: int) -> DataFrame:
+def pieces(keyed: DataFrame, recurring: DataFrame, length: int, gram: int) -> DataFrame:
     """Runs of windows with the same recurring anchor.
 
     ``first`` is the first window's start, ``n`` their number, ``lead`` the bytes
     before the anchor, ``piece`` the bytes all windows cover, ``key`` their digest.
     """
-    marked = docs.select("doc_id", "text").join(recurring, "doc_id")
+    marked = keyed.select(*KEY, "text").join(recurring, KEY)
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         powers = Powers()
         rows = []
-        columns = [batch.column(c).to_pylist() for c in ("doc_id", "text", "places")]
-        for doc_id, text, places in zip(*columns):
+        columns = [batch.column(c).to_pylist() for c in (*KEY, "text", "places")]
+        for doc, mark, text, places in zip(*columns):
             raw = _bytes(text)
             if len(raw) < length:
                 continue
@@ -155,10 +167,10 @@ def pieces(docs: DataFrame, recurring: DataFrame, length: int, gram: int) -> Dat
                 piece = raw[a : b - 1 + length]
                 at = int(state[a])
                 key = hashlib.blake2b(piece, digest_size=16).digest()
-                rows.append((int(hashes[at].view(np.int64)), key, doc_id, a, b - a, at - a, piece))
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-        made = [pa.array(v, k) for v, k in zip(zip(*rows) if rows else [[]] * 7, kinds)]
-        return pa.RecordBatch.from_arrays(made, names=["anchor", "key", "doc_id", "first", "n", "lead", "piece"])
+                rows.append((int(hashes[at].view(np.int64)), key, doc, mark, a, b - a, at - a, piece))
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        made = [pa.array(v, k) for v, k in zip(zip(*rows) if rows else [[]] * 8, kinds)]
+        return pa.RecordBatch.from_arrays(made, names=["anchor", "key", *KEY, "first", "n", "lead", "piece"])
 
     return map_batches(marked, cut, PIECES)
 
@@ -254,24 +266,28 @@ def _runs(mark: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), (edges[1::2] - 1).tolist()))
 
 
-RUNS = "anchor long, key binary, lo int, hi int"
+RUNS = "anchor long, key binary, runs array<struct<lo: int, hi: int>>"
 
 
 def sorted_buckets(different: DataFrame, length: int, gram: int) -> DataFrame:
-    """``(anchor, key, lo, hi)``: runs of windows of a piece that recur in other pieces."""
+    """``(anchor, key, runs)``: runs of windows that recur in other pieces, of pieces used once.
+
+    A piece used more often recurs as a whole; it takes part in the sort only.
+    """
 
     def sort(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def done(rows: list) -> pd.DataFrame:
             runs = []
             if len(rows) > 1:
                 marks = recurring_windows([(r[2], r[3], r[4]) for r in rows], length, gram)
-                runs = [(r[0], r[1], lo, hi) for r, mark in zip(rows, marks) for lo, hi in _runs(mark)]
-            return pd.DataFrame(runs, columns=["anchor", "key", "lo", "hi"])
+                found = [(r, _runs(mark)) for r, mark in zip(rows, marks) if r[5] == 1]
+                runs = [(r[0], r[1], [{"lo": lo, "hi": hi} for lo, hi in held]) for r, held in found if held]
+            return pd.DataFrame(runs, columns=["anchor", "key", "runs"])
 
         rows: list = []
         out: list[pd.DataFrame] = []
         for frame in frames:
-            for row in frame[["anchor", "key", "n", "lead", "piece"]].itertuples(index=False, name=None):
+            for row in frame[["anchor", "key", "n", "lead", "piece", "uses"]].itertuples(index=False, name=None):
                 if rows and rows[0][0] != row[0]:
                     out.append(done(rows))
                     rows = []
@@ -290,53 +306,59 @@ def windows_one_by_one(different: DataFrame, length: int) -> DataFrame:
 
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        for anchor, key, n, piece in zip(*[batch.column(c).to_pylist() for c in ("anchor", "key", "n", "piece")]):
+        names = ("anchor", "key", "n", "piece", "uses")
+        for anchor, key, n, piece, uses in zip(*[batch.column(c).to_pylist() for c in names]):
             for k in range(n):
                 digest = hashlib.blake2b(piece[k : k + length], digest_size=16).digest()
-                rows.append((anchor, key, k, digest))
-        kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary())
-        made = [pa.array(v, k) for v, k in zip(zip(*rows) if rows else [[]] * 4, kinds)]
-        return pa.RecordBatch.from_arrays(made, names=["anchor", "key", "lo", "window"])
-
-    each = map_batches(different.select("anchor", "key", "n", "piece"), spread, "anchor long, key binary, lo int, window binary")
-    again = each.groupBy("anchor", "window").agg(F.count("*").alias("uses")).filter("uses > 1")
-    found = each.join(again, ["anchor", "window"]).groupBy("anchor", "key")
+                rows.append((anchor, key, k, digest, uses))
+        kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.int64())
+        made = [pa.array(v, k) for v, k in zip(zip(*rows) if rows else [[]] * 5, kinds)]
+        return pa.RecordBatch.from_arrays(made, names=["anchor", "key", "lo", "window", "uses"])
+
+    schema = "anchor long, key binary, lo int, window binary, uses long"
+    each = map_batches(different.select("anchor", "key", "n", "piece", "uses"), spread, schema)
+    again = each.groupBy("anchor", "window").agg(F.count("*").alias("n")).filter("n > 1").select("anchor", "window")
+    found = each.filter("uses = 1").join(again, ["anchor", "window"]).groupBy("anchor", "key")
     # Neighbouring windows of a piece, of which there are few, become one run.
     los = found.agg(F.sort_array(F.collect_set("lo")).alias("los"))
     opens = F.filter("los", lambda x, i: (i == 0) | (F.get(F.col("los"), i - 1) != x - 1))
     closes = F.filter("los", lambda x, i: (i == F.size("los") - 1) | (F.get(F.col("los"), i + 1) != x + 1))
-    runs = los.select("anchor", "key", F.explode(F.arrays_zip(opens.alias("lo"), closes.alias("hi"))).alias("run"))
-    return runs.select("anchor", "key", "run.lo", "run.hi")
+    return los.select("anchor", "key", F.arrays_zip(opens.alias("lo"), closes.alias("hi")).alias("runs"))
 
 
 def recurring_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, split: int = SPLIT) -> DataFrame:
-    """``(doc_id, first, last)``: runs of starts of windows that occur elsewhere too."""
+    """``(doc, print, spans)`` of every row that has some: runs of starts of windows that occur elsewhere too."""
     if not 0 < gram <= length:
         raise ValueError("a gram must fit into a window")
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    found = keep(anchors(docs, length, gram), "anchors")
+    keyed = docs.select(*row_key(docs), "text")
+    found = keep(anchors(keyed, length, gram), "anchors")
     twice = found.groupBy("anchor").agg(F.count("*").alias("uses")).filter("uses > 1").select("anchor")
     # Stored, so that the join has exchanges of its own and a hot anchor is split.
     twice = keep(twice, "recurring-anchors")
-    places = found.join(twice, "anchor").groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    made = keep(pieces(docs, places, length, gram), "pieces")
+    places = found.join(twice, "anchor").groupBy(*KEY).agg(F.collect_set("place").alias("places"))
+    made = keep(pieces(keyed, places, length, gram), "pieces")
 
-    kinds = made.groupBy("anchor", "key").agg(F.count("*").alias("uses"), F.min(F.struct("doc_id", "first")).alias("one"))
+    kinds = made.groupBy("anchor", "key").agg(F.count("*").alias("uses"), F.min(F.struct(*KEY, "first")).alias("one"))
     kinds = keep(kinds, "piece-kinds")
     wide = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    chosen = kinds.join(wide, "anchor").select("anchor", "key", "one.doc_id", "one.first", "kinds")
-    different = made.join(chosen, ["anchor", "key", "doc_id", "first"]).dropDuplicates(["anchor", "key"])
-    different = keep(different.select("anchor", "key", "n", "lead", "piece", "kinds"), "different-pieces")
+    chosen = kinds.join(wide, "anchor").select("anchor", "key", *[f"one.{c}" for c in KEY], "one.first", "uses", "kinds")
+    different = made.join(chosen, ["anchor", "key", *KEY, "first"]).dropDuplicates(["anchor", "key"])
+    different = keep(different.select("anchor", "key", "n", "lead", "piece", "uses", "kinds"), "different-pieces")
     partly = sorted_buckets(different.filter(F.col("kinds") <= split).drop("kinds"), length, gram)
     split_up = windows_one_by_one(different.filter(F.col("kinds") > split), length)
-    runs = keep(partly.unionByName(split_up), "window-runs")
 
-    whole = kinds.filter("uses > 1").select("anchor", "key")
-    each = made.select("anchor", "key", "doc_id", "first", "n")
-    copied = each.join(whole, ["anchor", "key"]).select("doc_id", "first", (F.col("first") + F.col("n") - 1).alias("last"))
-    shared = each.join(runs, ["anchor", "key"])
-    shared = shared.select("doc_id", (F.col("first") + F.col("lo")).alias("first"), (F.col("first") + F.col("hi")).alias("last"))
-    return copied.unionByName(shared)
+    # One row a kind: a piece used more than once recurs as a whole, another by its runs.
+    whole = kinds.filter("uses > 1").select("anchor", "key", F.lit(None).cast("array<struct<lo: int, hi: int>>").alias("runs"))
+    marks = keep(partly.unionByName(split_up).unionByName(whole), "window-runs")
+    each = made.select("anchor", "key", *KEY, "first", "n").join(marks, ["anchor", "key"])
+    all_of_it = F.array(F.struct(F.lit(0).alias("lo"), (F.col("n") - 1).alias("hi")))
+    placed = F.transform(
+        F.coalesce("runs", all_of_it),
+        lambda r: F.struct((F.col("first") + r["lo"]).alias("first"), (F.col("first") + r["hi"]).alias("last")),
+    )
+    # Rows with the same key have the same spans: one of them is enough.
+    spans = each.select(*KEY, "first", placed.alias("spans")).groupBy(*KEY, "first").agg(F.first("spans").alias("spans"))
+    return spans.groupBy(*KEY).agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 DIGEST = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -351,10 +373,12 @@ def _covered(n_bytes: int, spans: list | None, length: int) -> np.ndarray:
     return np.cumsum(depth[:-1]) > 0
 
 
-def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``docs`` with the spans of their ids as an array ``spans``."""
-    grouped = spans.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    return docs.join(grouped, "doc_id", "left")
+def _with_spans(docs: DataFrame, spans: DataFrame, *columns: str) -> DataFrame:
+    """Text and spans of every row as ``_text`` and ``_spans``, before ``columns``."""
+    names = [F.col(c).alias(f"_own_{i}") for i, c in enumerate(columns)]
+    keyed = docs.select(*row_key(docs), F.col("text").alias("_text"), *names)
+    joined = keyed.join(spans.withColumnRenamed("spans", "_spans"), KEY, "left")
+    return joined.select("_text", "_spans", *[f"_own_{i}" for i in range(len(columns))])
 
 
 def repeated_bytes(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -362,15 +386,15 @@ def repeated_bytes(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -
 
     A byte is removed if a string of ``length`` bytes that also starts anywhere
     else covers it. A null text is empty; texts shorter than ``length`` lose
-    nothing. Rows are told apart by ``doc_id``, which must be unique; rows that
-    repeat an id and text are copies of each other.
+    nothing. Rows with a null id or under a repeated one are rows of their own;
+    rows that repeat id and text are copies of each other.
     """
     prepare(docs.sparkSession)
     spans = recurring_spans(docs, length=length, gram=gram)
 
     def digest(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        for doc_id, text, found in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text", "spans")]):
+        for text, found, doc_id in zip(*[c.to_pylist() for c in batch.columns]):
             raw = _bytes(text)
             gone = _covered(len(raw), found, length)
             rest = np.frombuffer(raw, np.uint8)[~gone].tobytes()
@@ -380,30 +404,31 @@ def repeated_bytes(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -
         made = [pa.array(v, k) for v, k in zip(zip(*rows), kinds)]
         return pa.RecordBatch.from_arrays(made, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    joined = with_spans(docs.select(F.col("doc_id").cast("long"), "text"), spans)
+    joined = _with_spans(docs.withColumn("doc_id", F.col("doc_id").cast("long")), spans, "doc_id")
     return map_batches(joined, digest, DIGEST)
 
 
 def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``docs`` with the repeated bytes cut out of ``text``, and ``n_chars`` to match if present.
 
-    What is left of a character cut in two is dropped.
+    What is left of a character cut in two is dropped. All other columns stay,
+    whatever their names; null and repeated ids are as in :func:`repeated_bytes`.
     """
     prepare(docs.sparkSession)
     spans = recurring_spans(docs, length=length, gram=gram)
-    joined = with_spans(docs, spans)
     names = docs.columns
+    joined = _with_spans(docs, spans, *names)
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = []
-        for text, found in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+        for text, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if found:
                 raw = _bytes(text)
                 gone = _covered(len(raw), found, length)
                 text = np.frombuffer(raw, np.uint8)[~gone].tobytes().decode("utf-8", "ignore")
             texts.append(text)
-        columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
+        columns = [pa.array(texts, pa.string()) if n == "text" else c for n, c in zip(names, batch.columns[2:])]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
-    kept = map_batches(joined.select(*names, "spans"), cut, docs.schema)
+    kept = map_batches(joined, cut, docs.schema)
     return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in names else kept
