@@ -63,3 +63,13 @@ def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
 def shards(rows: int, per_shard: int) -> int:
     """How many tasks of about ``per_shard`` rows hold ``rows`` rows."""
     return max(1, math.ceil(rows / per_shard))
+
+
+# A row is told from others by its id and the hash of its text; rows equal in both are copies.
+KEY = ["doc", "print"]
+
+
+def row_key(docs: DataFrame, text: str = "text") -> list[Column]:
+    """The key of every row as ``KEY``; a null id is replaced by a second hash of the text."""
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("no id"), F.col(text)))
+    return [doc.alias(KEY[0]), F.xxhash64(F.col(text)).alias(KEY[1])]

@@ -14,24 +14,24 @@ All of it is DataFrame expressions.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ackline.llm.common import keep, prepare, with_once
+from ackline.llm.common import KEY, keep, prepare, row_key, with_once
 from ackline.llm.licenses import shingle_hashes, words
 
 SHINGLE = 5
 # At a similarity of 0.8 fingerprints differ in 9.7 bits, standard deviation 2.9.
 RADIUS = 20
-# Up to so many shingles (32 MB) the items' shingles are broadcast.
-BROADCAST_SHINGLES = 1_000_000
 
 
 def shingle_texts(parts: str) -> Column:
-    """All runs of five words as texts, in order; none if there are fewer."""
-    n = F.size(parts) - SHINGLE + 1
-    each = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.array_join(F.slice(F.col(parts), i, F.lit(SHINGLE)), " "))
-    return F.when(n > 0, each).otherwise(F.array().cast("array<string>"))
+    """All runs of five words as texts, in order; the whole as one if there are fewer."""
+    n = F.greatest(F.size(parts) - SHINGLE + 1, F.lit(1))
+    each = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(F.col(parts), i, F.lit(SHINGLE)), " "))
+    return F.when(F.size(parts) > 0, each).otherwise(F.array().cast("array<string>"))
 
 
 def with_simhash(df: DataFrame, shingles: str) -> DataFrame:
@@ -67,25 +67,34 @@ def weighted_similarity(a: str, b: str) -> Column:
     return total(F.least) / total(F.greatest)
 
 
+def _run_hashes(sizes: Sequence[int]) -> Column:
+    """Place and hash of all runs of so many words of ``parts``."""
+    runs = [
+        F.transform(shingle_hashes("parts", k), lambda h, i: F.struct(i.alias("place"), h.alias("hash"))) for k in sizes
+    ]
+    return F.concat(*runs)
+
+
 def _items(benchmark: DataFrame) -> DataFrame:
-    """Items with their words, shingles and fingerprint; items under five words cannot match."""
+    """Items with their words' number, shingles, hashed runs and fingerprint."""
     cut = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text")).alias("parts"))
-    cut = cut.filter(F.col("item_id").isNotNull() & (F.size("parts") >= SHINGLE)).withColumn("n", F.size("parts"))
-    made = cut.withColumn("item_shingles", shingle_texts("parts")).withColumn("hashes", shingle_hashes("parts", SHINGLE))
+    cut = cut.filter(F.col("item_id").isNotNull() & (F.size("parts") > 0)).withColumn("n", F.size("parts"))
+    runs = F.coalesce(*[F.when(F.least("n", F.lit(SHINGLE)) == k, _run_hashes([k])) for k in range(1, SHINGLE + 1)])
+    made = cut.withColumn("item_shingles", shingle_texts("parts")).withColumn("runs", runs)
     return keep(with_simhash(made, "item_shingles").drop("parts"), "benchmark-items")
 
 
 def _alignments(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``(doc_id, places)``: starts and lengths of windows that share a shingle with an item."""
-    known = items.select("n", F.posexplode("hashes").alias("at", "hash")).distinct()
-    known = keep(known, "benchmark-shingles")
-    if known.count() <= BROADCAST_SHINGLES:
-        known = F.broadcast(known)
-    parts = with_once(docs, "parts", words(F.col("text"))).select("doc_id", "parts")
-    hashed = with_once(parts, "hashes", shingle_hashes("parts", SHINGLE)).select("doc_id", "hashes")
-    met = hashed.select("doc_id", F.posexplode("hashes").alias("place", "hash")).join(known, "hash")
+    """``(doc, print, places)``: starts and lengths of windows that share a run with an item."""
+    known = items.select("n", F.explode("runs").alias("run")).select("n", F.col("run.place").alias("at"), F.col("run.hash").alias("hash"))
+    # Stored, so that Catalyst knows its size when it chooses between broadcast and shuffle.
+    known = keep(known.distinct(), "benchmark-shingles")
+    sizes = sorted(r[0] for r in items.select(F.least("n", F.lit(SHINGLE))).distinct().collect())  # five at most
+    parts = with_once(docs, "parts", words(F.col("text"))).select(*KEY, "parts")
+    hashed = with_once(parts, "runs", _run_hashes(sizes or [SHINGLE])).select(*KEY, F.explode("runs").alias("run"))
+    met = hashed.select(*KEY, F.col("run.place").alias("place"), F.col("run.hash").alias("hash")).join(known, "hash")
     start = F.greatest(F.col("place") - F.col("at"), F.lit(0))
-    return met.groupBy("doc_id").agg(F.collect_set(F.struct(start.alias("start"), F.col("n"))).alias("places"))
+    return met.groupBy(*KEY).agg(F.collect_set(F.struct(start.alias("start"), F.col("n"))).alias("places"))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.8, radius: int = RADIUS) -> DataFrame:
@@ -93,18 +102,25 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, threshold: floa
 
     ``similarity`` is the best of all windows, ``first_word`` the earliest place
     of it. Texts are compared by their words (A-Z lower-cased, cut at ASCII signs
-    and blanks), five to a shingle. Null texts, documents under five words and
-    items under five words match nothing. Rows that repeat an id are one
-    document; rows with a null id are left out.
+    and blanks), five to a shingle; an item of fewer words is one shingle, found
+    where it stands as a whole. Null texts and texts or items without words match
+    nothing. Rows with a null id or under a repeated one are documents of their
+    own; rows that repeat id and text are reported once.
     """
+    found = contaminated_rows(docs, benchmark, threshold=threshold, radius=radius)
+    return found.select("doc_id", "item_id", "similarity", "first_word")
+
+
+def contaminated_rows(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.8, radius: int = RADIUS) -> DataFrame:
+    """The same with the row's key (``common.row_key``) before."""
     prepare(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("doc_id").isNotNull())
+    docs = docs.select(*row_key(docs), F.col("doc_id").cast("long").alias("doc_id"), "text")
     items = _items(benchmark)
-    placed = docs.join(_alignments(docs, items), "doc_id")
-    parts = with_once(placed, "parts", words(F.col("text"))).select("doc_id", "parts", "places")
-    each = parts.select("doc_id", "parts", F.explode("places").alias("at"))
+    placed = docs.join(_alignments(docs, items), KEY)
+    parts = with_once(placed, "parts", words(F.col("text"))).select(*KEY, "doc_id", "parts", "places")
+    each = parts.select(*KEY, "doc_id", "parts", F.explode("places").alias("at"))
     window = F.array_join(F.slice("parts", F.col("at.start") + 1, F.col("at.n")), " ")
-    windows = each.select("doc_id", F.col("at.start").alias("first_word"), F.col("at.n").alias("n"), window.alias("window"))
+    windows = each.select(*KEY, "doc_id", F.col("at.start").alias("first_word"), F.col("at.n").alias("n"), window.alias("window"))
     windows = windows.withColumn("key", F.unhex(F.md5("window")))
     windows = keep(windows, "benchmark-windows")
 
@@ -121,10 +137,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, threshold: floa
     judged = with_once(texts, "similarity", weighted_similarity("shingles", "item_shingles"))
     true = keep(judged.filter(F.col("similarity") >= threshold).select("n", "key", "item_id", "similarity"), "benchmark-matches")
 
-    found = windows.select("doc_id", "first_word", "n", "key").join(true, ["n", "key"])
+    found = windows.select(*KEY, "doc_id", "first_word", "n", "key").join(true, ["n", "key"])
     best = F.max(F.struct("similarity", (-F.col("first_word")).alias("before"))).alias("best")
     return (
-        found.groupBy("doc_id", "item_id")
+        found.groupBy(*KEY, "doc_id", "item_id")
         .agg(best)
-        .select("doc_id", "item_id", "best.similarity", (-F.col("best.before")).alias("first_word"))
+        .select(*KEY, "doc_id", "item_id", "best.similarity", (-F.col("best.before")).alias("first_word"))
     )

@@ -63,16 +63,16 @@ judged AS (
 
 CONTAMINATION = f"""
 WITH item AS (
-  SELECT item_id, w, len(w) AS n, {_shingles('w', SHINGLE)} AS s
-  FROM (SELECT item_id, {_words('text')} AS w FROM benchmark) WHERE len(w) >= {SHINGLE}),
-item_rows AS (SELECT DISTINCT n, unnest(s) AS shingle, unnest(range(len(s))) AS at_ FROM item),
+  SELECT item_id, w, len(w) AS n, least({SHINGLE}, len(w)) AS k, {_runs('w', f'least({SHINGLE}, len(w))')} AS s
+  FROM (SELECT item_id, {_words('text')} AS w FROM benchmark) WHERE len(w) > 0),
+item_rows AS (SELECT DISTINCT n, k, unnest(s) AS shingle, unnest(range(len(s))) AS at_ FROM item),
 doc AS (SELECT doc_id, {_words('text')} AS w FROM documents),
-doc_rows AS (SELECT doc_id, unnest({_shingles('w', SHINGLE)}) AS shingle, unnest(range(len(w) - {SHINGLE - 1})) AS place
-             FROM doc WHERE len(w) >= {SHINGLE}),
-places AS (SELECT DISTINCT doc_id, greatest(place - at_, 0) AS start, n FROM doc_rows JOIN item_rows USING (shingle)),
+doc_rows AS (SELECT doc_id, k, unnest({_runs('w', 'k')}) AS shingle, unnest(range(len(w) - k + 1)) AS place
+             FROM doc, (SELECT DISTINCT k FROM item) WHERE len(w) >= k),
+places AS (SELECT DISTINCT doc_id, greatest(place - at_, 0) AS start, n FROM doc_rows JOIN item_rows USING (k, shingle)),
 windows AS (SELECT doc_id, start, n, array_to_string(w[start + 1:start + n], ' ') AS key FROM places JOIN doc USING (doc_id)),
 cut AS (SELECT DISTINCT n, key, string_split(key, ' ') AS kw FROM windows),
-near AS (SELECT cut.key, item_id, {_shingles('kw', SHINGLE)} AS ws, s AS its FROM cut JOIN item ON cut.n = item.n),
+near AS (SELECT cut.key, item_id, {_runs('kw', f'least({SHINGLE}, len(kw))')} AS ws, s AS its FROM cut JOIN item ON cut.n = item.n),
 {_SIMILARITY.strip()},
 found AS (SELECT doc_id, item.item_id, similarity, start
           FROM windows JOIN judged USING (key) JOIN item ON item.item_id = judged.item_id AND item.n = windows.n

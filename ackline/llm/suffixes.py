@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ackline.llm.common import keep, map_batches, prepare
+from ackline.llm.common import KEY, keep, map_batches, prepare, row_key
 
 LENGTH = 400
 GRAM = 256
@@ -94,17 +94,9 @@ def owners(data: np.ndarray, length: int, gram: int, powers: Powers) -> tuple[np
     return hashes, (sliding_minimum(ranked, length - gram + 1) & _LOW).astype(np.int64)
 
 
-# A row is told from others by its id and the hash of its text; rows equal in both are copies.
-KEY = ["doc", "print"]
 _KEY = "doc long, print long"
 
 
-def row_key(docs: DataFrame, text: str = "text") -> list[F.Column]:
-    """The key of every row; a null id is replaced by a second hash of the text."""
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("no id"), F.col(text)))
-    return [doc.alias("doc"), F.xxhash64(F.col(text)).alias("print")]
-
-
 def _bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 

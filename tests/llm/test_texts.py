@@ -316,11 +316,16 @@ def test_contamination(make, spark):
         (8, filler(2000)),
         (9, f"{items[5]} {items[5]}"),
         (None, items[1]),
+        (10, f"x {items[2]}"),
+        (10, f"y z {items[3]}"),
+        (11, f"{filler(5)} Only FOUR words -- here"),
+        (12, "only four words"),
     ]
     benchmark = [*items.items(), (50, None), (51, "only four words here"), (None, items[2]), (52, items[4])]
     got = contamination.find_contamination(make([*rows, rows[1]]), spark.createDataFrame(benchmark, BENCHMARK)).collect()
     found = {(r.doc_id, r.item_id): (r.similarity, r.first_word) for r in got}
-    assert set(found) == {(1, 1), (1, 2), (2, 3), (4, 0), (9, 5)}
+    assert set(found) == {(1, 1), (1, 2), (2, 3), (4, 0), (9, 5), (None, 1), (10, 2), (10, 3), (11, 51)}
+    assert found[None, 1] == (1.0, 0) and found[10, 2] == (1.0, 1) and found[10, 3] == (1.0, 2) and found[11, 51] == (1.0, 5)
     assert found[1, 1] == (1.0, 50) and found[9, 5] == (1.0, 0) and 0.8 <= found[2, 3][0] < 1
     empty = spark.createDataFrame([], BENCHMARK)
     assert contamination.find_contamination(make(rows), empty).collect() == []
