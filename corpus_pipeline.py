@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ackline.llm import contamination, neardup, packing, quality, suffixes
-from ackline.llm.common import keep, prepare, table
+from ackline.llm.common import KEY, keep, prepare, row_key, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 VOCABULARY = "word_bpe_49k.json"
+# A passage: fifty words of three letters and a blank.
+PASSAGE_BYTES = 200
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,28 +30,30 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of every near-duplicate group."""
-    groups = neardup.near_duplicates(docs)
-    gone = groups.filter(~F.col("kept")).select("doc_id").distinct()
-    # A group's document whose id is repeated comes once.
-    first = docs.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("uses"))
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    if first.filter("uses > 1").isEmpty():
-        return kept
-    repeated = kept.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return repeated.unionByName(kept.filter(F.col("doc_id").isNull()))
+    """Keeps the document with the least id of every near-duplicate group.
+
+    Rows are numbered first, so those with a null id or under a repeated one are
+    documents of their own; a null id comes after all others.
+    """
+    rows = keep(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("own")), "numbered")
+    groups = neardup.near_duplicates(rows.select(F.col("row").alias("doc_id"), "own.text"))
+    members = groups.select(F.col("doc_id").alias("row"), "component_id").join(rows.select("row", "own.doc_id"), "row")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    first = members.groupBy("component_id").agg(F.min_by("row", order).alias("row"))
+    return rows.join(first, "row", "left_semi").select("own.*")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts passages out of the texts that stand anywhere else too; drops texts left empty by it."""
-    cut = suffixes.remove_repeats(docs)
-    return cut.filter("text is null or text <> '' or n_chars > 0")
+    """Cuts passages out of the texts that stand anywhere else too; drops empty texts."""
+    cut = suffixes.remove_repeats(docs, length=PASSAGE_BYTES, gram=PASSAGE_BYTES // 2)
+    return cut.filter("text is null or text <> ''")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
-    found = contamination.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    found = contamination.contaminated_rows(docs, table(spark, sf_dir, "benchmark"))
+    keyed = docs.select(*row_key(docs), F.struct("*").alias("own"))
+    return keyed.join(found.select(*KEY).distinct(), KEY, "left_anti").select("own.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
