@@ -79,7 +79,7 @@ def test_pipeline_against_brute_force(spark, vocabulary):
     assert {r.doc_id for r in single} == {i for i, (_, _, first) in groups.items() if first}
 
     cut = after("repeats", table(single))
-    removed = brute_force_spans([(r.doc_id, r.text) for r in single], 400)
+    removed = brute_force_spans([(r.doc_id, r.text) for r in single], corpus_pipeline.PASSAGE_BYTES)
     left = {i: n - gone for i, (n, gone, _, _) in removed.items()}
     assert {r.doc_id for r in cut} == {i for i, n in left.items() if n}
     assert all(left[r.doc_id] - 6 <= len(r.text.encode()) <= left[r.doc_id] and r.n_chars == len(r.text) for r in cut)
@@ -107,3 +107,18 @@ def test_pipeline_on_an_empty_table(spark):
     at = spark.read.parquet(f"{SF_DIR}/documents.parquet").filter("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, at, SF_DIR).collect() == []
+
+
+def test_pipeline_keeps_null_and_repeated_ids_apart(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    steps = dict(corpus_pipeline.STAGES)
+    item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").filter("length(text) > 200").first().text
+    long = lambda word: " ".join(f"{word}{i}" for i in range(80))
+    texts = [(1, long("a")), (1, long("b")), (None, long("a")), (None, long("c")), (2, f"{long('d')} {item}"), (2, long("e")), (None, item)]
+    rows = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts], docs.schema)
+    left = steps["near_duplicates"](spark, rows, SF_DIR).collect()
+    assert sorted((str(r.doc_id), r.text) for r in left) == sorted((str(i), t) for i, t in texts if t != texts[2][1] or i)
+    clean = steps["decontamination"](spark, rows, SF_DIR).collect()
+    assert sorted(r.text for r in clean) == sorted(t for _, t in texts if item not in t)
+    cut = steps["repeats"](spark, rows, SF_DIR).collect()
+    assert sorted(r.text for r in cut) == sorted([long("b"), long("c"), f"{long('d')} ", long("e")])
