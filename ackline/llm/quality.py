@@ -128,11 +128,24 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
     return total, frequency
 
 
-def bounded_sample(docs: DataFrame, labelled: DataFrame, per_class: int) -> tuple[list, dict[int, float]]:
-    """Up to ``per_class`` rows ``(text, label)`` of each label, and what each row stands for.
+# Of a feature row only what is not zero is moved.
+_CELL = np.dtype([("feature", "<u2"), ("count", "<f4")])
 
-    Ids are chosen first, by their hash, so the choice repeats and no text moves
-    that is not chosen; the chosen ids are few enough to broadcast.
+
+def _packed(row: np.ndarray) -> bytes:
+    used = np.flatnonzero(row)
+    cells = np.empty(len(used), _CELL)
+    cells["feature"], cells["count"] = used, row[used]
+    return cells.tobytes()
+
+
+def bounded_sample(docs: DataFrame, labelled: DataFrame, per_class: int) -> tuple[np.ndarray, list[int], dict[int, float]]:
+    """Feature rows and labels of up to ``per_class`` documents of each label, and what a row of a label stands for.
+
+    Ids are chosen first, by their hash, so the choice repeats; the chosen ids
+    are few enough to broadcast. What reaches the driver is a packed feature row
+    a document, whatever the length of its text. Of several texts under one id
+    the one of the least hash is taken.
     """
     totals = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     chosen = [
@@ -145,14 +158,26 @@ def bounded_sample(docs: DataFrame, labelled: DataFrame, per_class: int) -> tupl
         .collect()
     ]
     ids = docs.sparkSession.createDataFrame(chosen, "doc_id long, label int")
-    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id", "label"])
-    rows = found.orderBy("label", F.xxhash64("doc_id"), "doc_id").collect()
-    return rows, {label: n / min(n, per_class) for label, n in totals.items()}
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        packed = [_packed(features(t)) for t in batch.column("text").to_pylist()]
+        names = ["doc_id", "label", "mark"]
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(packed)], names=[*names, "packed"])
+
+    found = docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).join(F.broadcast(ids), "doc_id")
+    rows = map_batches(found, count, "doc_id long, label int, mark long, packed binary")
+    one = rows.groupBy("doc_id", "label").agg(F.min(F.struct("mark", "packed")).alias("one"))
+    kept = one.orderBy("label", F.xxhash64("doc_id"), "doc_id").select("label", "one.packed").collect()
+    matrix = np.zeros((len(kept), FEATURES), np.float32)
+    for row, r in zip(matrix, kept):
+        cells = np.frombuffer(r["packed"], _CELL)
+        row[cells["feature"]] = cells["count"]
+    return matrix, [r["label"] for r in kept], {label: n / min(n, per_class) for label, n in totals.items()}
 
 
 @dataclass
 class Neighbours:
-    """Labelled vectors in the latent space; small, so every task gets a copy."""
+    """Labelled vectors in the latent space; small, so every task gets a copy (of the plain values)."""
 
     weights: np.ndarray  # feature weights
     basis: np.ndarray  # features x dimensions
@@ -205,17 +230,17 @@ def fit(
     """Feature weights from all ``docs``; space and voters from at most ``per_class``
     rows of each label of ``labelled`` (``doc_id, label``)."""
     total, frequency = document_frequencies(docs)
-    rows, stands_for = bounded_sample(docs, labelled, per_class)
+    counts, given, stands_for = bounded_sample(docs, labelled, per_class)
     inverse = np.log((total + 1) / (frequency + 1)) + 0.5
     weights = (inverse * FAMILY).astype(np.float32)
-    labels = np.array([r["label"] for r in rows], dtype=np.float32)
-    weight = np.array([stands_for[r["label"]] for r in rows], dtype=np.float32)
-    prior = float((labels * weight).sum() / weight.sum()) if len(rows) else 0.5
-    if not len(rows):
+    labels = np.array(given, dtype=np.float32)
+    weight = np.array([stands_for[label] for label in given], dtype=np.float32)
+    prior = float((labels * weight).sum() / weight.sum()) if given else 0.5
+    if not given:
         empty = np.zeros((0, 0), dtype=np.float32)
         return Neighbours(weights, empty, empty, labels, weight, nearest, sharpness, prior)
-    matrix = np.stack([features(r["text"]) for r in rows]) * weights
-    basis = leading_directions(matrix, min(dimensions, len(rows)))
+    matrix = counts * weights
+    basis = leading_directions(matrix, min(dimensions, len(given)))
     model = Neighbours(weights, basis, np.empty(0), labels, weight, nearest, sharpness, prior)
     points = matrix @ basis
     model.vectors = (points / np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-9)).T.astype(np.float32)
@@ -242,10 +267,11 @@ def score_quality(docs: DataFrame, model: Neighbours, *, threshold: float = 0.3)
     """
     prepare(docs.sparkSession)
     others = docs.drop("score", "predicted")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values: a broadcast object would need this package on every executor.
+    shared = docs.sparkSession.sparkContext.broadcast(dict(vars(model)))
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scores = shared.value.score(batch.column("text").to_pylist())
+        scores = Neighbours(**shared.value).score(batch.column("text").to_pylist())
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, "score"])
 
     scored = map_batches(others, score, StructType([*others.schema.fields, StructField("score", DoubleType())]))

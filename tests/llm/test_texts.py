@@ -1,9 +1,13 @@
 """Page text, quality, fingerprints, URL rules, licenses and contamination on small tables."""
 
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,6 +106,49 @@ def test_without_labels(make, spark):
     assert quality.rate_documents(make([]), none).collect() == []
 
 
+def test_repeated_ids_long_texts_and_clashing_columns(make, spark):
+    docs, labels = _labelled(make, spark)
+    more = make([(1, "other text"), (1, "another"), (3, "x " * 400_000)])
+    rated = quality.rate_documents(docs.unionByName(more), labels, per_class=60).collect()
+    assert len(rated) == 305 and all(0 <= r.score <= 1 for r in rated)
+    again = quality.rate_documents(more.unionByName(docs).repartition(7), labels, per_class=60).collect()
+    rounded = lambda rows: sorted((r.doc_id is None, r.doc_id or 0, round(r.score, 4)) for r in rows)
+    assert np.allclose(rounded(rated), rounded(again), atol=1e-3)
+    named = docs.withColumnsRenamed({"lang": "mark", "source": "packed"}).withColumn("label", F.lit(1))
+    model = quality.fit(named, quality.learnable(named, labels), per_class=60)
+    scored = quality.score_quality(named, model)
+    assert set(named.columns) < set(scored.columns) and scored.count() == 302
+
+
+def test_runs_where_executors_lack_the_package(tmp_path):
+    """The driver finds the package by path; Python workers do not."""
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = tmp_path / "run.py"
+    script.write_text(
+        f"""
+import sys
+sys.path.insert(0, {repo!r})
+import __spark_entry__ as e
+from pyspark.sql import SparkSession, functions as F
+from ackline.llm import quality
+b = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2")
+spark = b.config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate()
+def importable(batches):
+    import importlib.util
+    import pyarrow as pa
+    for b in batches:
+        yield pa.RecordBatch.from_pydict(dict(found=[importlib.util.find_spec("ackline") is not None]))
+assert not spark.range(1).mapInArrow(importable, "found boolean").first().found
+docs = spark.range(60).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.md5(F.concat("id", F.lit(str(k)))) for k in range(9)]).alias("text"))
+labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+print("rated", quality.rate_documents(docs, labels).count())
+"""
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "rated 60" in done.stdout, done.stderr[-3000:]
+
+
 # -- fingerprints -------------------------------------------------------------
 
 
