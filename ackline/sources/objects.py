@@ -7,8 +7,11 @@ Buckets and keys come from payloads: names that would leave the root are refused
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
+from typing import NamedTuple, Protocol
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -17,10 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ackline.params import positive
+from ackline.plans.packing import packed_by_bytes
 from ackline.schemas import OBJECT
 
 CHUNK_BYTES = 1024 * 1024
 RANGE_CHUNKS = 64
+# Bytes a read task should move, and what opening an object costs in bytes.
+TASK_BYTES = 256 * 1024 * 1024
+OPEN_BYTES = 256 * 1024
 # Rows are handed to Spark in batches of about this many bytes.
 BATCH_BYTES = 4 * 1024 * 1024
 
@@ -76,20 +83,32 @@ def object_ranges(requests: DataFrame, chunk_bytes: int, range_chunks: int) -> D
     )
 
 
+def packed_ranges(
+    requests: DataFrame, chunk_bytes: int, range_chunks: int, task_bytes: int, tasks: int | None = None
+) -> DataFrame:
+    """:func:`object_ranges` in partitions of about ``task_bytes`` to read."""
+    width = chunk_bytes * range_chunks
+    rest = F.greatest(F.coalesce("size", F.lit(0)) - F.col("range") * width, F.lit(0))
+    ranges = object_ranges(requests, chunk_bytes, range_chunks)
+    return packed_by_bytes(ranges, F.least(rest, F.lit(width)) + OPEN_BYTES, [*OBJECT, "range"], task_bytes, tasks=tasks)
+
+
 def read_object_chunks(
     requests: DataFrame,
     root: str,
     *,
     chunk_bytes: int = CHUNK_BYTES,
     range_chunks: int = RANGE_CHUNKS,
+    task_bytes: int = TASK_BYTES,
     read_tasks: int | None = None,
 ) -> DataFrame:
     """Read requested objects as ``chunk`` rows and one ``end`` row per object.
 
+    Tasks read about ``task_bytes`` each, or there are ``read_tasks`` of them.
     ``chunk_index`` orders the chunks of an object across ranges. A range that
     cannot be read yields one row with ``read_error`` instead of failing the job.
     """
-    ranges = object_ranges(requests, chunk_bytes, range_chunks)
+    ranges = packed_ranges(requests, chunk_bytes, range_chunks, task_bytes, read_tasks)
     uri = _as_uri(root)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,7 +117,7 @@ def read_object_chunks(
         chunks = (c for row in wanted for c in _read_range(filesystem, base, row, chunk_bytes, range_chunks))
         yield from _in_batches(chunks, _ARROW_ROWS, "data")
 
-    return _spread(ranges, read_tasks, *OBJECT, "range").mapInArrow(read, _CHUNK_ROWS)
+    return ranges.mapInArrow(read, _CHUNK_ROWS)
 
 
 _ARROW_ROWS = pa.schema(
@@ -146,7 +165,12 @@ def _as_uri(root: str) -> str:
 
 
 def fetch_small_objects(
-    requests: DataFrame, root: str, *, max_bytes: int, read_tasks: int | None = None
+    requests: DataFrame,
+    root: str,
+    *,
+    max_bytes: int,
+    task_bytes: int = TASK_BYTES,
+    read_tasks: int | None = None,
 ) -> DataFrame:
     """Read objects of at most ``max_bytes`` whole: adds ``content`` and ``read_error``.
 
@@ -165,7 +189,8 @@ def fetch_small_objects(
         found = ({**row, **_read_whole(filesystem, base, row, max_bytes)} for row in wanted_rows)
         yield from _in_batches(found, _ARROW_OBJECTS, "content")
 
-    return _spread(wanted, read_tasks, *OBJECT).mapInArrow(
+    moved = F.when(F.col("size") <= max_bytes, F.greatest("size", F.lit(0))).otherwise(0) + OPEN_BYTES
+    return packed_by_bytes(wanted, moved, OBJECT, task_bytes, tasks=read_tasks).mapInArrow(
         read, "bucket string, object_key string, size bigint, content binary, read_error string"
     )
 
@@ -194,11 +219,58 @@ def _read_whole(filesystem, base: str, row: dict, max_bytes: int) -> dict:
     return {"content": content}
 
 
-def _spread(requests: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
-    """Spread small request rows over enough tasks for the reads they cause."""
-    if tasks is None:
-        tasks = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return requests.repartition(positive("read_tasks", tasks), *keys)
+class Response(NamedTuple):
+    """What a store answers: headers (null if omitted) and the body in chunks."""
+
+    content_length: int | None
+    etag: str | None
+    body: Iterator[bytes]
+
+
+class Store(Protocol):
+    """Where objects are read; it is sent to the executors."""
+
+    def get(self, bucket: str, key: str, if_match: str | None) -> Response: ...
+
+
+@functools.lru_cache(maxsize=8)
+def _opened(uri: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(uri)
+
+
+@dataclass(frozen=True)
+class FolderStore:
+    """Objects as files under ``root/bucket/key`` on any file system pyarrow can open.
+
+    With ``etag_suffix`` the file of that name beside an object holds its etag.
+    A file system knows no conditions, so ``if_match`` is left to the caller.
+    """
+
+    root: str
+    chunk_bytes: int = CHUNK_BYTES
+    etag_suffix: str | None = None
+
+    def get(self, bucket: str, key: str, if_match: str | None) -> Response:
+        filesystem, base = _opened(_as_uri(self.root))
+        path = object_path(base, bucket, key)
+        found = filesystem.get_file_info(path)
+        if found.type != fs.FileType.File:
+            raise FileNotFoundError(f"no object {bucket}/{key}")
+        return Response(found.size, self._etag(filesystem, path), self._chunks(filesystem, path))
+
+    def _etag(self, filesystem: fs.FileSystem, path: str) -> str | None:
+        if self.etag_suffix is None:
+            return None
+        beside = path + self.etag_suffix
+        if filesystem.get_file_info(beside).type != fs.FileType.File:
+            return None
+        with filesystem.open_input_stream(beside) as source:
+            return source.read().decode()
+
+    def _chunks(self, filesystem: fs.FileSystem, path: str) -> Iterator[bytes]:
+        with filesystem.open_input_stream(path) as source:
+            while data := source.read(self.chunk_bytes):
+                yield data
 
 
 def write_objects(objects: DataFrame, root: str) -> None:
