@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
@@ -9,11 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ackline.functions.metadata import decode_metadata, metadata_rule_hits
-from ackline.operators import acks, budget, epochs, objects, processing, records
+from ackline.operators import acks, budget, downloads, epochs, objects, processing, records
 from ackline.plans.fixtures import Inputs
 from ackline.schemas import OBJECT, PARTITION, PROGRESS, TOKEN
 from ackline.session import cut, workspace
 from ackline.sources import objects as stores
+from ackline.sources.chunk_source import load_object_chunks
 from ackline.sources.record_log import read_record_log, stream_record_log, write_record_log
 from ackline.streaming import prefix, run
 
@@ -132,6 +134,42 @@ def reject_by_size(metadata: processing.ObjectMetadata) -> None:
         raise ValueError(f"size refused for {metadata.bucket}/{metadata.key}")
 
 
+def _faulty_store(inputs: Inputs) -> stores.FolderStore:
+    """The documents as objects with etags beside them: some absent, cut short, too long, or with a wrong etag or none."""
+    docs = inputs["documents"].select(
+        "doc_id",
+        F.col("source").alias("bucket"),
+        F.concat("lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("object_key"),
+        F.col("text").cast("binary").alias("body"),
+        F.concat(F.lit('"'), F.md5(F.col("text").cast("binary")), F.lit('"')).alias("etag"),
+    ).filter("doc_id % 41 <> 0")
+    shorter = F.expr("substring(body, 1, greatest(octet_length(body) - 1, 0))")
+    body = F.when(F.expr("doc_id % 13 = 0"), shorter).when(F.expr("doc_id % 11 = 0"), F.concat("body", F.lit(b"x"))).otherwise(F.col("body"))
+    etag = F.when(F.expr("doc_id % 17 = 0"), F.lit('"stale"')).otherwise(F.col("etag"))
+    beside = docs.filter("doc_id % 19 <> 0").select(
+        "bucket", F.concat("object_key", F.lit(".etag")).alias("object_key"), etag.cast("binary").alias("content")
+    )
+    stored = docs.select("bucket", "object_key", body.alias("content")).unionByName(beside)
+    root = inputs.folder("faulty-objects", lambda path: stores.write_objects(stored, path))
+    return stores.FolderStore(root, chunk_bytes=CHUNK_BYTES, etag_suffix=".etag")
+
+
+class DigestBody:
+    """Sample consumer: the MD5 of a body; gives up on the objects of every 47th document."""
+
+    def __init__(self, metadata: processing.ObjectMetadata):
+        self.number = int(metadata.key.rsplit("/", 1)[1].removesuffix(".txt"))
+        self.digest = hashlib.md5()
+
+    def chunk(self, data: bytes) -> None:
+        if self.number % 47 == 0:
+            raise ValueError("the reader gave up on the first part")
+        self.digest.update(data)
+
+    def finish(self) -> str:
+        return self.digest.hexdigest()
+
+
 # -- queries ------------------------------------------------------------------
 
 
@@ -146,6 +184,36 @@ def object_chunks(inputs: Inputs) -> DataFrame:
     return chunks.select("kind", *OBJECT, "chunk_index", "n_bytes")
 
 
+def object_chunks_source(inputs: Inputs) -> DataFrame:
+    chunks = load_object_chunks(
+        inputs["object_meta"], _object_store(inputs), chunk_bytes=CHUNK_BYTES, range_chunks=16, task_bytes=64 << 20
+    )
+    return chunks.select("kind", *OBJECT, "chunk_index", "n_bytes")
+
+
+def download_objects(inputs: Inputs) -> DataFrame:
+    """Verified downloads from a faulty store, with the listing's headers and a digest of every body."""
+    done = downloads.download_objects(
+        inputs["object_meta"], _faulty_store(inputs), DigestBody, listing=inputs["listing"], idle_timeout_ms=IDLE_TIMEOUT_MS
+    )
+    return done.select(
+        *OBJECT, "verdict", "stage", "message", "streamed_bytes", "response_etag", F.col("result").alias("content_md5")
+    )
+
+
+def download_completions(inputs: Inputs) -> DataFrame:
+    """From record payloads to completions through the store's own headers and bodies."""
+    completed = downloads.download_completions(
+        _object_tokens(inputs),
+        _faulty_store(inputs),
+        DigestBody,
+        payload=PAYLOAD_TEXT,
+        max_object_size=MAX_OBJECT_SIZE,
+        idle_timeout_ms=IDLE_TIMEOUT_MS,
+    )
+    return completed.select(*LOCATION, "outcome", "reason")
+
+
 def fetch_small_objects(inputs: Inputs) -> DataFrame:
     fetched = stores.fetch_small_objects(
         inputs["object_meta"], _object_store(inputs), max_bytes=4096
@@ -552,6 +620,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "safe_prefix": safe_prefix,
     "read_record_log": read_record_log_query,
     "object_chunks": object_chunks,
+    "object_chunks_source": object_chunks_source,
     "fetch_small_objects": fetch_small_objects,
     "record_envelope": record_envelope,
     "accounted_bytes": accounted_bytes,
@@ -595,6 +664,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "stalled_bodies": stalled_bodies,
     "object_verdict": object_verdict,
     "download_summary": download_summary,
+    "download_objects": download_objects,
+    "download_completions": download_completions,
     "object_completions": object_completions,
     "run_object_processor": run_object_processor,
     "discard_completions": discard_completions,

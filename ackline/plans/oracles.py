@@ -183,7 +183,7 @@ def _quoted(column: str) -> str:
     return f"""'"' || replace(replace({column}, '\\', '\\\\'), '"', '\\"') || '"'"""
 
 
-def _transfers(requests: str) -> str:
+def _headers(requests: str) -> str:
     return f"""
 hdr AS (SELECT m.bucket, m.object_key, m.size, m.etag, l.response_etag,
   CASE WHEN l.bucket IS NULL THEN 'get_failed' WHEN content_length IS NULL THEN 'length_omitted'
@@ -196,7 +196,11 @@ hdr AS (SELECT m.bucket, m.object_key, m.size, m.etag, l.response_etag,
        WHEN m.etag IS NOT NULL AND response_etag IS NULL THEN 'S3 response omitted ETag'
        WHEN m.etag IS NOT NULL AND response_etag <> m.etag
          THEN 'S3 ETag ' || {_quoted("response_etag")} || ' does not match metadata ETag ' || {_quoted("m.etag")} END AS hm
-  FROM {requests} m LEFT JOIN listing l ON m.bucket = l.bucket AND m.object_key = l.object_key),
+  FROM {requests} m LEFT JOIN listing l ON m.bucket = l.bucket AND m.object_key = l.object_key)"""
+
+
+def _transfers(requests: str) -> str:
+    return f"""{_headers(requests)},
 sizes AS (SELECT DISTINCT bucket, object_key, size FROM {requests}),
 t AS (SELECT c.*, m.size,
   CAST(sum(CASE WHEN kind = 'chunk' THEN n_bytes ELSE 0 END) OVER w AS BIGINT) AS received,
@@ -232,6 +236,23 @@ verdicts AS (SELECT h.bucket, h.object_key, h.size, h.etag, h.response_etag,
        WHEN bv <> 'ok' THEN 'S3 body streaming failed for s3://' || h.bucket || '/' || h.object_key || ': ' || bm END AS message
   FROM hdr h LEFT JOIN body b ON h.bucket = b.bucket AND h.object_key = b.object_key AND h.size = b.size)"""
 
+# What the faulty store of the download queries holds, from the documents themselves.
+_STORED = """
+stored AS (SELECT doc_id, source AS bucket, lang || '/' || doc_id || '.txt' AS object_key, md5(text) AS content_md5,
+  strlen(text) + CASE WHEN doc_id % 13 = 0 THEN -1 WHEN doc_id % 11 = 0 THEN 1 ELSE 0 END AS n_stored,
+  CASE WHEN doc_id % 19 = 0 THEN NULL WHEN doc_id % 17 = 0 THEN '"stale"' ELSE '"' || md5(text) || '"' END AS stored_etag
+  FROM documents WHERE doc_id % 41 <> 0)"""
+_GAVE_UP = "doc_id % 47 = 0 AND least(1024, n_stored) <= size AND n_stored > 0"
+_DOWNLOADED = f"""{_headers('object_meta')},{_STORED},
+moved AS (SELECT h.*, content_md5, CASE WHEN hv <> 'ok' THEN hv WHEN doc_id IS NULL THEN 'get_failed' WHEN {_GAVE_UP} THEN 'consumer_error'
+    WHEN n_stored > size THEN 'exceeded' WHEN n_stored < size THEN 'truncated' ELSE 'ok' END AS verdict, n_stored
+  FROM hdr h LEFT JOIN stored s ON h.bucket = s.bucket AND h.object_key = s.object_key)"""
+_FETCHED = f"""{_DECODED},{_STORED},
+moved AS (SELECT d.*, CASE WHEN error_code IS NOT NULL THEN error_code WHEN doc_id IS NULL THEN 'get_failed' WHEN n_stored <> size THEN 'length_differs'
+    WHEN etag IS NOT NULL AND stored_etag IS NULL THEN 'etag_omitted' WHEN etag <> stored_etag THEN 'etag_differs'
+    WHEN {_GAVE_UP} THEN 'consumer_error' ELSE 'ok' END AS verdict, n_stored, stored_etag
+  FROM decoded d LEFT JOIN (SELECT * EXCLUDE (bucket, object_key), bucket AS b, object_key AS k FROM stored) s ON d.bucket = b AND d.object_key = k)"""
+
 _FULL = f"{_transfers('object_meta')},{_bodies('waited_ms > 20000')},{_VERDICT}"
 _WANTED = """
 wanted AS (SELECT DISTINCT bucket, object_key, size, etag FROM decoded WHERE error_code IS NULL)"""
@@ -245,16 +266,18 @@ _ACKS = ["deliveries", "completions", "fx_epochs"]
 _TRANSFER = ["object_meta", "listing", "chunks"]
 _SAFE_ROWS = f"SELECT {_PROGRESS}, safe_next_offset FROM live_safe"
 
+_CHUNK_ROWS = _q(
+    ["object_meta"],
+    "n AS (SELECT *, CAST(ceil(size / 1024.0) AS BIGINT) AS k FROM object_meta)",
+    """SELECT 'chunk' AS kind, bucket, object_key, CAST(i AS INTEGER) AS chunk_index, least(1024, size - 1024 * i) AS n_bytes
+FROM (SELECT *, unnest(range(k)) AS i FROM n) u
+UNION ALL SELECT 'end', bucket, object_key, CAST(k AS INTEGER), 0 FROM n""",
+)
+
 ORACLES: dict[str, str] = {
     "safe_prefix": _q(_ACKS, _SAFE, _SAFE_ROWS),
     "read_record_log": _q(["records"], "", _RECORD_TEXT),
-    "object_chunks": _q(
-        ["object_meta"],
-        "n AS (SELECT *, CAST(ceil(size / 1024.0) AS BIGINT) AS k FROM object_meta)",
-        """SELECT 'chunk' AS kind, bucket, object_key, CAST(i AS INTEGER) AS chunk_index, least(1024, size - 1024 * i) AS n_bytes
-FROM (SELECT *, unnest(range(k)) AS i FROM n) u
-UNION ALL SELECT 'end', bucket, object_key, CAST(k AS INTEGER), 0 FROM n""",
-    ),
+    "object_chunks": _CHUNK_ROWS,
     "fetch_small_objects": _q(
         ["object_meta"],
         "",
@@ -453,6 +476,36 @@ FROM moves WHERE paused <> was_paused""",
         _FULL,
         "SELECT bucket, object_key, size, response_etag AS etag FROM verdicts WHERE verdict = 'ok'",
     ),
+    "object_chunks_source": _CHUNK_ROWS,
+    "download_objects": _q(
+        ["object_meta", "listing"],
+        _DOWNLOADED,
+        """SELECT bucket, object_key, verdict,
+  CASE WHEN verdict = 'get_failed' THEN 'get' WHEN hv <> 'ok' THEN 'headers' WHEN verdict <> 'ok' THEN 'body' END AS stage,
+  CASE WHEN verdict = 'get_failed' THEN 'S3 GetObject failed for s3://' || bucket || '/' || object_key
+       WHEN hv <> 'ok' THEN 'S3 response validation failed for s3://' || bucket || '/' || object_key || ': ' || hm
+       WHEN verdict <> 'ok' THEN 'S3 body streaming failed for s3://' || bucket || '/' || object_key || ': ' || CASE verdict
+         WHEN 'consumer_error' THEN 'object chunk consumer failed: the reader gave up on the first part'
+         WHEN 'exceeded' THEN 'S3 body exceeded metadata size ' || size || ' after receiving ' || n_stored || ' bytes'
+         ELSE 'S3 body size ' || n_stored || ' does not match metadata size ' || size END END AS message,
+  CAST(CASE verdict WHEN 'ok' THEN size WHEN 'truncated' THEN n_stored WHEN 'exceeded' THEN size // 1024 * 1024 ELSE 0 END AS BIGINT) AS streamed_bytes,
+  response_etag, CASE WHEN verdict = 'ok' THEN content_md5 END AS content_md5
+FROM moved""",
+    ),
+    "download_completions": _q(
+        ["object_records"],
+        _FETCHED,
+        f"""SELECT {_LOCATION}, CASE WHEN verdict = 'ok' THEN 'succeeded' ELSE 'failed' END AS outcome,
+  CASE WHEN error_code IS NOT NULL THEN error_message
+       WHEN verdict = 'get_failed' THEN 'S3 GetObject failed for s3://' || bucket || '/' || object_key
+       WHEN verdict = 'consumer_error' THEN 'S3 body streaming failed for s3://' || bucket || '/' || object_key
+         || ': object chunk consumer failed: the reader gave up on the first part'
+       WHEN verdict <> 'ok' THEN 'S3 response validation failed for s3://' || bucket || '/' || object_key || ': ' || CASE verdict
+         WHEN 'length_differs' THEN 'S3 Content-Length ' || n_stored || ' does not match metadata size ' || size
+         WHEN 'etag_omitted' THEN 'S3 response omitted ETag'
+         ELSE 'S3 ETag ' || {_quoted("stored_etag")} || ' does not match metadata ETag ' || {_quoted("etag")} END END AS reason
+FROM moved""",
+    ),
     "object_completions": _q(
         ["object_records", "listing", "chunks"],
         f"{_DECODED},{_WANTED},{_transfers('wanted')},{_bodies('waited_ms > 20000')},{_VERDICT}",
