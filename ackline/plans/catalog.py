@@ -13,10 +13,11 @@ from ackline.functions.metadata import decode_metadata, metadata_rule_hits
 from ackline.operators import acks, budget, downloads, epochs, objects, processing, records
 from ackline.plans.fixtures import Inputs
 from ackline.schemas import OBJECT, PARTITION, PROGRESS, TOKEN
-from ackline.session import cut, workspace
+from ackline.session import ROCKSDB, STATE_STORE, cut, workspace
 from ackline.sources import objects as stores
 from ackline.sources.chunk_source import load_object_chunks
-from ackline.sources.record_log import read_record_log, stream_record_log, write_record_log
+from ackline.sources.record_log import in_order, read_record_log, stream_record_log, write_record_log
+from ackline.streaming import epochs as stream_epochs
 from ackline.streaming import prefix, run
 
 # Parameters the queries are run with.
@@ -28,6 +29,8 @@ MAX_PAYLOAD_BYTES = 8
 MEMORY_BUDGET_BYTES = 160
 PAYLOAD_TEXT = "payload_text"
 LOCATION = [*PARTITION, "record_offset"]
+# Ranges a log is fed to a stream in.
+STREAM_RANGES = 4
 
 
 def _time_text(ts: Column) -> Column:
@@ -457,35 +460,55 @@ def discard_completions(inputs: Inputs) -> DataFrame:
     return records.discard(inputs["deliveries"])
 
 
-def stream_safe_prefix(inputs: Inputs) -> DataFrame:
-    """Stream the delivery and completion logs, then combine the final block states."""
-    from ackline.session import ROCKSDB, STATE_STORE
-
+def _run_stream(
+    inputs: Inputs, purpose: str, log: DataFrame, transform: Callable[[DataFrame], DataFrame], mode: str
+) -> DataFrame:
+    """Append ``log`` range by range and run a stateful stream, restarted each time, over it; what it put out."""
     spark = inputs.spark
-    deliveries, completions, intervals = _acks(inputs)
-    root = workspace(spark, "prefix-stream")
-    events = prefix.ack_events(deliveries, completions)
-    events.write.parquet(f"{root}/events")
-    stream = stream_record_log(spark, f"{root}/events", events.schema, max_files_per_trigger=8)
+    root = workspace(spark, purpose)
     before = spark.conf.get(STATE_STORE, None)
     spark.conf.set(STATE_STORE, ROCKSDB)
     try:
-        updates = prefix.stream_prefix_blocks(stream)
-        query = (
-            updates.writeStream.outputMode("update")
-            .foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{root}/blocks/batch={n}"))
-            .option("checkpointLocation", f"{root}/checkpoint")
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
+        for part in in_order(log, STREAM_RANGES):
+            part.write.mode("append").parquet(f"{root}/log")
+            query = (
+                transform(stream_record_log(spark, f"{root}/log", log.schema))
+                .writeStream.outputMode(mode)
+                .foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{root}/out/batch={n}"))
+                .option("checkpointLocation", f"{root}/checkpoint")
+                .trigger(availableNow=True)
+                .start()
+            )
+            query.awaitTermination()
     finally:
         if before is None:
             spark.conf.unset(STATE_STORE)
         else:
             spark.conf.set(STATE_STORE, before)
-    blocks = prefix.latest_blocks(spark.read.parquet(f"{root}/blocks"))
-    return acks.live_prefix(acks.merge_blocks(blocks), intervals)
+    return spark.read.parquet(f"{root}/out")
+
+
+def _prefix_stream(inputs: Inputs) -> DataFrame:
+    """Updates of the prefix stream over deliveries, completions and assignments."""
+    return _run_stream(inputs, "prefix-stream", prefix.ack_events(*_acks(inputs)), prefix.stream_prefix, "update")
+
+
+def stream_safe_prefix(inputs: Inputs) -> DataFrame:
+    """Safe offsets of the epochs in force, from the block states a stream put out."""
+    blocks = prefix.latest_blocks(_prefix_stream(inputs))
+    return acks.live_prefix(acks.merge_blocks(blocks), inputs.intervals("assignment_events"))
+
+
+def stream_first_success(inputs: Inputs) -> DataFrame:
+    """The first success of every delivery while its epoch was in force, each put out once by a stream."""
+    return prefix.first_successes(_prefix_stream(inputs))
+
+
+def stream_records_with_epoch(inputs: Inputs) -> DataFrame:
+    """Records stamped with the epoch in force by a stream of records and assignment changes."""
+    log = stream_epochs.with_changes(inputs["records"].select(*LOCATION, "seq"), inputs.intervals("rebalance_log"))
+    out = _run_stream(inputs, "epoch-stream", log, stream_epochs.stream_assigned, "append")
+    return out.select(*LOCATION, "seq", "epoch")
 
 
 def _poisoned(first_epoch_only: bool) -> run.Sink:
@@ -649,6 +672,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "completion_effects": completion_effects,
     "failed_completions": failed_completions,
     "stream_safe_prefix": stream_safe_prefix,
+    "stream_first_success": stream_first_success,
+    "stream_records_with_epoch": stream_records_with_epoch,
     "record_states": record_states,
     "replay_set": replay_set,
     "committed_by_interval": committed_by_interval,

@@ -266,6 +266,11 @@ _ACKS = ["deliveries", "completions", "fx_epochs"]
 _TRANSFER = ["object_meta", "listing", "chunks"]
 _SAFE_ROWS = f"SELECT {_PROGRESS}, safe_next_offset FROM live_safe"
 
+_ASSIGNED_ROWS = _q(
+    ["rebalance_log", "records"],
+    f"{_INTERVALS},{_stamped('iv')}",
+    f"SELECT {_LOCATION}, seq, epoch FROM stamped WHERE epoch IS NOT NULL",
+)
 _CHUNK_ROWS = _q(
     ["object_meta"],
     "n AS (SELECT *, CAST(ceil(size / 1024.0) AS BIGINT) AS k FROM object_meta)",
@@ -331,11 +336,7 @@ FROM decoded WHERE error_code IS NOT NULL""",
         ["rebalance_log"], _INTERVALS, f"SELECT {_PROGRESS}, from_seq, to_seq, closed_by FROM iv"
     ),
     "current_assignments": _q(["rebalance_log"], _INTERVALS, f"SELECT {_PROGRESS} FROM iv WHERE to_seq IS NULL"),
-    "records_with_epoch": _q(
-        ["rebalance_log", "records"],
-        f"{_INTERVALS},{_stamped('iv')}",
-        f"SELECT {_LOCATION}, seq, epoch FROM stamped WHERE epoch IS NOT NULL",
-    ),
+    "records_with_epoch": _ASSIGNED_ROWS,
     "records_with_epoch_by_join": _q(
         ["fx_epochs", "records"],
         _stamped("fx_epochs"),
@@ -406,6 +407,12 @@ FROM y""",
 FROM fenced WHERE outcome = 'failed'""",
     ),
     "stream_safe_prefix": _q(_ACKS, _SAFE, _SAFE_ROWS),
+    "stream_first_success": _q(
+        _ACKS,
+        _positions("deliveries"),
+        f"SELECT {_TOKEN}, c AS first_seq FROM first_after WHERE c IS NOT NULL",
+    ),
+    "stream_records_with_epoch": _ASSIGNED_ROWS,
     "record_states": _q(
         _ACKS,
         f"{_SAFE},{_COMMITS}",

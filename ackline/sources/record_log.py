@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ackline.params import positive
@@ -44,3 +45,23 @@ def log_options(max_files_per_trigger: int | None, max_bytes_per_trigger: int |
 def write_record_log(records: DataFrame, path: str) -> None:
     """Append records to a log folder."""
     records.select([f.name for f in RECORD.fields]).write.mode("append").parquet(path)
+
+
+def in_order(log: DataFrame, parts: int, *, key: str = "seq") -> list[DataFrame]:
+    """``log`` as consecutive ranges of ``key`` with about as many rows each.
+
+    For feeding a stream one range after another: files of one write are as old
+    as each other, so their order tells nothing. The bounds are quantiles: one
+    row reaches the driver.
+    """
+    positive("parts", parts)
+    if parts == 1:
+        return [log]
+    shares = [F.lit(i / parts) for i in range(1, parts)]
+    bounds = log.agg(F.percentile_approx(key, F.array(*shares), F.lit(10_000))).first()[0] or []
+    edges = [None, *sorted(set(bounds)), None]
+    ranges = []
+    for low, high in zip(edges, edges[1:]):
+        part = log if low is None else log.filter(F.col(key) > low)
+        ranges.append(part if high is None else part.filter(F.col(key) <= high))
+    return ranges

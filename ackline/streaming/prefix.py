@@ -1,8 +1,15 @@
-"""Safe prefix as a stream.
+"""Safe prefix and first successes as a stream, over epochs that come and go.
 
-State is kept per block of offsets, not per partition, so a hot partition is
-spread over as many tasks as it has open blocks, and the result does not depend
-on how the logs are cut into micro-batches or interleaved.
+Deliveries, successes and assignment changes are one keyed stream. A partition's
+offsets are cut into blocks and the blocks dealt to stripes, so a hot partition
+is spread over ``STRIPES`` tasks; assignment changes go to all its stripes. The
+state of a stripe holds what is not settled yet: an offset leaves it as soon as
+it and all earlier deliveries of its block have succeeded, an epoch as soon as a
+later one starts or it is revoked, and a finished block after a while.
+
+The safe prefix does not depend on how the logs are cut into micro-batches or
+interleaved. First successes are the least of a token if batches come in the
+order of ``seq``, as those of one log do; within a batch any order will do.
 """
 
 from __future__ import annotations
@@ -16,116 +23,233 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ackline.params import I64_MAX
-from ackline.schemas import PROGRESS, TOKEN
+from ackline.schemas import PARTITION, PROGRESS, TOKEN
 
-# Offsets per block of state.
+# Offsets per block, and stripes a partition's blocks are dealt to.
 OFFSET_BLOCK_BITS = 16
+BLOCK_OFFSETS = 1 << OFFSET_BLOCK_BITS
+STRIPES = 16
+# A finished block is forgotten when its stripe has been called so often without a row of it.
+KEPT_CALLS = 16
+STRIPE = [*PARTITION, "stripe"]
 BLOCK = [*PROGRESS, "offset_block"]
-_STATE = (
-    "last_ok bigint, version bigint, offsets array<bigint>, delivered array<bigint>, succeeded array<bigint>"
-)
 _OUTPUT = (
-    "topic string, partition_id int, epoch bigint, offset_block bigint, "
-    "first_open bigint, last_ok bigint, version bigint"
+    "kind string, topic string, partition_id int, epoch bigint, offset_block bigint, first_open bigint, last_ok bigint, "
+    "version bigint, record_offset bigint, first_seq bigint"
 )
 _NEVER = np.iinfo(np.int64).min
+_PENDING = ["epoch", "offset", "delivered", "low", "high"]
+_BLOCKS = ["epoch", "block", "last_ok", "touched"]
+_FINISHED = ["epoch", "below"]
+_PARTS = {"pending": _PENDING, "blocks": _BLOCKS, "finished": _FINISHED}
+_STATE = "calls bigint, floor bigint, " + ", ".join(
+    f"{part}_{name} array<bigint>" for part, names in _PARTS.items() for name in names
+)
+
 
+def ack_events(deliveries: DataFrame, completions: DataFrame, intervals: DataFrame | None = None) -> DataFrame:
+    """Deliveries, successes and, with ``intervals``, assignment changes in one log: token, ``seq`` and ``kind``.
 
-def ack_events(deliveries: DataFrame, completions: DataFrame) -> DataFrame:
-    """Deliveries and successes in one log: token, ``seq`` and ``kind``."""
+    ``assigned`` starts an epoch and ends all before it, ``revoked`` ends one.
+    """
     delivered = deliveries.select(*TOKEN, "seq", F.lit("delivered").alias("kind"))
     succeeded = completions.filter(F.col("outcome") == "succeeded").select(
         *TOKEN, "seq", F.lit("succeeded").alias("kind")
     )
-    return delivered.unionByName(succeeded)
+    events = delivered.unionByName(succeeded)
+    if intervals is None:
+        return events
+    none = F.lit(None).cast("long").alias("record_offset")
+    starts = intervals.select(*PROGRESS, none, F.col("from_seq").alias("seq"), F.lit("assigned").alias("kind"))
+    ends = intervals.filter(F.col("closed_by") == "revoked").select(
+        *PROGRESS, none, F.col("to_seq").alias("seq"), F.lit("revoked").alias("kind")
+    )
+    return events.unionByName(starts).unionByName(ends)
 
 
-class BlockPrefix(StatefulProcessor):
-    """Keeps the deliveries of one offset block that are not yet in its prefix.
+def _frame(names: list[str], arrays: list) -> pd.DataFrame:
+    return pd.DataFrame({n: np.asarray(a, dtype="int64") for n, a in zip(names, arrays)})
 
-    An offset leaves the state as soon as it and all earlier deliveries of the
-    block have succeeded; repeats below that point change nothing.
-    """
+
+def floor_at(seq: np.ndarray, control: pd.DataFrame, floor: int) -> np.ndarray:
+    """The least epoch in force at each ``seq``: ``floor`` raised by the changes up to it."""
+    ordered = control.sort_values("seq", kind="stable")
+    raised = np.maximum.accumulate(np.append(floor, ordered["least"].to_numpy(dtype="int64")))
+    return raised[np.searchsorted(ordered["seq"].to_numpy(dtype="int64"), seq, side="right")]
+
+
+class StripePrefix(StatefulProcessor):
+    """Keeps the unsettled deliveries of one stripe of a partition."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("block", _STATE)
+        self._state = handle.getValueState("stripe", _STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last_ok, version, pending = self._load()
-        for batch in rows:
-            fresh = pd.DataFrame(
+        calls, floor, pending, blocks, finished = self._load()
+        calls += 1
+        batch = pd.concat(list(rows))
+        control = batch[batch["least"].notna()]
+        events = batch[batch["least"].isna()]
+        fresh = self._fresh(events, floor_at(events["seq"].to_numpy(dtype="int64"), control, floor))
+        tokens = self._combined(pending, fresh, blocks, finished)
+        made, firsts, pending, blocks = self._settled(tokens, blocks, calls)
+        # Only now do epochs that ended within the batch go.
+        floor = int(floor_at(np.array([I64_MAX]), control, floor)[0])
+        pending, blocks, finished = (f[f["epoch"] >= floor] for f in (pending, blocks, finished))
+        blocks, finished = self._forgotten(pending, blocks, finished, calls)
+        self._save(calls, floor, pending, blocks, finished)
+        made = made[made["epoch"] >= floor]
+        topic, partition_id, _ = key
+        out = pd.concat(
+            [
+                made.assign(kind="block", version=calls),
+                firsts.assign(kind="first"),
+            ]
+        )
+        if len(out):
+            out = out.assign(topic=topic, partition_id=partition_id)
+            names = [c.split()[0] for c in _OUTPUT.split(", ")]
+            out = out.reindex(columns=names)
+            numbers = [n for n in names if n not in ("kind", "topic", "partition_id")]
+            yield out.astype({n: "Int64" for n in numbers} | {"partition_id": "int32"})
+
+    def close(self) -> None:
+        pass
+
+    @staticmethod
+    def _fresh(events: pd.DataFrame, floors: np.ndarray) -> pd.DataFrame:
+        live = events[events["epoch"].to_numpy(dtype="int64") >= floors]
+        seq = live["seq"].to_numpy(dtype="int64")
+        delivery = (live["kind"] == "delivered").to_numpy()
+        columns = [
+            live["epoch"],
+            live["record_offset"],
+            np.where(delivery, seq, I64_MAX),
+            np.where(delivery, I64_MAX, seq),
+            np.where(delivery, _NEVER, seq),
+        ]
+        return _frame(_PENDING, columns).assign(done=False)
+
+    @staticmethod
+    def _combined(pending: pd.DataFrame, fresh: pd.DataFrame, blocks: pd.DataFrame, finished: pd.DataFrame) -> pd.DataFrame:
+        """One row a token that is not settled, in the order of epoch and offset.
+
+        ``low`` is the first success after the delivery as far as it is known,
+        ``high`` the last of all; ``was`` says that the token had succeeded before.
+        """
+        known = pending.assign(done=(pending["delivered"] < I64_MAX) & (pending["high"] > pending["delivered"]))
+        rows = pd.concat([known, fresh], ignore_index=True)
+        token = rows.groupby(["epoch", "offset"], sort=False)
+        first = token["delivered"].transform("min")
+        rows["low"] = np.where((rows["low"] > first) | (first == I64_MAX), rows["low"], I64_MAX)
+        rows = (
+            rows.groupby(["epoch", "offset"], sort=True)
+            .agg(delivered=("delivered", "min"), low=("low", "min"), high=("high", "max"), was=("done", "max"))
+            .reset_index()
+        )
+        rows["block"] = rows["offset"] // BLOCK_OFFSETS
+        rows = rows.merge(blocks[["epoch", "block", "last_ok"]], on=["epoch", "block"], how="left")
+        rows = rows.merge(finished, on="epoch", how="left")
+        settled = (rows["offset"] <= rows["last_ok"].fillna(_NEVER)) & (rows["last_ok"].fillna(_NEVER) > _NEVER)
+        return rows[~settled & ~(rows["block"] < rows["below"].fillna(_NEVER))].reset_index(drop=True)
+
+    @staticmethod
+    def _settled(tokens: pd.DataFrame, blocks: pd.DataFrame, calls: int) -> tuple[pd.DataFrame, ...]:
+        """Block rows and first successes to put out; what stays pending; all blocks."""
+        known = tokens["delivered"] < I64_MAX
+        done = known & (tokens["high"] > tokens["delivered"])
+        new = tokens[done & ~tokens["was"].astype(bool)]
+        firsts = pd.DataFrame(
+            {
+                "epoch": new["epoch"],
+                "record_offset": new["offset"],
+                "first_seq": np.where(new["low"] < I64_MAX, new["low"], new["high"]),
+            }
+        )
+        group = [tokens["epoch"], tokens["block"]]
+        open_ = known & ~done
+        beyond = open_.groupby(group).cummax()
+        reached = done & ~beyond & (tokens["offset"] < I64_MAX)
+        made = (
+            pd.DataFrame(
                 {
-                    "offset": batch["record_offset"].astype("int64"),
-                    "delivered": batch["delivered"].fillna(I64_MAX).astype("int64"),
-                    "succeeded": batch["succeeded"].fillna(_NEVER).astype("int64"),
+                    "epoch": tokens["epoch"],
+                    "block": tokens["block"],
+                    "open": tokens["offset"].where(open_, I64_MAX),
+                    "ok": tokens["offset"].where(reached, _NEVER),
                 }
             )
-            pending = (
-                pd.concat([pending, fresh])
-                .groupby("offset", sort=True)
-                .agg(delivered=("delivered", "min"), succeeded=("succeeded", "max"))
-                .reset_index()
-            )
-        if last_ok is not None:
-            pending = pending[pending["offset"] > last_ok]
-        known = pending[pending["delivered"] < I64_MAX]
-        open_ = known[known["succeeded"] <= known["delivered"]]["offset"]
-        first_open = int(open_.iloc[0]) if len(open_) else None
-        done = known["offset"] if first_open is None else known["offset"][known["offset"] < first_open]
-        done = done[done < I64_MAX]
-        if len(done):
-            last_ok = int(done.iloc[-1])
-            pending = pending[pending["offset"] > last_ok]
-        version += 1
-        self._state.update(
-            (
-                last_ok,
-                version,
-                pending["offset"].tolist(),
-                pending["delivered"].tolist(),
-                pending["succeeded"].tolist(),
-            )
+            .groupby(["epoch", "block"])
+            .agg(open=("open", "min"), ok=("ok", "max"), some=("open", lambda x: bool((x < I64_MAX).any())))
+            .reset_index()
         )
-        topic, partition_id, epoch, offset_block = key
-        yield pd.DataFrame(
+        # An open offset may be the greatest number itself.
+        made["some"] = open_.groupby(group).any().to_numpy() if len(made) else made["some"]
+        both = made.merge(blocks, on=["epoch", "block"], how="outer", indicator="from")
+        last = np.maximum(both["ok"].fillna(_NEVER).astype("int64"), both["last_ok"].fillna(_NEVER).astype("int64"))
+        touched = np.where(both["from"] == "right_only", both["touched"].fillna(0), calls).astype("int64")
+        all_blocks = _frame(_BLOCKS, [both["epoch"], both["block"], last, touched])
+        at = tokens.drop(columns=["last_ok", "below"]).merge(all_blocks, on=["epoch", "block"])
+        rest = at[at["offset"] > at["last_ok"]][_PENDING]
+        here = both["from"] != "right_only"
+        put_out = pd.DataFrame(
             {
-                "topic": [topic],
-                "partition_id": np.array([partition_id], dtype="int32"),
-                "epoch": [epoch],
-                "offset_block": [offset_block],
-                "first_open": pd.array([first_open], dtype="Int64"),
-                "last_ok": pd.array([last_ok], dtype="Int64"),
-                "version": [version],
+                "epoch": both["epoch"],
+                "offset_block": both["block"],
+                "first_open": both["open"].astype("Int64").where(both["some"].fillna(False).astype(bool)),
+                "last_ok": pd.Series(last, index=both.index).astype("Int64").where(last > _NEVER),
             }
-        )
+        )[here]
+        return put_out, firsts, rest, all_blocks
 
-    def close(self) -> None:
-        pass
+    @staticmethod
+    def _forgotten(pending: pd.DataFrame, blocks: pd.DataFrame, finished: pd.DataFrame, calls: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """Drop finished blocks from the lowest up; rows for them are repeats from now on."""
+        blocks = blocks.sort_values(["epoch", "block"])
+        busy = set(zip(pending["epoch"], pending["offset"] // BLOCK_OFFSETS))
+        top = blocks.groupby("epoch")["block"].transform("max")
+        waits = (blocks["block"] == top) | (calls - blocks["touched"] < KEPT_CALLS)
+        waits |= pd.Series([b in busy for b in zip(blocks["epoch"], blocks["block"])], index=blocks.index, dtype=bool)
+        waits |= blocks["last_ok"] == _NEVER
+        stays = waits.groupby(blocks["epoch"]).cummax() if len(blocks) else waits
+        gone = blocks[~stays].groupby("epoch")["block"].max() + 1
+        below = pd.concat([finished, _frame(_FINISHED, [gone.index, gone])]).groupby("epoch")["below"].max().reset_index()
+        return blocks[stays], below
 
-    def _load(self) -> tuple[int | None, int, pd.DataFrame]:
-        columns = ["offset", "delivered", "succeeded"]
+    def _load(self) -> tuple[int, int, pd.DataFrame, pd.DataFrame, pd.DataFrame]:
         if not self._state.exists():
-            return None, 0, pd.DataFrame({c: pd.Series(dtype="int64") for c in columns})
-        last_ok, version, *arrays = self._state.get()
-        return last_ok, version, pd.DataFrame(
-            {c: np.array(a, dtype="int64") for c, a in zip(columns, arrays)}
-        )
+            return 0, _NEVER, *(_frame(names, [[]] * len(names)) for names in _PARTS.values())
+        calls, floor, *arrays = self._state.get()
+        frames = []
+        for names in _PARTS.values():
+            frames.append(_frame(names, arrays[: len(names)]))
+            arrays = arrays[len(names) :]
+        return calls, floor, *frames
 
+    def _save(self, calls: int, floor: int, *frames: pd.DataFrame) -> None:
+        arrays = [f[n].astype("int64").tolist() for f, names in zip(frames, _PARTS.values()) for n in names]
+        self._state.update((calls, floor, *arrays))
 
-def stream_prefix_blocks(events: DataFrame) -> DataFrame:
-    """Updates of block summaries from a stream of :func:`ack_events`.
 
-    Needs the RocksDB state store. The latest ``version`` of a block replaces
-    earlier ones: see :func:`latest_blocks`.
+def stream_prefix(events: DataFrame) -> DataFrame:
+    """Rows of kind ``block`` and ``first`` from a stream of :func:`ack_events`.
+
+    A ``block`` row is the summary of a block of offsets of an epoch in force;
+    the latest ``version`` replaces earlier ones (:func:`latest_blocks`). A
+    ``first`` row is the first success of a delivery: ``record_offset, first_seq``
+    (:func:`first_successes`). Needs the RocksDB state store.
     """
+    control = F.col("kind").isin("assigned", "revoked")
+    block = F.shiftright("record_offset", OFFSET_BLOCK_BITS).cast("long")
+    own = F.array(F.pmod(block, F.lit(STRIPES)).cast("int"))
+    every = F.sequence(F.lit(0), F.lit(STRIPES - 1))
+    # An assignment leaves nothing below its epoch, a revocation not even that.
+    least = F.when(F.col("kind") == "assigned", F.col("epoch")).when(F.col("kind") == "revoked", F.col("epoch") + 1)
     shaped = events.select(
-        *TOKEN,
-        F.shiftright("record_offset", OFFSET_BLOCK_BITS).cast("long").alias("offset_block"),
-        F.when(F.col("kind") == "delivered", F.col("seq")).alias("delivered"),
-        F.when(F.col("kind") == "succeeded", F.col("seq")).alias("succeeded"),
+        *TOKEN, "seq", "kind", least.alias("least"), F.explode(F.when(control, every).otherwise(own)).alias("stripe")
     )
-    return shaped.groupBy(*BLOCK).transformWithStateInPandas(
-        statefulProcessor=BlockPrefix(),
+    return shaped.groupBy(*STRIPE).transformWithStateInPandas(
+        statefulProcessor=StripePrefix(),
         outputStructType=_OUTPUT,
         outputMode="Update",
         timeMode="None",
@@ -135,7 +259,13 @@ def stream_prefix_blocks(events: DataFrame) -> DataFrame:
 def latest_blocks(updates: DataFrame) -> DataFrame:
     """The latest summary of every block, ready for ``acks.merge_blocks``."""
     return (
-        updates.groupBy(*BLOCK)
+        updates.filter("kind = 'block'")
+        .groupBy(*BLOCK)
         .agg(F.max_by(F.struct("first_open", "last_ok"), F.col("version")).alias("_latest"))
         .select(*BLOCK, "_latest.first_open", "_latest.last_ok")
     )
+
+
+def first_successes(updates: DataFrame) -> DataFrame:
+    """``first_seq`` of every token that was delivered and has succeeded while its epoch was in force."""
+    return updates.filter("kind = 'first'").select(*TOKEN, "first_seq")

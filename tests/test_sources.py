@@ -65,3 +65,12 @@ def test_record_log_round_trip(spark, tmp_path):
     back = record_log.read_record_log(spark, path)
     assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
     assert record_log.stream_record_log(spark, path, max_files_per_trigger=1).isStreaming
+
+
+def test_log_in_order(spark):
+    log = spark.range(1000).selectExpr("id * 3 as seq", "id")
+    parts = [sorted(r.seq for r in part.collect()) for part in record_log.in_order(log, 4)]
+    assert [s for part in parts for s in part] == [3 * i for i in range(1000)] and len(parts) == 4
+    assert all(200 < len(part) < 300 for part in parts)
+    assert [part.count() for part in record_log.in_order(log.filter("false"), 4)] == [0]
+    assert record_log.in_order(log, 1)[0].count() == 1000

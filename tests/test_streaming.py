@@ -1,5 +1,6 @@
 import random
 
+import pandas as pd
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -8,32 +9,40 @@ from ackline.operators import acks
 from ackline.schemas import RECORD, TOKEN
 from ackline.session import ROCKSDB, STATE_STORE, workspace
 from ackline.sources.record_log import stream_record_log, write_record_log
-from ackline.streaming import prefix, run
+from ackline.streaming import epochs, prefix, run
 
 EVENTS = "topic string, partition_id int, epoch bigint, record_offset bigint, seq bigint, kind string"
 
 
-def _prefixes(spark, batches):
-    """Feed ``batches`` one micro-batch each; return the safe offsets after the last."""
-    root = workspace(spark, "stream-test")
+def _stream(spark, root, batches, transform, schema, mode="update"):
+    """Feed ``batches`` one micro-batch each, restarting between them; the rows put out."""
     spark.conf.set(STATE_STORE, ROCKSDB)
     for rows in batches:
-        spark.createDataFrame(rows, EVENTS).coalesce(1).write.mode("append").parquet(f"{root}/in")
-        stream = stream_record_log(spark, f"{root}/in", spark.createDataFrame([], EVENTS).schema)
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = stream_record_log(spark, f"{root}/in", spark.createDataFrame([], schema).schema)
         query = (
-            prefix.stream_prefix_blocks(stream)
-            .writeStream.outputMode("update")
+            transform(stream)
+            .writeStream.outputMode(mode)
             .foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{root}/out/batch={n}"))
             .option("checkpointLocation", f"{root}/cp")
             .trigger(availableNow=True)
             .start()
         )
         query.awaitTermination()
-    blocks = prefix.latest_blocks(spark.read.parquet(f"{root}/out"))
-    merged = acks.merge_blocks(blocks).collect()
+    return spark.read.parquet(f"{root}/out")
+
+
+def _prefixes(spark, batches):
+    """The safe offsets after the last of ``batches``."""
+    out = _stream(spark, workspace(spark, "stream-test"), batches, prefix.stream_prefix, EVENTS)
+    merged = acks.merge_blocks(prefix.latest_blocks(out)).collect()
     return {(r.partition_id, r.epoch): r.safe_next_offset for r in merged}
 
 
+def _state(spark, root, name="stripe"):
+    return spark.read.format("statestore").option("stateVarName", name).load(f"{root}/cp").select("value.*").collect()
+
+
 def test_stream_state_across_batches_and_order(spark):
     """Any order over restarts, repeats included, ends at the batch result."""
     rng = random.Random(3)
@@ -51,6 +60,99 @@ def test_stream_state_across_batches_and_order(spark):
     assert got == {(0, 1): 116_001, (1, 1): 10}
 
 
+def test_epoch_end_clears_the_state_and_repeats_change_nothing(spark):
+    root = workspace(spark, "stream-test")
+    event = lambda kind, epoch, offset, seq: ("t", 0, epoch, offset, seq, kind)
+    first = [event("assigned", 1, None, 0)]
+    first += [event("delivered", 1, o, 10 + o) for o in range(50)]
+    first += [event("succeeded", 1, o, 100 + o) for o in range(50) if o != 20]
+    _stream(spark, root, [first], prefix.stream_prefix, EVENTS)
+    (held,) = [r for r in _state(spark, root) if r.pending_offset]
+    assert held.pending_offset == list(range(20, 50)) and held.floor == 1
+    second = [event("succeeded", 1, o, 200 + o) for o in range(50) if o != 20]  # repeats
+    second += [event("succeeded", 1, 20, 260), event("succeeded", 1, 20, 270), event("delivered", 1, 60, 280)]
+    third = [event("revoked", 1, None, 300), event("succeeded", 1, 60, 310), event("assigned", 2, None, 320)]
+    third += [event("delivered", 2, 60, 330), event("delivered", 2, 61, 331), event("succeeded", 2, 61, 340), event("succeeded", 1, 60, 345)]
+    out = _stream(spark, root, [second, third], prefix.stream_prefix, EVENTS)
+    firsts = {(r.epoch, r.record_offset): r.first_seq for r in prefix.first_successes(out).collect()}
+    assert firsts == {(1, o): 260 if o == 20 else 100 + o for o in range(50)} | {(2, 61): 340}
+    assert prefix.first_successes(out).count() == 51
+    states = _state(spark, root)
+    assert {(tuple(r.pending_epoch), tuple(r.pending_offset)) for r in states} == {((2, 2), (60, 61)), ((), ())}
+    assert {e for r in states for e in r.blocks_epoch} == {2} and {r.floor for r in states} == {2}
+    merged = {r.epoch: r.safe_next_offset for r in acks.merge_blocks(prefix.latest_blocks(out)).collect()}
+    assert merged == {1: 50}
+
+
+def test_prefix_state_against_the_batch_operator(spark):
+    """Random logs over several epochs, cut into batches by seq, against the set form."""
+    rng = random.Random(8)
+    log, seq, epoch, offset = [], 0, 0, 0
+    pending = []
+    for _ in range(400):
+        seq += 1
+        roll = rng.random()
+        if epoch == 0 or roll < 0.02:
+            epoch += 1
+            pending = []
+            log.append(("t", 0, epoch, None, seq, "assigned"))
+        elif roll < 0.55:
+            offset += rng.choice([1, 1, 3, 40_000])
+            pending.append(offset)
+            log.append(("t", 0, epoch, offset, seq, "delivered"))
+        elif pending:
+            o = rng.choice(pending)
+            log.append(("t", 0, rng.choice([epoch, epoch, epoch, max(1, epoch - 1)]), o, seq, "succeeded"))
+    starts = [e for e in log if e[5] == "assigned"]
+    ends = [e[4] for e in starts[1:]] + [None]
+    intervals = spark.createDataFrame(
+        [("t", 0, e[2], e[4], end, None if end is None else "assigned") for e, end in zip(starts, ends)],
+        "topic string, partition_id int, epoch bigint, from_seq bigint, to_seq bigint, closed_by string",
+    )
+    events = spark.createDataFrame(log, EVENTS)
+    deliveries = events.filter("kind = 'delivered'").withColumn("accounted_bytes", F.lit(1).cast("long"))
+    completions = events.filter("kind = 'succeeded'").select(
+        *TOKEN, "seq", F.lit("succeeded").alias("outcome"), F.lit(None).cast("timestamp").alias("ts")
+    )
+    out = _stream(spark, workspace(spark, "stream-test"), [log[i : i + 100] for i in range(0, len(log), 100)], prefix.stream_prefix, EVENTS)
+    live = acks.live_prefix(acks.merge_blocks(prefix.latest_blocks(out)), intervals)
+    assert live.collect() == acks.safe_prefix(deliveries, completions, intervals).collect()
+    want = acks.prefix_positions(deliveries, completions, intervals).filter("success_seq is not null").select(*TOKEN, "success_seq")
+    assert sorted(map(tuple, prefix.first_successes(out).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_finished_blocks_are_forgotten():
+    blocks = pd.DataFrame({"epoch": [1, 1, 1, 2], "block": [0, 1, 5, 0], "last_ok": [9, 70_000, 330_000, 5], "touched": [1, 1, 30, 30]})
+    pending = pd.DataFrame({"epoch": [1], "offset": [70_001]})
+    finished = pd.DataFrame({"epoch": pd.Series(dtype="int64"), "below": pd.Series(dtype="int64")})
+    stays, below = prefix.StripePrefix._forgotten(pending, blocks, finished, 40)
+    assert stays[["epoch", "block"]].to_numpy().tolist() == [[1, 1], [1, 5], [2, 0]]
+    assert below.to_numpy().tolist() == [[1, 1]]
+
+
+RECORDS = "topic string, partition_id int, record_offset bigint, seq bigint, note string, mark bigint, is_change boolean"
+
+
+def test_stream_of_epochs(spark):
+    root = workspace(spark, "stream-test")
+    record = lambda p, o, seq: ("t", p, o, seq, f"n{o}", None, False)
+    change = lambda p, seq, epoch: ("t", p, None, seq, None, epoch, True)
+    first = [record(0, 1, 5), change(0, 10, 1), record(0, 2, 9), record(0, 3, 10), record(0, 4, 30), change(0, 20, -1), record(0, 5, 19)]
+    first += [change(1, 11, 2), *[record(1, o, 12 + o) for o in range(40)]]
+    second = [record(0, 6, 40), change(0, 41, 3), record(0, 7, 42), change(1, 60, 4), change(1, 60, -1), record(1, 50, 59), record(1, 51, 60)]
+    third = [change(1, 70, -1), record(1, 52, 80), record(0, 8, 81)]
+    out = _stream(spark, root, [first, second], epochs.stream_epochs, RECORDS, "append")
+    got = {(r.partition_id, r.record_offset): r.epoch for r in out.collect()}
+    want = {(0, 1): None, (0, 2): None, (0, 3): 1, (0, 4): None, (0, 5): 1, (0, 6): None, (0, 7): 3, (1, 50): 2, (1, 51): 4}
+    assert got == want | {(1, o): 2 for o in range(40)}
+    assert {r.epoch for r in _state(spark, root, "epoch")} == {3, 4}
+    out = _stream(spark, root, [third], epochs.stream_epochs, RECORDS, "append")
+    assert {(r.record_offset, r.epoch) for r in out.filter("seq >= 80").collect()} == {(52, None), (8, 3)}
+    # A revoked partition leaves no state behind.
+    assert {r.epoch for r in _state(spark, root, "epoch")} == {3}
+    assert out.filter("note = concat('n', record_offset)").count() == out.count()
+
+
 class Poison:
     """Sink that fails one offset while ``armed``."""
 
