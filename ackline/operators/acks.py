@@ -401,6 +401,12 @@ def committed_by_interval(
     )
 
 
+def last_committed(by_interval: DataFrame) -> DataFrame:
+    """Where each partition stands: the last offset its latest epoch with a commit has committed."""
+    latest = by_interval.groupBy(*PARTITION).agg(F.max(F.struct("epoch", "committed_offset")).alias("_last"))
+    return latest.select(*PARTITION, "_last.epoch", "_last.committed_offset")
+
+
 def record_states(
     deliveries: DataFrame,
     completions: DataFrame,

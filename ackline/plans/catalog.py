@@ -99,14 +99,8 @@ def _acks(inputs: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
     return inputs["deliveries"], inputs["completions"], inputs.intervals("assignment_events")
 
 
-def _positions(inputs: Inputs) -> DataFrame:
-    return cut(acks.prefix_positions(*_acks(inputs)), "prefix-positions")
-
-
-def _committed(inputs: Inputs) -> DataFrame:
-    """The last offset committed of each partition and epoch."""
-    by_interval = acks.committed_by_interval(*_acks(inputs), positions=_positions(inputs))
-    return by_interval.groupBy(*PROGRESS).agg(F.max("committed_offset").alias("committed_offset"))
+def _positions(logs: tuple[DataFrame, DataFrame, DataFrame]) -> DataFrame:
+    return cut(acks.prefix_positions(*logs), "prefix-positions")
 
 
 def _object_records(inputs: Inputs) -> DataFrame:
@@ -357,20 +351,27 @@ def failed_completions(inputs: Inputs) -> DataFrame:
 
 
 def record_states(inputs: Inputs) -> DataFrame:
-    return acks.record_states(*_acks(inputs), _committed(inputs))
+    logs = _acks(inputs)
+    by_interval = acks.committed_by_interval(*logs, positions=_positions(logs))
+    committed = by_interval.groupBy(*PROGRESS).agg(F.max("committed_offset").alias("committed_offset"))
+    return acks.record_states(*logs, committed)
 
 
 def replay_set(inputs: Inputs) -> DataFrame:
-    _, completions, _ = _acks(inputs)
-    committed = acks.safe_prefix(*_acks(inputs)).withColumnRenamed("safe_next_offset", "committed_offset")
-    log = inputs["records"].select(*LOCATION, "seq")
-    return acks.replay_set(log, committed, completions, auto_offset_reset="earliest").select(
+    """What a restart at the end of the log reads again: the last interval that has passed is committed."""
+    logs = _acks(inputs)
+    log = inputs["log_records"]
+    by_interval = acks.committed_by_interval(*logs, positions=_positions(logs))
+    passed = by_interval.join(F.broadcast(log.agg(F.max("ts").alias("now"))), F.col("window_end") <= F.col("now"))
+    committed = acks.last_committed(passed)
+    return acks.replay_set(log.select(*LOCATION, "seq"), committed, logs[1], auto_offset_reset="earliest").select(
         *LOCATION, "committed_offset", "replayed_success"
     )
 
 
 def committed_by_interval(inputs: Inputs) -> DataFrame:
-    return acks.committed_by_interval(*_acks(inputs), positions=_positions(inputs)).select(
+    logs = _acks(inputs)
+    return acks.committed_by_interval(*logs, positions=_positions(logs)).select(
         *PROGRESS, _time_text(F.col("window_start")).alias("window_start"), "committed_offset"
     )
 

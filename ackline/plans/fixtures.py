@@ -1,8 +1,10 @@
 """Test inputs derived from the given tables, in SQL both Spark and DuckDB run.
 
 Every view grows with the tables. ``assignment_events`` is the control log that
-goes with ``deliveries``, ``rebalance_log`` a denser one for the queries that
-read nothing but a control log.
+goes with ``deliveries``: every error event ends an epoch of topic ``events``,
+while those of topic ``steady`` last for half of the log or all of it, and the
+log ends while records of theirs are open. ``rebalance_log`` is a denser one for
+the queries that read nothing but a control log.
 """
 
 from __future__ import annotations
@@ -27,21 +29,32 @@ SELECT 'events' AS topic, CAST(event_id % 4 AS INT) AS partition_id, event_id AS
        CASE WHEN event_id % 97 <> 0 THEN props END AS payload_text,
        event_type AS h_type, CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END AS h_retry
 FROM events""",
+    "log_records": """
+SELECT topic, partition_id, record_offset, seq, ts, key_text, payload_text, h_type, h_retry FROM records
+UNION ALL
+SELECT 'steady', partition_id, record_offset, seq + 1, ts, key_text, payload_text, h_type, h_retry FROM records""",
     "assignment_events": """
-SELECT CAST(seq AS BIGINT) AS seq, event, CAST(list_pos AS INT) AS list_pos, 'events' AS topic,
+SELECT CAST(seq AS BIGINT) AS seq, event, CAST(list_pos AS INT) AS list_pos, topic,
        CAST(partition_id AS INT) AS partition_id, message
 FROM (
-  SELECT -5000 AS seq, 'assigned' AS event, partition_id AS list_pos, partition_id, '' AS message
+  SELECT -5000 AS seq, 'assigned' AS event, partition_id AS list_pos, 'events' AS topic, partition_id, '' AS message
   FROM (SELECT DISTINCT event_id % 4 AS partition_id FROM events) p
   UNION ALL
-  SELECT event_id * 10000 + 5000, 'revoked', 0, event_id % 4, '' FROM events WHERE event_type = 'error'
+  SELECT event_id * 10000 + 5000, 'revoked', 0, 'events', event_id % 4, '' FROM events WHERE event_type = 'error'
+  UNION ALL
+  SELECT event_id * 10000 + 5000, 'revoked', 1, 'events', 9, '' FROM events WHERE event_type = 'error'
+  UNION ALL
+  SELECT (event_id + 5) * 10000 + 6000, 'assigned', 0, 'events', event_id % 4, '' FROM events WHERE event_type = 'error'
   UNION ALL
-  SELECT event_id * 10000 + 5000, 'revoked', 1, 9, '' FROM events WHERE event_type = 'error'
+  SELECT event_id * 10000 + 7000, 'error', 0, 'events', event_id % 4, concat('coordinator unreachable ', event_id)
+  FROM events WHERE event_type = 'error'
   UNION ALL
-  SELECT (event_id + 5) * 10000 + 6000, 'assigned', 0, event_id % 4, '' FROM events WHERE event_type = 'error'
+  SELECT -4000, 'assigned', partition_id, 'steady', partition_id, '' FROM (SELECT DISTINCT event_id % 4 AS partition_id FROM events) p
   UNION ALL
-  SELECT event_id * 10000 + 7000, 'error', 0, event_id % 4, concat('coordinator unreachable ', event_id)
-  FROM events WHERE event_type = 'error') t""",
+  SELECT half * 10000 + 5500, 'revoked', 0, 'steady', 1, '' FROM (SELECT CAST(floor(max(event_id) / 2) AS BIGINT) AS half FROM events) h
+  UNION ALL
+  SELECT half * 10000 + 5600, 'assigned', partition_id, 'steady', partition_id, ''
+  FROM (SELECT CAST(floor(max(event_id) / 2) AS BIGINT) AS half FROM events) h, (SELECT 1 AS partition_id UNION ALL SELECT 2) p) t""",
     "rebalance_log": """
 SELECT seq, CASE event_type WHEN 'signup' THEN 'assigned' WHEN 'purchase' THEN 'revoked' ELSE 'error' END AS event,
        list_pos, 'events' AS topic, CAST((user_id + list_pos) % 4 AS INT) AS partition_id,
@@ -63,7 +76,7 @@ WHERE event = 'assigned'""",
 SELECT r.topic, r.partition_id, CAST(e.epoch AS BIGINT) AS epoch, r.record_offset, r.seq,
        128 + coalesce(CAST(bit_length(r.key_text) / 8 AS BIGINT), 0) + coalesce(CAST(bit_length(r.payload_text) / 8 AS BIGINT), 0)
            + 10 + CAST(bit_length(r.h_type) / 8 AS BIGINT) + 5 * r.h_retry AS accounted_bytes
-FROM records r JOIN fx_epochs e ON r.topic = e.topic AND r.partition_id = e.partition_id
+FROM log_records r JOIN fx_epochs e ON r.topic = e.topic AND r.partition_id = e.partition_id
  AND r.seq >= e.from_seq AND (e.to_seq IS NULL OR r.seq < e.to_seq)""",
     "bad_deliveries": """
 SELECT topic, partition_id, epoch, record_offset, seq FROM deliveries
@@ -76,27 +89,35 @@ SELECT d.topic, d.partition_id, d.epoch, d.record_offset,
        (d.record_offset + (d.record_offset * 7919) % 50) * 10000 + 100 + d.record_offset % 1000 AS seq, r.ts,
        CASE WHEN d.record_offset % 997 = 996 THEN 'failed' ELSE 'succeeded' END AS outcome,
        CASE WHEN d.record_offset % 997 = 996 THEN 'the store was closed' END AS reason
-FROM deliveries d JOIN records r ON d.topic = r.topic AND d.partition_id = r.partition_id AND d.record_offset = r.record_offset
-WHERE d.record_offset % 501 <> 500
+FROM deliveries d JOIN log_records r ON d.topic = r.topic AND d.partition_id = r.partition_id AND d.record_offset = r.record_offset
+WHERE d.topic = 'events' AND d.record_offset % 501 <> 500
 UNION ALL
 SELECT d.topic, d.partition_id, d.epoch, d.record_offset,
        (d.record_offset + 60) * 10000 + 2000 + d.record_offset % 1000, r.ts, 'succeeded', NULL
-FROM deliveries d JOIN records r ON d.topic = r.topic AND d.partition_id = r.partition_id AND d.record_offset = r.record_offset
-WHERE d.record_offset % 211 = 0
+FROM deliveries d JOIN log_records r ON d.topic = r.topic AND d.partition_id = r.partition_id AND d.record_offset = r.record_offset
+WHERE d.topic = 'events' AND d.record_offset % 211 = 0
 UNION ALL
 SELECT d.topic, d.partition_id, d.epoch, d.record_offset + 1,
        (d.record_offset + 60) * 10000 + 3100 + d.record_offset % 1000, r.ts, 'succeeded', NULL
-FROM deliveries d JOIN records r ON d.topic = r.topic AND d.partition_id = r.partition_id AND d.record_offset = r.record_offset
-WHERE d.record_offset % 701 = 699
+FROM deliveries d JOIN log_records r ON d.topic = r.topic AND d.partition_id = r.partition_id AND d.record_offset = r.record_offset
+WHERE d.topic = 'events' AND d.record_offset % 701 = 699
 UNION ALL
 SELECT d.topic, d.partition_id, d.epoch + 500, d.record_offset,
        (d.record_offset + 60) * 10000 + 4200 + d.record_offset % 1000, r.ts, 'failed', 'late failure of another epoch'
-FROM deliveries d JOIN records r ON d.topic = r.topic AND d.partition_id = r.partition_id AND d.record_offset = r.record_offset
-WHERE d.record_offset % 883 = 882""",
+FROM deliveries d JOIN log_records r ON d.topic = r.topic AND d.partition_id = r.partition_id AND d.record_offset = r.record_offset
+WHERE d.topic = 'events' AND d.record_offset % 883 = 882
+UNION ALL
+SELECT d.topic, d.partition_id, d.epoch, d.record_offset, w.seq, r.ts,
+       CASE WHEN d.partition_id = 0 AND d.record_offset % 997 = 996 THEN 'failed' ELSE 'succeeded' END,
+       CASE WHEN d.partition_id = 0 AND d.record_offset % 997 = 996 THEN 'the store was closed' END
+FROM deliveries d JOIN log_records r ON d.topic = r.topic AND d.partition_id = r.partition_id AND d.record_offset = r.record_offset
+JOIN (SELECT record_offset, (record_offset + (record_offset * 7919) % 50) * 10000 + 7100 + record_offset % 1000 AS seq FROM records) w
+  ON d.record_offset = w.record_offset
+WHERE d.topic = 'steady' AND w.seq <= (SELECT max(seq) FROM records) AND NOT (d.partition_id = 0 AND d.record_offset % 501 = 500)""",
     "budget_events": """
-SELECT seq, 'enqueued' AS event, record_offset, 1 AS queue_delta, accounted_bytes AS bytes_delta FROM deliveries
-UNION ALL SELECT (record_offset + (record_offset * 13) % 5) * 10000 + 4000 + record_offset % 1000, 'dequeued', record_offset, -1, 0 FROM deliveries
-UNION ALL SELECT (record_offset + 5 + CASE WHEN record_offset % 400 < 200 THEN (record_offset * 7919) % 50 ELSE 0 END) * 10000 + 6000 + record_offset % 1000, 'released', record_offset, 0, -accounted_bytes FROM deliveries""",
+SELECT seq, 'enqueued' AS event, record_offset, 1 AS queue_delta, accounted_bytes AS bytes_delta FROM deliveries WHERE topic = 'events'
+UNION ALL SELECT (record_offset + (record_offset * 13) % 5) * 10000 + 4000 + record_offset % 1000, 'dequeued', record_offset, -1, 0 FROM deliveries WHERE topic = 'events'
+UNION ALL SELECT (record_offset + 5 + CASE WHEN record_offset % 400 < 200 THEN (record_offset * 7919) % 50 ELSE 0 END) * 10000 + 6000 + record_offset % 1000, 'released', record_offset, 0, -accounted_bytes FROM deliveries WHERE topic = 'events'""",
     "object_records": """
 SELECT 'objects' AS topic, CAST(doc_id % 8 AS INT) AS partition_id, doc_id AS record_offset, doc_id,
   CASE doc_id % 20
@@ -162,10 +183,11 @@ ACCOUNTED = (
 )
 
 DEPENDS: dict[str, list[str]] = {
+    "log_records": ["records"],
     "fx_epochs": ["assignment_events"],
-    "deliveries": ["records", "fx_epochs"],
+    "deliveries": ["log_records", "fx_epochs"],
     "bad_deliveries": ["deliveries"],
-    "completions": ["deliveries", "records"],
+    "completions": ["deliveries", "log_records", "records"],
     "budget_events": ["deliveries"],
     "listing": ["object_meta"],
     "chunks": ["object_meta"],
@@ -254,7 +276,7 @@ class Inputs:
         if name == "fx_epochs":
             return epoch_intervals(self["assignment_events"]).drop("closed_by")
         if name == "deliveries":
-            records = assigned_records(self["records"], self.intervals("assignment_events"))
+            records = assigned_records(self["log_records"], self.intervals("assignment_events"))
             return records.select(*PARTITION, "epoch", "record_offset", "seq", F.expr(ACCOUNTED).alias("accounted_bytes"))
         for needed in DEPENDS.get(name, TABLES):
             if needed not in self._registered:

@@ -424,13 +424,16 @@ LEFT JOIN safe s USING ({_PROGRESS})
 LEFT JOIN (SELECT {_PROGRESS}, max(committed_offset) AS committed_offset FROM commits GROUP BY ALL) k USING ({_PROGRESS})""",
     ),
     "replay_set": _q(
-        ["records", *_ACKS],
-        _SAFE,
-        f"""SELECT r.topic, r.partition_id, r.record_offset, s.safe_next_offset AS committed_offset, d.record_offset IS NOT NULL AS replayed_success
-FROM records r LEFT JOIN live_safe s ON r.topic = s.topic AND r.partition_id = s.partition_id
+        ["log_records", *_ACKS],
+        f"""{_COMMITS},
+passed AS (SELECT * FROM commits WHERE w + INTERVAL '5 seconds' <= (SELECT max(ts) FROM log_records)),
+latest AS (SELECT topic, partition_id, max(epoch) AS epoch FROM passed GROUP BY ALL),
+at_ AS (SELECT topic, partition_id, max(committed_offset) AS committed_offset FROM passed SEMI JOIN latest USING ({_PROGRESS}) GROUP BY ALL)""",
+        f"""SELECT r.topic, r.partition_id, r.record_offset, s.committed_offset, d.record_offset IS NOT NULL AS replayed_success
+FROM log_records r LEFT JOIN at_ s ON r.topic = s.topic AND r.partition_id = s.partition_id
 LEFT JOIN (SELECT DISTINCT {_LOCATION} FROM completions WHERE outcome = 'succeeded') d
   ON r.topic = d.topic AND r.partition_id = d.partition_id AND r.record_offset = d.record_offset
-WHERE s.safe_next_offset IS NULL OR r.record_offset >= s.safe_next_offset""",
+WHERE s.committed_offset IS NULL OR r.record_offset >= s.committed_offset""",
     ),
     "committed_by_interval": _q(
         _ACKS,

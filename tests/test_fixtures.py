@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from ackline.operators import epochs
 from ackline.plans.fixtures import Inputs, with_views
 from compare import duck_rows, spark_rows
 
@@ -16,7 +17,16 @@ def test_every_error_event_is_in_the_control_log(spark):
     log, events = inputs["assignment_events"], inputs["events"]
     errors = events.filter("event_type = 'error'").count()
     assert errors and log.filter("event = 'error'").count() == errors
-    assert log.filter("event = 'revoked'").count() == 2 * errors
+    assert log.filter("event = 'revoked' and topic = 'events'").count() == 2 * errors
+
+
+def test_log_ends_while_records_are_open(spark):
+    inputs = Inputs(spark, SF_DIR)
+    live = epochs.live_events(inputs["deliveries"], inputs.intervals("assignment_events"))
+    done = inputs["completions"].filter("outcome = 'succeeded'")
+    open_ = live.join(done, ["topic", "partition_id", "epoch", "record_offset"], "left_anti")
+    assert open_.groupBy("topic", "partition_id").count().filter("topic = 'steady'").count() == 4
+    assert live.count() > 100 * 4
 
 
 @pytest.mark.parametrize("name", ["fx_epochs", "deliveries"])
