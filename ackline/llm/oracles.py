@@ -113,28 +113,30 @@ def _case(column: int) -> str:
 
 
 URLS = rf"""
-WITH page AS (
+WITH RECURSIVE page AS (
   SELECT page_id, url, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
          regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
 part AS (
-  SELECT *, list_reverse(string_split(host, '.'))[1:4] AS labels, translate(path, '{_UPPER}', '{_LOWER}') AS low,
-    regexp_extract(coalesce(url, ''), '(?s)^[^?#]*\?([^#]*)', 1) AS query FROM page),
+  SELECT *, translate(path, '{_UPPER}', '{_LOWER}') AS low, regexp_extract(coalesce(url, ''), '(?s)^[^?#]*\?([^#]*)', 1) AS query FROM page),
 token AS (
   SELECT page_id, url, list_distinct(list_concat(
-    list_transform(list_filter(labels, lambda x: x <> ''), lambda x: 'h:' || x),
-    list_transform(list_filter(string_split(low, '/'), lambda x: x <> '')[1:3], lambda x: 'p:' || regexp_replace(x, '[0-9]+', '0', 'g')),
+    list_transform(list_filter(string_split(host, '.'), lambda x: x <> ''), lambda x: 'h:' || x),
+    list_transform(list_filter(string_split(low, '/'), lambda x: x <> ''), lambda x: 'p:' || regexp_replace(x, '[0-9]+', '0', 'g')),
     list_transform(list_filter([regexp_extract(low, '\.([a-z0-9]{{1,8}})$', 1)], lambda x: x <> ''), lambda x: 'x:' || x),
-    list_transform(list_sort(list_distinct(list_filter(list_transform(string_split(query, '&'), lambda x: string_split(x, '=')[1]), lambda x: x <> '')))[1:4], lambda x: 'q:' || x))) AS has
+    list_transform(list_filter(list_transform(string_split(query, '&'), lambda x: string_split(x, '=')[1]), lambda x: x <> ''), lambda x: 'q:' || x))) AS has
   FROM part),
 labelled AS (SELECT row_number() OVER () AS r, has, quality = 0 AS blocked FROM token JOIN labels ON page_id = doc_id WHERE quality IS NOT NULL),
-one AS (SELECT r, blocked, unnest(has) AS a FROM labelled),
+wanted AS (SELECT ceil(greatest(0.002 * count(*), 5) - 1e-9) AS least,
+                  least(1, 2 * CAST(count(*) FILTER (blocked) AS DOUBLE) / count(*)) AS sure FROM labelled),
+each AS (SELECT r, blocked, unnest(has) AS a FROM labelled),
+one AS (SELECT * FROM each SEMI JOIN (
+  SELECT a FROM each GROUP BY a HAVING count(*) FILTER (blocked) >= (SELECT least FROM wanted)) often USING (a)),
 combo AS (
-  SELECT r, blocked, [a] AS items FROM one
-  UNION ALL SELECT x.r, x.blocked, [x.a, y.a] FROM one x JOIN one y ON x.r = y.r AND x.a < y.a
-  UNION ALL SELECT x.r, x.blocked, [x.a, y.a, z.a] FROM one x JOIN one y ON x.r = y.r AND x.a < y.a JOIN one z ON x.r = z.r AND y.a < z.a),
-counted AS (SELECT items, count(*) AS n, count(*) FILTER (blocked) AS n_block FROM combo GROUP BY items),
-rule AS (SELECT items FROM counted
-         WHERE n_block / n >= 0.5 AND n_block >= ceil(greatest(0.002 * (SELECT count(*) FROM labelled), 5) - 1e-9)),
+  SELECT r, blocked, a, [a] AS items FROM one
+  UNION ALL SELECT c.r, c.blocked, o.a, list_append(c.items, o.a) FROM combo c JOIN one o ON c.r = o.r AND o.a > c.a),
+rule AS (SELECT items FROM combo GROUP BY items
+         HAVING count(*) FILTER (blocked) >= (SELECT least FROM wanted)
+            AND count(*) FILTER (blocked) / count(*) >= (SELECT sure FROM wanted)),
 mined AS (SELECT DISTINCT url FROM token JOIN rule ON list_has_all(has, items))
 SELECT page_id, host, path, {_case(0)} AS rule,
   coalesce({_case(1)}, CASE WHEN url IN (SELECT url FROM mined WHERE url IS NOT NULL) THEN 'block' END, 'allow') AS verdict

@@ -105,21 +105,26 @@ def mine_rules(
     *,
     support: float = 0.002,
     least: int = 5,
-    confidence: float = 0.5,
+    lift: float = 2.0,
+    confidence: float | None = None,
     longest: int | None = None,
 ) -> DataFrame:
     """Rules ``(tokens, n, n_block, confidence)`` from ``(url, blocked)`` rows.
 
     A rule is a set of tokens (up to ``longest``, if given) found in at least
-    ``max(least, support * rows)`` labelled URLs that are to be blocked, of which
-    at least ``confidence`` of all with these tokens are. A rule is dropped if a
-    part of it alone is at least as confident. Rows with a null label do not count.
+    ``max(least, support * rows)`` labelled URLs that are to be blocked, whose
+    share among all with these tokens (its confidence) is at least ``lift`` times
+    that among all labelled URLs, 1 at most; ``confidence`` sets that share
+    itself. A rule is dropped if a part of it alone is at least as confident.
+    Rows with a null label do not count.
     """
     spark = labelled.sparkSession
     prepare(spark)
     rows = labelled.filter(F.col("blocked").isNotNull()).select(F.monotonically_increasing_id().alias("row"), "blocked", url_tokens(F.col("url")).alias("has"))
     rows = keep(rows, "baskets")
-    n = rows.count()
+    n, n_blocked = rows.agg(F.count("*"), F.count_if("blocked")).first()
+    if confidence is None:
+        confidence = min(1.0, lift * n_blocked / n) if n else 1.0
     none = spark.createDataFrame([], "tokens array<string>, n long, n_block long, confidence double")
     wanted = max(1, math.ceil(max(least, support * n) - 1e-9))
     each = rows.select("row", "blocked", F.explode("has").alias("token"))
@@ -202,4 +207,10 @@ def judge_urls(pages: DataFrame, labelled: DataFrame, rules: Sequence[Rule] = LI
     open_urls = judged.filter(F.col("_listed").isNull() & F.col("url").isNotNull()).select("url")
     blocked = matching_urls(open_urls, mined).withColumn("_mined", F.lit("block"))
     verdict = F.coalesce("_listed", "_mined", F.lit("allow"))
-    return judged.join(blocked, "url", "left").withColumn("verdict", verdict).drop("_listed", "_mined")
+    names = [*pages.drop("host", "path", "rule", "verdict").columns, "host", "path", "rule"]
+    # Rows that no mined rule can reach stay out of the join; what many rows repeat is a skewed join.
+    open_rows = F.col("_listed").isNull() & F.col("url").isNotNull()
+    met = judged.filter(open_rows).join(blocked, "url", "left")
+    settled = judged.filter(~open_rows).withColumn("_mined", F.lit(None).cast("string"))
+    both = met.select(*names, "_listed", "_mined").unionByName(settled.select(*names, "_listed", "_mined"))
+    return both.withColumn("verdict", verdict).drop("_listed", "_mined")

@@ -269,6 +269,25 @@ def test_rules_use_every_part_of_a_url_and_any_length(spark):
     assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow"}
 
 
+def test_rules_are_sought_relative_to_the_share_of_blocked(spark):
+    rng = random.Random(11)
+    rows = []
+    for i in range(1000):
+        shop = rng.choice(["a", "b", "c", "d"])
+        rows.append((f"http://{shop}.com/{rng.choice('xyz')}/{i}", rng.random() < (0.3 if shop == "a" else 0.05)))
+    labelled = spark.createDataFrame(rows, "url string, blocked boolean")
+    tokens = {tuple(r.tokens) for r in urls.mine_rules(labelled).collect()}
+    base = sum(b for _, b in rows) / len(rows)
+    assert base < 0.15 and ("h:a",) in tokens and all("h:a" in t for t in tokens)
+    pages_ = spark.createDataFrame([(1, "http://a.com/q"), (2, "http://b.com/q"), (3, None), (4, "http://a.com/q")], "page_id long, url string")
+    verdicts = lambda **o: {r.page_id: r.verdict for r in urls.judge_urls(pages_, labelled, **o).collect()}
+    # Without mined rules the first and the last are judged otherwise.
+    assert verdicts() == {1: "block", 2: "allow", 3: "allow", 4: "block"}
+    assert set(verdicts(lift=50.0).values()) == {"allow"}
+    clashing = pages_.selectExpr("*", "1 as host", "2 as tokens", "3 as has", "4 as _salt")
+    assert {r.page_id: (r.verdict, r.has) for r in urls.judge_urls(clashing, labelled).collect()}[1] == ("block", 3)
+
+
 def test_tokens_that_stand_together_are_rules_each(spark):
     rows = [(f"http://one.two.three/{'/'.join('abcdefghijklmnopqrstuvw')}", True)] * 20 + [("http://three/z", False)] * 20
     mined = urls.mine_rules(spark.createDataFrame(rows, "url string, blocked boolean"), confidence=0.9).collect()
