@@ -112,7 +112,7 @@ def prefix_positions(deliveries: DataFrame, completions: DataFrame, intervals: D
     ``popped_seq`` is null while the delivery is not part of the safe prefix.
     """
     live = fence(_successes(completions).select(*TOKEN, "seq"), intervals).filter("is_current")
-    succeeded = _first_success_after(deliveries.select(*TOKEN, "seq"), live.select(*TOKEN, "seq"))
+    succeeded = first_success_after(deliveries.select(*TOKEN, "seq"), live.select(*TOKEN, "seq"))
     never = F.lit(I64_MAX)
     scanned = prefix_scan(
         succeeded,
@@ -123,7 +123,7 @@ def prefix_positions(deliveries: DataFrame, completions: DataFrame, intervals: D
     return scanned.withColumn("popped_seq", F.when(F.col("popped_seq") < never, F.col("popped_seq")))
 
 
-def _first_success_after(deliveries: DataFrame, successes: DataFrame) -> DataFrame:
+def first_success_after(deliveries: DataFrame, successes: DataFrame) -> DataFrame:
     """Add ``success_seq``, the first success of the token after its delivery.
 
     Successes are reduced per token before the join. Only tokens whose first

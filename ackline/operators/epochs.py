@@ -67,6 +67,14 @@ def current_assignments(intervals: DataFrame) -> DataFrame:
     return intervals.filter(F.col("to_seq").isNull()).select(*PROGRESS)
 
 
+def known_at(intervals: DataFrame, seq: int) -> DataFrame:
+    """The intervals as they were known at ``seq``: later epochs are not there, those that end later are current."""
+    ended = F.col("to_seq") <= seq
+    return intervals.filter(F.col("from_seq") <= seq).withColumns(
+        {"to_seq": F.when(ended, F.col("to_seq")), "closed_by": F.when(ended, F.col("closed_by"))}
+    )
+
+
 def stamp_epochs(events: DataFrame, intervals: DataFrame, *, method: str = "scan") -> DataFrame:
     """Add ``epoch``, the epoch in force at each event's ``seq`` (null if none).
 

@@ -10,15 +10,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ackline.functions.metadata import decode_metadata, metadata_rule_hits
-from ackline.operators import acks, budget, downloads, epochs, objects, processing, records
+from ackline.operators import acks, budget, downloads, epochs, objects, processing, records, snapshots
 from ackline.plans.fixtures import Inputs
 from ackline.schemas import OBJECT, PARTITION, PROGRESS, TOKEN
 from ackline.session import ROCKSDB, STATE_STORE, cut, workspace
 from ackline.sources import objects as stores
 from ackline.sources.chunk_source import load_object_chunks
 from ackline.sources.record_log import in_order, read_record_log, stream_record_log, write_record_log
+from ackline.streaming import commits, prefix, run
 from ackline.streaming import epochs as stream_epochs
-from ackline.streaming import prefix, run
 
 # Parameters the queries are run with.
 MAX_OBJECT_SIZE = 16_384
@@ -31,6 +31,8 @@ PAYLOAD_TEXT = "payload_text"
 LOCATION = [*PARTITION, "record_offset"]
 # Ranges a log is fed to a stream in.
 STREAM_RANGES = 4
+# Steps in which snapshots are carried on.
+STEPS = 2
 
 
 def _time_text(ts: Column) -> Column:
@@ -376,6 +378,41 @@ def committed_by_interval(inputs: Inputs) -> DataFrame:
     )
 
 
+def _in_steps(inputs: Inputs) -> tuple[snapshots.Snapshot, DataFrame]:
+    """The last snapshot of logs taken in range by range of ``seq``, and the epoch intervals."""
+    deliveries, completions, intervals = _acks(inputs)
+    root = workspace(inputs.spark, "snapshots")
+    log = cut(commits.ack_log(deliveries, completions), "ack-log")
+    step = snapshots.empty(inputs.spark)
+    for number, part in enumerate(in_order(log, STEPS)):
+        new = part.filter("kind = 'delivered'").select(*TOKEN, "seq", "accounted_bytes")
+        done = part.filter("kind = 'completed'").select(*TOKEN, "seq", "ts", "outcome")
+        step = snapshots.advance(step, new, done, intervals, f"{root}/{number}")
+    return step, intervals
+
+
+def safe_prefix_in_steps(inputs: Inputs) -> DataFrame:
+    return snapshots.safe_prefix(*_in_steps(inputs))
+
+
+def in_flight_in_steps(inputs: Inputs) -> DataFrame:
+    return snapshots.in_flight(*_in_steps(inputs))
+
+
+def stream_commits(inputs: Inputs) -> DataFrame:
+    """Offsets committed by interval while a stream of the ack log goes on."""
+    spark = inputs.spark
+    deliveries, completions, intervals = _acks(inputs)
+    root = workspace(spark, "commit-stream")
+    log = cut(commits.ack_log(deliveries, completions), "ack-log")
+    for part in in_order(log, STREAM_RANGES):
+        part.write.mode("append").parquet(f"{root}/log")
+        commits.stream_commits(stream_record_log(spark, f"{root}/log", log.schema), lambda: intervals, root).awaitTermination()
+    return commits.committed(spark, root).select(
+        *PROGRESS, _time_text(F.col("window_start")).alias("window_start"), "committed_offset"
+    )
+
+
 def in_flight(inputs: Inputs) -> DataFrame:
     return acks.in_flight(*_acks(inputs))
 
@@ -679,6 +716,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "replay_set": replay_set,
     "committed_by_interval": committed_by_interval,
     "in_flight": in_flight,
+    "safe_prefix_in_steps": safe_prefix_in_steps,
+    "in_flight_in_steps": in_flight_in_steps,
+    "stream_commits": stream_commits,
     "budget_occupancy": budget_occupancy,
     "watermark_signals": watermark_signals,
     "admission_blocked": admission_blocked,

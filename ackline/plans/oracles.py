@@ -271,6 +271,17 @@ _ASSIGNED_ROWS = _q(
     f"{_INTERVALS},{_stamped('iv')}",
     f"SELECT {_LOCATION}, seq, epoch FROM stamped WHERE epoch IS NOT NULL",
 )
+_COMMIT_ROWS = _q(
+    _ACKS,
+    _COMMITS,
+    f"SELECT {_PROGRESS}, strftime(w, '%Y-%m-%d %H:%M:%S.%f') AS window_start, committed_offset FROM commits",
+)
+_IN_FLIGHT_ROWS = _q(
+    _ACKS,
+    _SAFE,
+    f"""SELECT {_PROGRESS}, count(*) AS n_records, CAST(sum(accounted_bytes) AS BIGINT) AS n_bytes, min(record_offset) AS first_offset
+FROM st SEMI JOIN cur USING ({_PROGRESS}) WHERE NOT done GROUP BY {_PROGRESS}""",
+)
 _CHUNK_ROWS = _q(
     ["object_meta"],
     "n AS (SELECT *, CAST(ceil(size / 1024.0) AS BIGINT) AS k FROM object_meta)",
@@ -435,17 +446,11 @@ LEFT JOIN (SELECT DISTINCT {_LOCATION} FROM completions WHERE outcome = 'succeed
   ON r.topic = d.topic AND r.partition_id = d.partition_id AND r.record_offset = d.record_offset
 WHERE s.committed_offset IS NULL OR r.record_offset >= s.committed_offset""",
     ),
-    "committed_by_interval": _q(
-        _ACKS,
-        _COMMITS,
-        f"SELECT {_PROGRESS}, strftime(w, '%Y-%m-%d %H:%M:%S.%f') AS window_start, committed_offset FROM commits",
-    ),
-    "in_flight": _q(
-        _ACKS,
-        _SAFE,
-        f"""SELECT {_PROGRESS}, count(*) AS n_records, CAST(sum(accounted_bytes) AS BIGINT) AS n_bytes, min(record_offset) AS first_offset
-FROM st SEMI JOIN cur USING ({_PROGRESS}) WHERE NOT done GROUP BY {_PROGRESS}""",
-    ),
+    "committed_by_interval": _COMMIT_ROWS,
+    "in_flight": _IN_FLIGHT_ROWS,
+    "safe_prefix_in_steps": _q(_ACKS, _SAFE, _SAFE_ROWS),
+    "in_flight_in_steps": _IN_FLIGHT_ROWS,
+    "stream_commits": _COMMIT_ROWS,
     "budget_occupancy": _q(
         ["budget_events"], _OCCUPANCY, "SELECT seq, event, queue_used, bytes_used FROM occ"
     ),

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ackline.operators import acks, epochs
+from ackline.operators import acks, epochs, snapshots
 from ackline.schemas import ASSIGNMENT_EVENT, COMPLETION, DELIVERY
 from ackline.session import cut
 from model import TOP, Tracker
@@ -406,3 +406,34 @@ def test_commit_intervals(spark):
     assert [r.committed_offset for r in rows] == [2, 3, 4]
     with pytest.raises(ValueError):
         acks.committed_by_interval(deliveries, timed, intervals, interval_ms=0)
+
+
+def test_snapshots_in_steps(spark, tmp_path):
+    """Steps over a log with an epoch that ends between them, a gap that closes late, and repeats."""
+    tok = lambda epoch, offset, seq: ("t", 0, epoch, offset, seq, 7)
+    delivered = [tok(1, o, 10 + o) for o in range(6)] + [tok(2, o, 60 + o) for o in range(6, 10)]
+    success = [(1, 1, 20), (1, 2, 21), (1, 0, 30), (1, 0, 31), (1, 4, 33), (1, 3, 55), (2, 6, 70), (2, 8, 71), (1, 5, 72), (2, 7, 80), (2, 7, 81)]
+    deliveries = spark.createDataFrame(delivered, "topic string, partition_id int, epoch long, record_offset long, seq long, accounted_bytes long")
+    completions = spark.createDataFrame(
+        [("t", 0, e, o, s, None, "succeeded") for e, o, s in success],
+        "topic string, partition_id int, epoch long, record_offset long, seq long, ts timestamp, outcome string",
+    )
+    intervals = spark.createDataFrame(
+        [("t", 0, 1, 0, 50, "revoked"), ("t", 0, 2, 56, None, None)],
+        "topic string, partition_id int, epoch long, from_seq long, to_seq long, closed_by string",
+    )
+    step = snapshots.empty(spark)
+    seen, advances = [], []
+    for number, (low, high) in enumerate([(0, 25), (25, 40), (40, 40), (40, 75), (75, 99)]):
+        new = f"seq > {low} and seq <= {high}"
+        step = snapshots.advance(step, deliveries.filter(new), completions.filter(new), intervals, f"{tmp_path}/{number}")
+        known = epochs.known_at(intervals, high)
+        seen.append({r.epoch: r.safe_next_offset for r in snapshots.safe_prefix(step, known).collect()})
+        advances += [(r.epoch, r.seq, r.safe_next_offset) for r in step.advances.collect()]
+    assert seen == [{}, {1: 3}, {1: 3}, {2: 7}, {2: 9}]
+    assert sorted(advances) == [(1, 30, 3), (2, 70, 7), (2, 80, 9)]
+    assert [tuple(r)[2:] for r in snapshots.in_flight(step, intervals).collect()] == [(2, 1, 7, 9)]
+    assert [(r.epoch, r.record_offset) for r in step.open.collect()] == [(2, 9)]
+    before = step.safe.collect()
+    again = snapshots.advance(snapshots.read(spark, f"{tmp_path}/3"), deliveries.filter("seq > 75"), completions.filter("seq > 75"), intervals, f"{tmp_path}/4")
+    assert again.safe.collect() == before

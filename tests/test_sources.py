@@ -1,6 +1,6 @@
 import pytest
 
-from ackline.sources import record_log
+from ackline.sources import record_log, start
 from ackline.sources.kafka import kafka_options
 from ackline.schemas import RECORD
 
@@ -74,3 +74,40 @@ def test_log_in_order(spark):
     assert all(200 < len(part) < 300 for part in parts)
     assert [part.count() for part in record_log.in_order(log.filter("false"), 4)] == [0]
     assert record_log.in_order(log, 1)[0].count() == 1000
+
+
+def test_start_policy_looks_at_the_checkpoint(spark, tmp_path):
+    checkpoint = str(tmp_path / "cp")
+    assert start.checkpoint_progress(spark, checkpoint) == (None, None)
+    with pytest.raises(start.NoStartingPoint, match="no offsets of an earlier run"):
+        start.require_start(spark, checkpoint, auto_offset_reset="error")
+    with pytest.raises(start.NoStartingPoint):
+        start.subscribe(spark, checkpoint, ["a"], ["x"], client_id="c", auto_offset_reset="error")
+    assert start.require_start(spark, checkpoint, auto_offset_reset="error", starting_offsets="{}").planned is None
+    assert start.require_start(spark, checkpoint, auto_offset_reset="earliest").planned is None
+    (tmp_path / "cp" / "offsets").mkdir(parents=True)
+    with pytest.raises(start.NoStartingPoint):
+        start.require_start(spark, checkpoint, auto_offset_reset="error")
+
+    log = str(tmp_path / "log")
+    failing = [False]
+
+    def run():
+        def process(batch, number):
+            if failing[0]:
+                raise RuntimeError("stopped")
+
+        record_log.write_record_log(spark.createDataFrame([("t", 0, 1, 1, None, b"v", None, None)], RECORD), log)
+        stream = record_log.stream_record_log(spark, log)
+        query = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+
+    run()
+    assert start.require_start(spark, checkpoint, auto_offset_reset="error") == (0, 0)
+    failing[0] = True
+    with pytest.raises(Exception, match="stopped"):
+        run()
+    # Planned, not committed: a restart repeats it.
+    assert start.checkpoint_progress(spark, checkpoint) == (1, 0)
+    with pytest.raises(ValueError):
+        start.require_start(spark, checkpoint, auto_offset_reset="none")
