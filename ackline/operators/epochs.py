@@ -104,13 +104,30 @@ def stamp_epochs(events: DataFrame, intervals: DataFrame, *, method: str = "scan
     )
 
 
+# Seqs in a block of the join by range.
+JOIN_BLOCK_BITS = 20
+
+
 def _stamp_by_join(events: DataFrame, intervals: DataFrame) -> DataFrame:
-    spans = intervals.drop("closed_by").alias("s")
-    rows = events.alias("e")
-    keys = [F.col(f"e.{c}") == F.col(f"s.{c}") for c in PARTITION]
+    """Look ended intervals up by partition and block of ``seq``, those without an end by partition.
+
+    An event meets the intervals that reach into its block, not all of its
+    partition's; a partition has at most one interval without an end.
+    """
+    block = lambda c: F.shiftright(c, JOIN_BLOCK_BITS).cast("long")
+    spans = intervals.select(*PARTITION, "from_seq", "to_seq", F.col("epoch").alias("_epoch"))
+    ended = spans.filter(F.col("to_seq") > F.col("from_seq"))
+    blocks = F.sequence(block(F.col("from_seq")), block(F.col("to_seq") - 1))
+    ended = ended.withColumn("_block", F.explode(blocks)).alias("s")
+    rows = events.withColumn("_block", block(F.col("seq"))).alias("e")
+    keys = [F.col(f"e.{c}") == F.col(f"s.{c}") for c in (*PARTITION, "_block")]
     inside = _inside(F.col("e.seq"), F.col("s.from_seq"), F.col("s.to_seq"))
-    joined = rows.join(spans, [*keys, inside], "left")
-    return joined.select(*[F.col(f"e.{c}") for c in events.columns], F.col("s.epoch"))
+    names = [F.col(f"e.{c}") for c in events.columns]
+    closed = rows.join(ended, [*keys, inside], "left").select(*names, F.col("s._epoch").alias("_ended")).alias("e")
+    open_ = spans.filter("to_seq is null").alias("s")
+    same = [F.col(f"e.{c}") == F.col(f"s.{c}") for c in PARTITION]
+    joined = closed.join(open_, [*same, F.col("e.seq") >= F.col("s.from_seq")], "left")
+    return joined.select(*names, F.coalesce("e._ended", "s._epoch").alias("epoch"))
 
 
 def _inside(seq: Column, from_seq: Column, to_seq: Column) -> Column:
