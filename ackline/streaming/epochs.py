@@ -79,6 +79,10 @@ def stream_epochs(events: DataFrame, *, spread: Column | str = "seq") -> DataFra
     value = F.col(spread) if isinstance(spread, str) else spread
     own = F.array(F.pmod(F.xxhash64(value), F.lit(STRIPES)).cast("int"))
     every = F.sequence(F.lit(0), F.lit(STRIPES - 1))
+    # No nulls in the numbers of changes: pandas would make floats of all of them.
+    numbers = [f.name for f in events.schema.fields if isinstance(f.dataType, T.IntegralType) and f.name not in PARTITION]
+    whole = {n: F.when(F.col("is_change"), F.coalesce(n, F.lit(0))).otherwise(F.col(n)) for n in numbers if n not in ("seq", "mark")}
+    events = events.withColumns({**whole, "mark": F.coalesce("mark", F.lit(_NONE).cast("long"))})
     dealt = events.withColumn("stripe", F.explode(F.when(F.col("is_change"), every).otherwise(own)))
     fields = [f for f in events.schema.fields if f.name not in _MARKS]
     fields = [T.StructField(f.name, f.dataType) for f in fields]

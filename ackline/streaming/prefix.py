@@ -26,9 +26,9 @@ from ackline.params import I64_MAX
 from ackline.schemas import PARTITION, PROGRESS, TOKEN
 
 # Offsets per block, and stripes a partition's blocks are dealt to.
-OFFSET_BLOCK_BITS = 16
+OFFSET_BLOCK_BITS = 13
 BLOCK_OFFSETS = 1 << OFFSET_BLOCK_BITS
-STRIPES = 16
+STRIPES = 8
 # A finished block is forgotten when its stripe has been called so often without a row of it.
 KEPT_CALLS = 16
 STRIPE = [*PARTITION, "stripe"]
@@ -38,6 +38,8 @@ _OUTPUT = (
     "version bigint, record_offset bigint, first_seq bigint"
 )
 _NEVER = np.iinfo(np.int64).min
+# Integers that may be missing: a merge would make floats of plain ones, which cannot hold all offsets.
+_EXACT = "Int64"
 _PENDING = ["epoch", "offset", "delivered", "low", "high"]
 _BLOCKS = ["epoch", "block", "last_ok", "touched"]
 _FINISHED = ["epoch", "below"]
@@ -88,8 +90,8 @@ class StripePrefix(StatefulProcessor):
         calls, floor, pending, blocks, finished = self._load()
         calls += 1
         batch = pd.concat(list(rows))
-        control = batch[batch["least"].notna()]
-        events = batch[batch["least"].isna()]
+        control = batch[batch["least"] != _NEVER]
+        events = batch[batch["least"] == _NEVER]
         fresh = self._fresh(events, floor_at(events["seq"].to_numpy(dtype="int64"), control, floor))
         tokens = self._combined(pending, fresh, blocks, finished)
         made, firsts, pending, blocks = self._settled(tokens, blocks, calls)
@@ -103,7 +105,7 @@ class StripePrefix(StatefulProcessor):
         out = pd.concat(
             [
                 made.assign(kind="block", version=calls),
-                firsts.assign(kind="first"),
+                firsts.astype(_EXACT).assign(kind="first"),
             ]
         )
         if len(out):
@@ -148,10 +150,12 @@ class StripePrefix(StatefulProcessor):
             .reset_index()
         )
         rows["block"] = rows["offset"] // BLOCK_OFFSETS
-        rows = rows.merge(blocks[["epoch", "block", "last_ok"]], on=["epoch", "block"], how="left")
-        rows = rows.merge(finished, on="epoch", how="left")
-        settled = (rows["offset"] <= rows["last_ok"].fillna(_NEVER)) & (rows["last_ok"].fillna(_NEVER) > _NEVER)
-        return rows[~settled & ~(rows["block"] < rows["below"].fillna(_NEVER))].reset_index(drop=True)
+        rows = rows.merge(blocks[["epoch", "block", "last_ok"]].astype(_EXACT), on=["epoch", "block"], how="left")
+        rows = rows.merge(finished.astype(_EXACT), on="epoch", how="left")
+        last_ok, below = (rows[c].fillna(_NEVER).astype("int64") for c in ("last_ok", "below"))
+        settled = (rows["offset"] <= last_ok) & (last_ok > _NEVER)
+        rows = rows.drop(columns=["last_ok", "below"])
+        return rows[~settled & ~(rows["block"] < below)].reset_index(drop=True)
 
     @staticmethod
     def _settled(tokens: pd.DataFrame, blocks: pd.DataFrame, calls: int) -> tuple[pd.DataFrame, ...]:
@@ -177,27 +181,27 @@ class StripePrefix(StatefulProcessor):
                     "block": tokens["block"],
                     "open": tokens["offset"].where(open_, I64_MAX),
                     "ok": tokens["offset"].where(reached, _NEVER),
+                    "some": open_,
                 }
             )
             .groupby(["epoch", "block"])
-            .agg(open=("open", "min"), ok=("ok", "max"), some=("open", lambda x: bool((x < I64_MAX).any())))
+            .agg(open=("open", "min"), ok=("ok", "max"), some=("some", "max"))
             .reset_index()
+            .astype({c: _EXACT for c in ("epoch", "block", "open", "ok")})
         )
-        # An open offset may be the greatest number itself.
-        made["some"] = open_.groupby(group).any().to_numpy() if len(made) else made["some"]
-        both = made.merge(blocks, on=["epoch", "block"], how="outer", indicator="from")
-        last = np.maximum(both["ok"].fillna(_NEVER).astype("int64"), both["last_ok"].fillna(_NEVER).astype("int64"))
-        touched = np.where(both["from"] == "right_only", both["touched"].fillna(0), calls).astype("int64")
+        both = made.merge(blocks.astype(_EXACT), on=["epoch", "block"], how="outer", indicator="from")
+        last = np.maximum(*(both[c].fillna(_NEVER).astype("int64") for c in ("ok", "last_ok")))
+        here = both["from"] != "right_only"
+        touched = both["touched"].where(~here, calls)
         all_blocks = _frame(_BLOCKS, [both["epoch"], both["block"], last, touched])
-        at = tokens.drop(columns=["last_ok", "below"]).merge(all_blocks, on=["epoch", "block"])
+        at = tokens.merge(all_blocks, on=["epoch", "block"])
         rest = at[at["offset"] > at["last_ok"]][_PENDING]
-        here = both["from"] != "right_only"
         put_out = pd.DataFrame(
             {
                 "epoch": both["epoch"],
                 "offset_block": both["block"],
-                "first_open": both["open"].astype("Int64").where(both["some"].fillna(False).astype(bool)),
-                "last_ok": pd.Series(last, index=both.index).astype("Int64").where(last > _NEVER),
+                "first_open": both["open"].where(both["some"].eq(True)),
+                "last_ok": last.astype(_EXACT).where(last > _NEVER),
             }
         )[here]
         return put_out, firsts, rest, all_blocks
@@ -245,8 +249,14 @@ def stream_prefix(events: DataFrame) -> DataFrame:
     every = F.sequence(F.lit(0), F.lit(STRIPES - 1))
     # An assignment leaves nothing below its epoch, a revocation not even that.
     least = F.when(F.col("kind") == "assigned", F.col("epoch")).when(F.col("kind") == "revoked", F.col("epoch") + 1)
+    # No nulls: pandas would make floats of the numbers.
     shaped = events.select(
-        *TOKEN, "seq", "kind", least.alias("least"), F.explode(F.when(control, every).otherwise(own)).alias("stripe")
+        *PROGRESS,
+        F.coalesce("record_offset", F.lit(0)).alias("record_offset"),
+        "seq",
+        "kind",
+        F.coalesce(least, F.lit(_NEVER)).alias("least"),
+        F.explode(F.when(control, every).otherwise(own)).alias("stripe"),
     )
     return shaped.groupBy(*STRIPE).transformWithStateInPandas(
         statefulProcessor=StripePrefix(),

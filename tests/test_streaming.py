@@ -121,9 +121,24 @@ def test_prefix_state_against_the_batch_operator(spark):
     assert sorted(map(tuple, prefix.first_successes(out).collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_offsets_beyond_floating_point(spark):
+    big = 2**62 + 1
+    event = lambda kind, offset, seq: ("t", 0, 1, offset, seq, kind)
+    first = [("t", 0, 1, None, 0, "assigned"), event("delivered", big, 1), event("succeeded", big, 2), event("delivered", 5, 3)]
+    second = [event("delivered", big + 2, 4), event("succeeded", big + 2, 5), event("delivered", 2**63 - 1, 6), event("succeeded", 5, 7)]
+    # Stripes with blocks that a batch does not touch.
+    many = [event(kind, o, 10 + o) for o in range(0, 400_000, 4_000) for kind in ("delivered",)]
+    out = _stream(spark, workspace(spark, "stream-test"), [first, many, second], prefix.stream_prefix, EVENTS)
+    latest = {r.offset_block: (r.first_open, r.last_ok) for r in prefix.latest_blocks(out).collect()}
+    assert latest[big // prefix.BLOCK_OFFSETS] == (None, big + 2)
+    assert latest[(2**63 - 1) // prefix.BLOCK_OFFSETS] == (2**63 - 1, None)
+    assert {r.record_offset: r.first_seq for r in prefix.first_successes(out).collect()} == {big: 2, big + 2: 5, 5: 7}
+
+
 def test_finished_blocks_are_forgotten():
-    blocks = pd.DataFrame({"epoch": [1, 1, 1, 2], "block": [0, 1, 5, 0], "last_ok": [9, 70_000, 330_000, 5], "touched": [1, 1, 30, 30]})
-    pending = pd.DataFrame({"epoch": [1], "offset": [70_001]})
+    size = prefix.BLOCK_OFFSETS
+    blocks = pd.DataFrame({"epoch": [1, 1, 1, 2], "block": [0, 1, 5, 0], "last_ok": [9, size + 9, 5 * size, 5], "touched": [1, 1, 30, 30]})
+    pending = pd.DataFrame({"epoch": [1], "offset": [size + 10]})
     finished = pd.DataFrame({"epoch": pd.Series(dtype="int64"), "below": pd.Series(dtype="int64")})
     stays, below = prefix.StripePrefix._forgotten(pending, blocks, finished, 40)
     assert stays[["epoch", "block"]].to_numpy().tolist() == [[1, 1], [1, 5], [2, 0]]
