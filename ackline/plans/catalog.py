@@ -30,7 +30,7 @@ MEMORY_BUDGET_BYTES = 160
 PAYLOAD_TEXT = "payload_text"
 LOCATION = [*PARTITION, "record_offset"]
 # Ranges a log is fed to a stream in.
-STREAM_RANGES = 4
+STREAM_RANGES = 3
 # Steps in which snapshots are carried on.
 STEPS = 2
 
