@@ -3,7 +3,9 @@
 Windows have the size of a template and start at every quarter of it. MinHash
 bands of a window's word shingles retrieve templates; the window, widened by
 half its size on both sides, must then contain at least the wanted share of the
-template's shingles exactly. A window without any template shingle contains
+template's shingles exactly. Once a template is retrieved, all its windows in the
+document are compared, so its place and share do not depend on which of them
+met a band. A window without any template shingle contains
 none of them, so windows are laid only around such shingles: nothing is lost.
 A template of less than five words is one shingle of its own length, and is
 compared to the document's runs of that length.
@@ -244,6 +246,24 @@ def _windows(hashes: Column, had: Column, spans: Sequence[tuple[int, int]], size
     return F.when(F.size(had) > 0, F.flatten(found)).otherwise(F.array().cast("array<long>"))
 
 
+def _starts(row: Column, wanted: Column, n: Column) -> Column:
+    """Starts on the grid of quarters whose windows of ``n`` hold one of ``wanted`` at least."""
+    step = F.greatest(F.lit(1), F.floor(n / 4))
+
+    def covering(place: Column) -> Column:
+        first = F.ceil(F.greatest(place - (n - 1), F.lit(0)) / step)
+        return F.transform(F.sequence(first, F.floor(place / step)), lambda k: k * step)
+
+    places = F.filter(F.sequence(F.lit(0), F.size(row) - 1), lambda i: F.array_contains(wanted, F.get(row, i)))
+    return F.array_distinct(F.flatten(F.transform(places, covering)))
+
+
+def _shared(start: Column) -> Column:
+    """How many of ``wanted`` stand in the window at ``start`` of ``row``, widened by half its size on both sides."""
+    first = F.greatest(start - F.floor(F.col("n") / 2), F.lit(0)).cast("int")
+    return F.size(F.array_intersect("wanted", F.slice("row", first + 1, (F.col("n") * 2).cast("int"))))
+
+
 def scan_licenses(
     docs: DataFrame,
     templates: Sequence[tuple[str, str]] = TEMPLATES,
@@ -275,33 +295,37 @@ def scan_licenses(
     row = lambda j: F.get(F.col("hashes"), F.lit(j))
     hashed = hashed.filter(reduce(or_, [F.arrays_overlap(row(j), wanted[k]) for j, k in enumerate(lengths)]))
     had = F.array(*[F.array_intersect(row(j), wanted[k]) for j, k in enumerate(lengths)])
-    marked = with_once(hashed, "had", had)
+    marked = with_once(hashed, "had", had).withColumn("entry", F.monotonically_increasing_id())
+    marked = keep(marked, "license-documents")
+    of_size = lambda size: F.get(F.col("hashes"), F.array_position(F.lit(lengths), size).cast("int") - 1)
     around = F.concat(*[_windows(row(j), F.get(F.col("had"), F.lit(j)), spans[k], k) for j, k in enumerate(lengths)])
-    windows = marked.select("doc_id", "hashes", F.explode(F.array_distinct(around)).alias("at")).select(
-        "doc_id",
-        F.get(F.col("hashes"), F.array_position(F.lit(lengths), F.col("at").bitwiseAND(7).cast("int")).cast("int") - 1).alias("row"),
+    windows = marked.select("entry", "hashes", F.explode(F.array_distinct(around)).alias("at")).select(
+        "entry",
+        of_size(F.col("at").bitwiseAND(7).cast("int")).alias("row"),
         F.col("at").bitwiseAND(7).cast("int").alias("size"),
         F.shiftright("at", 3).bitwiseAND((1 << 20) - 1).cast("int").alias("n"),
-        F.shiftright("at", 23).cast("int").alias("first_word"),
+        F.shiftright("at", 23).cast("int").alias("start"),
     )
-    windows = windows.select(
+    windows = windows.select("entry", "size", "n", F.slice("row", F.col("start") + 1, F.col("n")).alias("inner"))
+    windows = with_once(windows, "keys", band_keys(F.col("inner")))
+    keyed = windows.select("entry", "size", "n", F.explode(F.array_distinct("keys")).alias("key"))
+    index = known.select("template", "size", "n", F.explode("keys").alias("key"))
+    met = lookup_join(keyed, keep(index, "license-index"), ["size", "n", "key"], spread=["entry"])
+    retrieved = met.select("entry", "template").distinct()
+
+    # Every window of a retrieved template is compared, also those no band has met.
+    named = lookup_join(retrieved, known.drop("keys"), ["template"], spread=["entry"])
+    tried = marked.select("entry", "doc_id", "hashes").join(named, "entry")
+    tried = tried.select("doc_id", "license", "template", "wanted", "n", of_size(F.col("size")).alias("row"))
+    tried = with_once(tried, "starts", _starts(F.col("row"), F.col("wanted"), F.col("n")))
+    tried = with_once(tried, "top", F.array_max(F.transform("starts", lambda at: F.struct(_shared(at).alias("held"), (-at).alias("before")))))
+    found = tried.select(
         "doc_id",
-        "first_word",
-        "size",
-        "n",
-        F.slice("row", F.col("first_word") + 1, F.col("n")).alias("inner"),
-        F.slice(
-            "row",
-            F.greatest(F.col("first_word") - F.floor(F.col("n") / 2), F.lit(0)).cast("int") + 1,
-            (F.col("n") * 2).cast("int"),
-        ).alias("outer"),
+        "license",
+        "template",
+        (F.col("top.held") / F.col("n")).alias("containment"),
+        (-F.col("top.before")).cast("int").alias("first_word"),
     )
-    windows = with_once(windows, "keys", band_keys(F.col("inner")))
-    keyed = windows.select("doc_id", "first_word", "size", "n", "outer", F.explode(F.array_distinct("keys")).alias("key"))
-    index = known.select("template", "license", "wanted", "size", "n", F.explode("keys").alias("key"))
-    met = lookup_join(keyed, keep(index, "license-index"), ["size", "n", "key"], spread=["doc_id", "first_word"])
-    share = F.size(F.array_intersect("wanted", "outer")) / F.size("wanted")
-    found = met.select("doc_id", "license", "template", "first_word", share.alias("containment"))
     best = F.max_by(
         F.struct("template", "containment", "first_word"),
         F.struct("containment", -F.col("first_word"), -F.col("template")),
