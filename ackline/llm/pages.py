@@ -1,13 +1,14 @@
 """Main text of web pages, with site templates removed.
 
 A page is parsed into elements, and every element subtree has a hash. Spark
-counts on how many pages of a host each subtree stands; those that recur on a
-large share are the site's template and are deleted, together with elements
-that by their kind or name are not part of an article. What is left is taken
-from the page's article or main element, or else from its body.
-
-A subtree has to be on a share of the host's pages, so a host has at most
-(elements of a page) / (share) template subtrees, however many pages it has.
+counts on how many different pages of a host each subtree with text stands;
+those that recur on many are the site's template and are deleted, together with
+elements that by their kind or name are not part of an article. What is left is
+taken from the page's article or main element, or else from its body.
+
+Copies of one page count once: they say nothing about the site's template. A
+host may have any number of template subtrees, as every page is joined only to
+those that stand on itself.
 """
 
 from __future__ import annotations
@@ -63,12 +64,13 @@ _WORD = re.compile(r"[a-z0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "parts", "dropped", "inside", "digest")
+    __slots__ = ("tag", "parts", "dropped", "inside", "digest", "said")
 
     def __init__(self, tag: str, dropped: bool, inside: bool):
         self.tag, self.dropped, self.inside = tag, dropped, inside
         self.parts: list[str | Element] = []
         self.digest = 0
+        self.said = False
 
 
 class TreeBuilder(HTMLParser):
@@ -124,7 +126,7 @@ class TreeBuilder(HTMLParser):
 
 
 def parse(html: str | None) -> tuple[Element, list[Element]]:
-    """The page, and all its elements, children before their parents; each with its digest."""
+    """The page, and all its elements, children before their parents; each with its digest and whether it says anything."""
     builder = TreeBuilder()
     builder.feed(html or "")
     builder.close()
@@ -136,6 +138,7 @@ def parse(html: str | None) -> tuple[Element, list[Element]]:
     order.reverse()
     for element in order:
         said = [p if isinstance(p, str) else f"\0{p.digest}" for p in element.parts]
+        element.said = any(bool(p.strip()) if isinstance(p, str) else p.said for p in element.parts)
         element.digest = xxhash.xxh3_64_intdigest("\1".join([element.tag, *said]).encode("utf-8", "surrogatepass")) - (1 << 63)
     return builder.root, order
 
@@ -183,35 +186,45 @@ def article_text(html: str | None, template: frozenset[int] = frozenset(), templ
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """``(host, digest, inside)``: the different subtrees with text of every page."""
+    """``(host, page, digest, inside)``: the different subtrees with text of every page."""
 
     def list_them(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hosts, digests, insides = [], [], []
-        for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            found = {(e.digest, e.inside) for e in parse(html)[1] if not e.dropped and e.tag not in ("#page", "html", "body")}
+        hosts, prints, digests, insides = [], [], [], []
+        for host, page, html in zip(*[batch.column(c).to_pylist() for c in ("host", "page", "html")]):
+            order = parse(html)[1]
+            found = {(e.digest, e.inside) for e in order if e.said and not e.dropped and e.tag not in ("#page", "html", "body")}
             for digest, inside in found:
                 hosts.append(host)
+                prints.append(page)
                 digests.append(digest)
                 insides.append(inside)
-        made = [pa.array(hosts, pa.string()), pa.array(digests, pa.int64()), pa.array(insides, pa.bool_())]
-        return pa.RecordBatch.from_arrays(made, names=["host", "digest", "inside"])
+        made = [pa.array(hosts, pa.string()), *[pa.array(v, pa.int64()) for v in (prints, digests)], pa.array(insides, pa.bool_())]
+        return pa.RecordBatch.from_arrays(made, names=["host", "page", "digest", "inside"])
 
-    return map_batches(pages.select("host", "html"), list_them, "host string, digest long, inside boolean")
+    return map_batches(pages.select("host", "page", "html"), list_them, "host string, page long, digest long, inside boolean")
 
 
-def site_templates(pages: DataFrame, *, least: int = 5, share: float = 0.1, share_inside: float = 0.5) -> DataFrame:
-    """``(host, outside, within)``: digests of the subtrees that recur on the host's pages.
+def page_templates(
+    pages: DataFrame, *, least: int = 5, share: float = 0.1, many: int = 100, share_inside: float = 0.5
+) -> DataFrame:
+    """``(host, page, outside, within)``: digests of the template subtrees that stand on each page.
 
-    A subtree outside the page's main element has to stand on ``share`` of the
-    pages, one within it on ``share_inside``, and on ``least`` pages in any case.
+    ``page`` is a hash of the html, so copies of a page are one page. A subtree
+    outside the page's main element is template from ``share`` of the host's
+    pages or ``many`` pages on, whichever is fewer; one within it, which may be
+    a passage that articles quote, from ``share_inside`` on. Either has to stand
+    on ``least`` pages.
     """
-    counted = subtrees(pages).groupBy("host", "digest", "inside").agg(F.count("*").alias("uses"))
+    each = keep(subtrees(pages), "page-subtrees")
+    counted = each.groupBy("host", "digest", "inside").agg(F.count_distinct("page").alias("uses"))
     counted = keep(counted.filter(F.col("uses") >= least), "subtree-counts")
-    sizes = keep(pages.groupBy("host").agg(F.count("*").alias("pages")), "host-sizes")
+    sizes = keep(pages.groupBy("host").agg(F.count_distinct("page").alias("pages")), "host-sizes")
     known = lookup_join(counted, sizes, ["host"], spread=["digest"])
-    wanted = F.when(F.col("inside"), share_inside).otherwise(share) * F.col("pages")
-    found = known.filter(F.col("uses") >= wanted)
-    return found.groupBy("host").agg(
+    outside = F.least(share * F.col("pages"), F.lit(many))
+    wanted = F.when(F.col("inside"), share_inside * F.col("pages")).otherwise(outside)
+    recurring = keep(known.filter(F.col("uses") >= wanted).select("host", "digest", "inside"), "site-templates")
+    found = lookup_join(each, recurring, ["host", "digest", "inside"], "left_semi", spread=["page"])
+    return found.groupBy("host", "page").agg(
         F.collect_set(F.when(~F.col("inside"), F.col("digest"))).alias("outside"),
         F.collect_set(F.when(F.col("inside"), F.col("digest"))).alias("within"),
     )
@@ -221,25 +234,19 @@ def extract_text(pages: DataFrame, **limits) -> DataFrame:
     """``(page_id, url, text, n_chars)`` for every row of ``pages``.
 
     A null or empty ``html`` has an empty text. Pages without host (null URL)
-    have no site template. Repeated rows count as pages of their host each.
+    have no site template. Repeated rows are one page of their host.
     """
     prepare(pages.sparkSession)
     host, _ = split_url(F.col("url"))
-    hosted = pages.select("page_id", "url", "html", host.alias("host"))
-    templates = keep(site_templates(hosted.filter("host != ''"), **limits), "site-templates")
-    joined = lookup_join(hosted, templates, ["host"], "left", spread=["page_id", "url"])
+    hosted = pages.select(F.col("page_id").cast("long"), "url", "html", host.alias("host"), F.xxhash64("html").alias("page"))
+    templates = keep(page_templates(hosted.filter("host != '' AND html != ''"), **limits), "page-templates")
+    joined = hosted.join(templates, ["host", "page"], "left")
 
     def extract(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = []
-        sets: dict[tuple, frozenset[int]] = {}
-        columns = [batch.column(c).to_pylist() for c in ("html", "host", "outside", "within")]
-        for html, at, outside, within in zip(*columns):
-            for kind, digests in ((0, outside), (1, within)):
-                if (at, kind) not in sets:
-                    sets[at, kind] = frozenset(digests or ())
-            texts.append(article_text(html, sets[at, 0], sets[at, 1]))
+        columns = [batch.column(c).to_pylist() for c in ("html", "outside", "within")]
+        texts = [article_text(html, frozenset(outside or ()), frozenset(within or ())) for html, outside, within in zip(*columns)]
         made = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
         return pa.RecordBatch.from_arrays(made, names=["page_id", "url", "text", "n_chars"])
 
-    given = joined.select(F.col("page_id").cast("long"), "url", "html", "host", "outside", "within")
+    given = joined.select("page_id", "url", "html", "outside", "within")
     return map_batches(given, extract, "page_id long, url string, text string, n_chars long")

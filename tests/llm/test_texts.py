@@ -59,6 +59,45 @@ def test_articles_that_share_paragraphs_keep_them(spark):
     assert all(len(r.text.split("\n\n")) == 2 for r in got)
 
 
+def test_templates_decide_where_names_say_nothing(spark):
+    """Neutral names: only recurrence tells the template; a large host needs no share, copies of a page count once."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("aeiourstln") for _ in range(6))
+    boxes = [f"<div><b>{word()}</b><hr><span>{word()}</span></div>" for _ in range(6)]
+    rows = []
+    for i in range(400):
+        host = "big.example" if i % 4 else f"h{i % 12}.example"
+        shown = "".join(rng.sample(boxes, rng.randint(0, 2)))
+        body = f"<section>{word()}<hr>{word()}</section><p>{rng.choice(['quoted passage', word()])}</p>"
+        if i % 3:
+            body = f"<main>{body}{rng.choice(boxes) if i % 5 == 0 else ''}</main>"
+        rows.append((i, f"https://{host}/{i}", f"<body>{shown}{body}</body>"))
+    copy = "<body><div>story told once</div><p>copied many times</p></body>"
+    rows += [(1000 + i, f"https://big.example/copy{i}", copy) for i in range(60)]
+    limits = dict(least=4, share=0.3, many=12, share_inside=0.04)
+    got = {r.page_id: r.text for r in pages.extract_text(spark.createDataFrame(rows, PAGE), **limits).collect()}
+
+    hosts, uses = {}, {}
+    for _, url, html in rows:
+        host = url.split("/")[2]
+        hosts.setdefault(host, set()).add(html)
+        for e in pages.parse(html)[1]:
+            if e.said and not e.dropped and e.tag not in ("#page", "html", "body"):
+                uses.setdefault((host, e.digest, e.inside), set()).add(html)
+    template = {True: {}, False: {}}
+    for (host, digest, inside), on in uses.items():
+        n = len(hosts[host])
+        if len(on) >= max(4, 0.04 * n if inside else min(0.3 * n, 12)):
+            template[inside].setdefault(host, set()).add(digest)
+    want = {}
+    for page_id, url, html in rows:
+        outside, within = (frozenset(template[k].get(url.split("/")[2], ())) for k in (False, True))
+        want[page_id] = pages.article_text(html, outside, within)
+    assert got == want
+    assert got[1003] == "story told once\n\ncopied many times"
+    assert sum(got[i] != pages.article_text(html) for i, _, html in rows) > 100
+
+
 # -- quality ------------------------------------------------------------------
 
 
