@@ -6,7 +6,10 @@ encoding every one of them once; a pre-token found in that set needs no merges.
 Only the others go through the library, once per worker and distinct string.
 
 Pre-tokens never span white space, so a text is cut at white space first and
-the tokens of each distinct word are remembered (bounded per worker).
+the tokens of each distinct word are remembered (bounded per worker). A word
+with a character outside Latin-1 goes to the library alone, as its
+normalisation and letter classes are the library's; all other words of the same
+text keep the shortcut.
 """
 
 from __future__ import annotations
@@ -29,12 +32,28 @@ WORD_END = "</w>"
 # Python splits at these, the vocabulary's pattern does not.
 SEPARATORS = bytes(range(0x1C, 0x20))
 
-# Distinct words a worker remembers before it starts afresh.
+SEPARATED = re.compile("[\x1c-\x1f]").search
+
+# Distinct words a worker remembers before it starts afresh, and the length up to which it does.
 REMEMBERED = 1_000_000
+LONGEST = 64
+
+
+def is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def folded(word: str) -> str:
+    """A Latin-1 word in lower case; others as they are, as lower case may depend on more than a character there."""
+    return word.lower() if word.isascii() or is_latin(word) else word
 
 
 class WordEncoder(dict):
-    """Maps lower-case words without white space to their packed token ids."""
+    """Maps folded words without white space to their packed token ids."""
 
     def __init__(self, path: str):
         super().__init__()
@@ -68,7 +87,11 @@ class WordEncoder(dict):
         """Remember the ids of ``words``, merging all their other pre-tokens in one call."""
         if len(self) + len(words) > REMEMBERED:
             self.clear()
-        cut = {word: self.pretokens(word) for word in words}
+        foreign = [word for word in words if not is_latin(word)]
+        if foreign:
+            found = self.library.encode_batch_fast(foreign, add_special_tokens=False)
+            self.update({word: np.array(e.ids, "<u4").tobytes() for word, e in zip(foreign, found)})
+        cut = {word: self.pretokens(word) for word in words.difference(foreign)}
         rest = list({p for parts in cut.values() for p in parts if p not in self.whole})
         known = dict(zip(rest, self._merge_each(rest)))
         for word, parts in cut.items():
@@ -84,29 +107,33 @@ class WordEncoder(dict):
         packed, stops = ids.tobytes(), (4 * ends).tolist()
         return [packed[i:j] for i, j in zip([0, *stops], stops)]
 
-    def plain(self, text: str) -> bool:
-        """Whether the word-by-word way applies; other texts go to the library whole."""
+    def words(self, text: str) -> list[str] | None:
+        """Folded words of a text; ``None`` if it has to go to the library whole."""
+        if "<|" in text and any(s in text for s in self.special):
+            return None
         try:
             raw = text.encode("latin-1")
         except UnicodeEncodeError:
-            return False
-        if len(raw.translate(None, SEPARATORS)) != len(raw):
-            return False
-        return "<|" not in text or not any(s in text for s in self.special)
+            return None if SEPARATED(text) else list(map(folded, text.split()))
+        return text.lower().split() if len(raw.translate(None, SEPARATORS)) == len(raw) else None
 
     def ids(self, text: str) -> bytes:
         """All token ids of a text as little-endian 32-bit numbers."""
-        if self.plain(text):
-            words = text.lower().split()
-            try:
-                return b"".join(map(self.get, words))
-            except TypeError:  # a word not met before
-                new = {w for w in words if w not in self}
-                if len(self) + len(new) > REMEMBERED:
-                    new = set(words)
-                self._learn(new)
-                return b"".join(map(self.get, words))
-        return self._merged(text)
+        words = self.words(text)
+        if words is None:
+            return self._merged(text)
+        try:
+            return b"".join(map(self.get, words))
+        except TypeError:  # a word not met before
+            new = {w for w in words if w not in self}
+            if len(self) + len(new) > REMEMBERED:
+                new = set(words)
+            self._learn(new)
+            found = b"".join(map(self.get, words))
+            for word in new:
+                if len(word) > LONGEST:
+                    del self[word]
+            return found
 
 
 @functools.lru_cache(maxsize=2)

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -35,6 +36,21 @@ def test_ids_equal_the_library(vocabulary):
         assert got == expected(vocabulary, text), text
 
 
+def test_words_outside_latin_1_keep_the_shortcut_for_the_rest(vocabulary):
+    """Any mix of words and white space gives the library's ids; one odd word does not send the text there whole."""
+    rng = random.Random(5)
+    words = ["it’s", "“DOG'S", "naïve", "e\u0301cole", "\u0301a", "ΣΑΣ", "İst", "Straße", "ŸÿŒ", "KK", "汉字", "한글", "ｶﾞ", "the", "It's", "½x²", "\u200bz"]
+    words += ["a\ufeffb", "🙂🙂", "x" * 90, "字" * 90, "ﬁn", "\u0130", "ǅ", "1٣", "don’t—stop", "\u180ey", "क्षि"]
+    gaps = [" ", "\n", "\t\r\n", "\xa0", "\x85", "\u1680", "\u2000", "\u2003", "\u2028", "\u2029", "\u202f", "\u205f", "\u3000", "  "]
+    encode = tokens.WordEncoder(vocabulary)
+    whole = Tokenizer.from_file(vocabulary)
+    for _ in range(600):
+        text = "".join(rng.choice(words) + rng.choice(gaps) for _ in range(rng.randrange(1, 30)))
+        assert np.frombuffer(encode.ids(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+    assert encode.words("the ‘odd’ word") == ["the", "‘odd’", "word"] and encode.words("\x1c ’") is None
+    assert "the" in encode and "don’t—stop" in encode and "字" * 90 not in encode and "x" * 90 not in encode
+
+
 def test_whole_tokens_are_proved(vocabulary):
     encode = tokens.encoder(vocabulary)
     assert len(encode.whole) > 30_000
