@@ -7,6 +7,8 @@ the interval table :func:`epoch_intervals` makes of it, best stored once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from ackline.params import choice
 from ackline.plans.joins import lookup_join
 from ackline.plans.scan import Running, prefix_scan
 from ackline.schemas import PARTITION, PROGRESS
-
+from ackline.session import cut
 
 
 def _changes(log: DataFrame) -> DataFrame:
@@ -47,8 +49,9 @@ def epoch_intervals(log: DataFrame) -> DataFrame:
         Running("last", F.col("seq"), "to_seq", exclusive=True),
         Running("last", F.col("event"), "closed_by", exclusive=True),
     ]
+    # Stored: a scan reads its rows twice.
     scanned = prefix_scan(
-        _changes(log), "seq", following, group=PARTITION, ties=["list_pos"], reverse=True
+        cut(_changes(log), "changes"), "seq", following, group=PARTITION, ties=["list_pos"], reverse=True
     )
     return scanned.filter(F.col("event") == "assigned").select(
         *PARTITION, "epoch", F.col("seq").alias("from_seq"), "to_seq", "closed_by"
@@ -144,12 +147,37 @@ def unassigned_records(records: DataFrame, intervals: DataFrame, *, method: str
     return stamp_epochs(records, intervals, method=method).filter(F.col("epoch").isNull()).drop("epoch")
 
 
+# Ranges of seq the log is cut into for fencing: two to this power, or half as many.
+FENCE_BITS = 6
+
+
 def fence(events: DataFrame, intervals: DataFrame) -> DataFrame:
-    """Add ``is_current``: the event's epoch was in force at the event's ``seq``."""
-    spans = intervals.drop("closed_by")
-    joined = lookup_join(events, spans, PROGRESS, "left", spread=["seq"])
+    """Add ``is_current``: the event's epoch was in force at the event's ``seq``.
+
+    Epochs and events meet by range of ``seq``, 32 to 65 over the whole log: a long
+    epoch is spread over as many tasks as it has ranges, and a short one, of
+    which there may be as many as events, is one row. An event outside all
+    ranges of its epoch is not current. The bounds of the ranges are one row
+    that reaches the driver; with them the call reads ``intervals``.
+    """
+    spans, part = _by_range(intervals.drop("closed_by"))
+    joined = events.withColumn("_part", part(F.col("seq"))).join(spans, [*PROGRESS, "_part"], "left")
     inside = _inside(F.col("seq"), F.col("from_seq"), F.col("to_seq"))
-    return joined.withColumn("is_current", F.coalesce(inside, F.lit(False))).drop("from_seq", "to_seq")
+    return joined.withColumn("is_current", F.coalesce(inside, F.lit(False))).drop("_part", "from_seq", "to_seq")
+
+
+def _by_range(spans: DataFrame) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """A row of ``spans`` for each range of ``seq`` it reaches into, as ``_part``; the range of a ``seq``."""
+    low, high = spans.agg(F.min("from_seq"), F.max(F.greatest("from_seq", "to_seq"))).first()
+    low, high = low or 0, high or 0
+    bits = max(0, (high - low).bit_length() - FENCE_BITS)
+
+    def part(seq: Column) -> Column:
+        within = F.least(F.greatest(seq.cast("long"), F.lit(low).cast("long")), F.lit(high).cast("long"))
+        return F.when(seq.isNotNull(), F.shiftright(within, bits))
+
+    parts = F.sequence(part(F.col("from_seq")), part(F.coalesce("to_seq", F.lit(high).cast("long"))))
+    return spans.withColumn("_part", F.explode(parts)), part
 
 
 def live_events(events: DataFrame, intervals: DataFrame) -> DataFrame:

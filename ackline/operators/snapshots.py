@@ -19,6 +19,7 @@ from ackline.operators.epochs import current_assignments, fence, known_at
 from ackline.params import COMMIT_INTERVAL_MS, I64_MAX, positive
 from ackline.plans.scan import Running, prefix_scan
 from ackline.schemas import PROGRESS, PROGRESS_KEYS, TOKEN, TOKEN_KEYS
+from ackline.session import cut
 
 _OPEN = "topic string, partition_id int, epoch bigint, record_offset bigint, seq bigint, accounted_bytes bigint, success_seq bigint"
 _SAFE = "topic string, partition_id int, epoch bigint, safe_next_offset bigint"
@@ -60,11 +61,13 @@ def advance(last: Snapshot, deliveries: DataFrame, completions: DataFrame, inter
     new = deliveries.select(*TOKEN, "seq", "accounted_bytes", F.lit(None).cast("long").alias("success_seq"))
     known = last.open.unionByName(new)
     successes = completions.filter(F.col("outcome") == "succeeded").select(*TOKEN, "seq", "ts")
-    live = fence(successes, intervals).filter("is_current").drop("is_current")
+    # Stored, like the merged rows below: each is read more than once.
+    live = cut(fence(successes, intervals).filter("is_current").drop("is_current"), "live-successes")
     found = first_success_after(known.select(*TOKEN, "seq"), live.select(*TOKEN, "seq")).select(
         *TOKEN, F.col("success_seq").alias("_found")
     )
     merged = known.join(found, TOKEN_KEYS, "left").withColumn("success_seq", F.coalesce("success_seq", "_found")).drop("_found")
+    merged = cut(merged, "merged-deliveries")
     never = F.lit(I64_MAX)
     # All below what is open has succeeded earlier, so the running maximum may start here.
     scanned = prefix_scan(

@@ -276,8 +276,10 @@ class Inputs:
         if name == "fx_epochs":
             return epoch_intervals(self["assignment_events"]).drop("closed_by")
         if name == "deliveries":
-            records = assigned_records(self["log_records"], self.intervals("assignment_events"))
-            return records.select(*PARTITION, "epoch", "record_offset", "seq", F.expr(ACCOUNTED).alias("accounted_bytes"))
+            # Bytes are counted before the scan: it then moves numbers instead of texts.
+            records = self["log_records"].select(*PARTITION, "record_offset", "seq", F.expr(ACCOUNTED).alias("accounted_bytes"))
+            records = assigned_records(records, self.intervals("assignment_events"))
+            return records.select(*PARTITION, "epoch", "record_offset", "seq", "accounted_bytes")
         for needed in DEPENDS.get(name, TABLES):
             if needed not in self._registered:
                 self[needed].createOrReplaceTempView(needed)
