@@ -27,6 +27,8 @@ def _changes(log: DataFrame) -> DataFrame:
     changes = log.filter(F.col("event").isin("assigned", "revoked")).select(
         "seq", "list_pos", "event", *PARTITION
     )
+    # Stored: a scan reads its rows twice, and the log may be derived.
+    changes = cut(changes, "changes")
     assigned = F.col("event") == "assigned"
     one = F.when(assigned, F.lit(1).cast("long"))
     counted = prefix_scan(changes, "seq", [Running("sum", one, "epoch")], ties=["list_pos"])
@@ -49,9 +51,8 @@ def epoch_intervals(log: DataFrame) -> DataFrame:
         Running("last", F.col("seq"), "to_seq", exclusive=True),
         Running("last", F.col("event"), "closed_by", exclusive=True),
     ]
-    # Stored: a scan reads its rows twice.
     scanned = prefix_scan(
-        cut(_changes(log), "changes"), "seq", following, group=PARTITION, ties=["list_pos"], reverse=True
+        cut(_changes(log), "numbered-changes"), "seq", following, group=PARTITION, ties=["list_pos"], reverse=True
     )
     return scanned.filter(F.col("event") == "assigned").select(
         *PARTITION, "epoch", F.col("seq").alias("from_seq"), "to_seq", "closed_by"
