@@ -7,6 +7,9 @@ state of a stripe holds what is not settled yet: an offset leaves it as soon as
 it and all earlier deliveries of its block have succeeded, an epoch as soon as a
 later one starts or it is revoked, and a finished block after a while.
 
+Rows reach the state packed: one row a stripe holds many events as arrays, as
+the state handler takes each row it is given by itself.
+
 The safe prefix does not depend on how the logs are cut into micro-batches or
 interleaved. First successes are the least of a token if batches come in the
 order of ``seq``, as those of one log do; within a batch any order will do.
@@ -18,6 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -32,6 +37,11 @@ STRIPES = 8
 # A finished block is forgotten when its stripe has been called so often without a row of it.
 KEPT_CALLS = 16
 STRIPE = [*PARTITION, "stripe"]
+# Events a task holds at a time to pack them by stripe.
+PACKED_ROWS = 1 << 18
+_EVENT = ["epoch", "record_offset", "seq", "delivered"]
+_CHANGE = ["change_seq", "least"]
+_PACKED = "topic string, partition_id int, stripe int, " + ", ".join(f"{n} array<bigint>" for n in (*_EVENT, *_CHANGE))
 BLOCK = [*PROGRESS, "offset_block"]
 _OUTPUT = (
     "kind string, topic string, partition_id int, epoch bigint, offset_block bigint, first_open bigint, last_ok bigint, "
@@ -73,6 +83,40 @@ def _frame(names: list[str], arrays: list) -> pd.DataFrame:
     return pd.DataFrame({n: np.asarray(a, dtype="int64") for n, a in zip(names, arrays)})
 
 
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Events and changes of a stripe as arrays in one row, for every ``PACKED_ROWS`` rows or so.
+
+    Rows come with ``_PACKED``'s names and single values. A change has no stripe yet and null event columns, an event null
+    change columns.
+    """
+
+    def pack(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held)
+        change = rows["stripe"].is_null()
+        for part, filled in ((rows.filter(change), _CHANGE), (rows.filter(pc.invert(change)), _EVENT)):
+            if not part.num_rows:
+                continue
+            made = part.group_by(STRIPE, use_threads=False).aggregate([(n, "list") for n in filled])
+            none = pa.nulls(made.num_rows, pa.list_(pa.int64()))
+            columns = [made[n] for n in STRIPE] + [made[f"{n}_list"] if n in filled else none for n in (*_EVENT, *_CHANGE)]
+            yield from pa.table(columns, names=[*STRIPE, *_EVENT, *_CHANGE]).combine_chunks().to_batches()
+
+    held, n_held = [], 0
+    for batch in batches:
+        held.append(batch)
+        n_held += batch.num_rows
+        if n_held >= PACKED_ROWS:
+            yield from pack(held)
+            held, n_held = [], 0
+    if n_held:
+        yield from pack(held)
+
+
+def _unpacked(rows: pd.DataFrame, names: list[str]) -> pd.DataFrame:
+    """The single events or changes in packed rows."""
+    return _frame(names, [np.concatenate([np.empty(0, "int64"), *rows[n].dropna()]) for n in names])
+
+
 def floor_at(seq: np.ndarray, control: pd.DataFrame, floor: int) -> np.ndarray:
     """The least epoch in force at each ``seq``: ``floor`` raised by the changes up to it."""
     ordered = control.sort_values("seq", kind="stable")
@@ -90,8 +134,8 @@ class StripePrefix(StatefulProcessor):
         calls, floor, pending, blocks, finished = self._load()
         calls += 1
         batch = pd.concat(list(rows))
-        control = batch[batch["least"] != _NEVER]
-        events = batch[batch["least"] == _NEVER]
+        control = _unpacked(batch, _CHANGE).rename(columns={"change_seq": "seq"})
+        events = _unpacked(batch, _EVENT)
         fresh = self._fresh(events, floor_at(events["seq"].to_numpy(dtype="int64"), control, floor))
         tokens = self._combined(pending, fresh, blocks, finished)
         made, firsts, pending, blocks = self._settled(tokens, blocks, calls)
@@ -122,7 +166,7 @@ class StripePrefix(StatefulProcessor):
     def _fresh(events: pd.DataFrame, floors: np.ndarray) -> pd.DataFrame:
         live = events[events["epoch"].to_numpy(dtype="int64") >= floors]
         seq = live["seq"].to_numpy(dtype="int64")
-        delivery = (live["kind"] == "delivered").to_numpy()
+        delivery = live["delivered"].to_numpy() == 1
         columns = [
             live["epoch"],
             live["record_offset"],
@@ -210,10 +254,10 @@ class StripePrefix(StatefulProcessor):
     def _forgotten(pending: pd.DataFrame, blocks: pd.DataFrame, finished: pd.DataFrame, calls: int) -> tuple[pd.DataFrame, pd.DataFrame]:
         """Drop finished blocks from the lowest up; rows for them are repeats from now on."""
         blocks = blocks.sort_values(["epoch", "block"])
-        busy = set(zip(pending["epoch"], pending["offset"] // BLOCK_OFFSETS))
+        busy = pd.MultiIndex.from_arrays([pending["epoch"], pending["offset"] // BLOCK_OFFSETS])
         top = blocks.groupby("epoch")["block"].transform("max")
         waits = (blocks["block"] == top) | (calls - blocks["touched"] < KEPT_CALLS)
-        waits |= pd.Series([b in busy for b in zip(blocks["epoch"], blocks["block"])], index=blocks.index, dtype=bool)
+        waits |= pd.MultiIndex.from_arrays([blocks["epoch"], blocks["block"]]).isin(busy)
         waits |= blocks["last_ok"] == _NEVER
         stays = waits.groupby(blocks["epoch"]).cummax() if len(blocks) else waits
         gone = blocks[~stays].groupby("epoch")["block"].max() + 1
@@ -243,21 +287,24 @@ def stream_prefix(events: DataFrame) -> DataFrame:
     ``first`` row is the first success of a delivery: ``record_offset, first_seq``
     (:func:`first_successes`). Needs the RocksDB state store.
     """
-    control = F.col("kind").isin("assigned", "revoked")
+    control = F.coalesce(F.col("kind").isin("assigned", "revoked"), F.lit(False))
     block = F.shiftright("record_offset", OFFSET_BLOCK_BITS).cast("long")
-    own = F.array(F.pmod(block, F.lit(STRIPES)).cast("int"))
+    own = F.pmod(F.coalesce(block, F.lit(0)), F.lit(STRIPES)).cast("int")
     every = F.sequence(F.lit(0), F.lit(STRIPES - 1))
     # An assignment leaves nothing below its epoch, a revocation not even that.
     least = F.when(F.col("kind") == "assigned", F.col("epoch")).when(F.col("kind") == "revoked", F.col("epoch") + 1)
-    # No nulls: pandas would make floats of the numbers.
-    shaped = events.select(
-        *PROGRESS,
-        F.coalesce("record_offset", F.lit(0)).alias("record_offset"),
-        "seq",
-        "kind",
-        F.coalesce(least, F.lit(_NEVER)).alias("least"),
-        F.explode(F.when(control, every).otherwise(own)).alias("stripe"),
-    )
+    # Only arrays of whole numbers reach pandas, where a null would make floats of them.
+    value = {
+        "epoch": F.when(~control, F.col("epoch")),
+        "record_offset": F.when(~control, F.coalesce("record_offset", F.lit(0))),
+        "seq": F.when(~control, F.col("seq")),
+        "delivered": F.when(~control, (F.col("kind") == "delivered").cast("long")),
+        "change_seq": F.when(control, F.col("seq")),
+        "least": least,
+    }
+    single = events.select(*PARTITION, F.when(~control, own).alias("stripe"), *[c.alias(n) for n, c in value.items()])
+    dealt = F.explode(F.when(F.col("stripe").isNull(), every).otherwise(F.array("stripe"))).alias("stripe")
+    shaped = single.mapInArrow(packed, _PACKED).select(*PARTITION, dealt, *_EVENT, *_CHANGE)
     return shaped.groupBy(*STRIPE).transformWithStateInPandas(
         statefulProcessor=StripePrefix(),
         outputStructType=_OUTPUT,

@@ -135,6 +135,23 @@ def test_offsets_beyond_floating_point(spark):
     assert {r.record_offset: r.first_seq for r in prefix.first_successes(out).collect()} == {big: 2, big + 2: 5, 5: 7}
 
 
+def test_events_reach_the_state_packed_by_stripe(spark):
+    """The state handler takes each row by itself: many events of a stripe are one row, none is lost."""
+    topics = [None, "t"]
+    rows = [(topics[i % 2], i % 3, i % 4 if i % 5 else None, i, i + 1, i + 2, i % 2) for i in range(6000)]
+    schema = "topic string, partition_id int, stripe int, " + ", ".join(f"{n} bigint" for n in prefix._EVENT)
+    single = spark.createDataFrame(rows, schema).coalesce(1)
+    change = F.col("stripe").isNull()
+    changes = {"change_seq": F.when(change, F.col("seq")), "least": F.when(change, F.col("epoch"))}
+    single = single.withColumns(changes).withColumns({n: F.when(~change, F.col(n)) for n in prefix._EVENT})
+    packed = single.mapInArrow(prefix.packed, prefix._PACKED).collect()
+    assert len(packed) == len({r[:3] for r in rows})
+    events = [(r.topic, r.partition_id, r.stripe, *v) for r in packed for v in zip(*(r[n] or () for n in prefix._EVENT))]
+    assert sorted(map(str, events)) == sorted(map(str, (r for r in rows if r[2] is not None)))
+    ends = [(r.topic, r.partition_id, *v) for r in packed for v in zip(*(r[n] or () for n in prefix._CHANGE))]
+    assert sorted(map(str, ends)) == sorted(str((r[0], r[1], r[5], r[3])) for r in rows if r[2] is None)
+
+
 def test_finished_blocks_are_forgotten():
     size = prefix.BLOCK_OFFSETS
     blocks = pd.DataFrame({"epoch": [1, 1, 1, 2], "block": [0, 1, 5, 0], "last_ok": [9, size + 9, 5 * size, 5], "touched": [1, 1, 30, 30]})
