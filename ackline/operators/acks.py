@@ -125,7 +125,7 @@ def prefix_positions(deliveries: DataFrame, completions: DataFrame, intervals: D
 
 
 def first_success_after(deliveries: DataFrame, successes: DataFrame) -> DataFrame:
-    """Add ``success_seq``, the first success of the token after its delivery.
+    """Add ``success_seq``, the first success of the token after its delivery, to ``deliveries`` (TOKEN, ``seq``, any others).
 
     Successes are reduced per token before the join. Only tokens whose first
     success came before their delivery look at all their successes again: they
@@ -147,7 +147,7 @@ def first_success_after(deliveries: DataFrame, successes: DataFrame) -> DataFram
     return (
         joined.join(later, TOKEN_KEYS, "left")
         .withColumn("success_seq", F.coalesce(in_time, F.col("_later")))
-        .select(*TOKEN, "seq", "success_seq")
+        .select(*deliveries.columns, "success_seq")
     )
 
 

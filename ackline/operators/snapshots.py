@@ -10,8 +10,10 @@ what is open, not the length of the log. Steps take the logs in the order of
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ackline.operators.acks import first_success_after
@@ -59,15 +61,11 @@ def advance(last: Snapshot, deliveries: DataFrame, completions: DataFrame, inter
         return _stored(spark, path, last.open, last.safe, last.advances.filter("false"))
     intervals = known_at(intervals, upto)
     new = deliveries.select(*TOKEN, "seq", "accounted_bytes", F.lit(None).cast("long").alias("success_seq"))
-    known = last.open.unionByName(new)
+    known = last.open.unionByName(new).withColumnRenamed("success_seq", "_before")
     successes = completions.filter(F.col("outcome") == "succeeded").select(*TOKEN, "seq", "ts")
-    # Stored, like the merged rows below: each is read more than once.
+    # Stored: it is read more than once.
     live = cut(fence(successes, intervals).filter("is_current").drop("is_current"), "live-successes")
-    found = first_success_after(known.select(*TOKEN, "seq"), live.select(*TOKEN, "seq")).select(
-        *TOKEN, F.col("success_seq").alias("_found")
-    )
-    merged = known.join(found, TOKEN_KEYS, "left").withColumn("success_seq", F.coalesce("success_seq", "_found")).drop("_found")
-    merged = cut(merged, "merged-deliveries")
+    merged = _merged(known, live)
     never = F.lit(I64_MAX)
     # All below what is open has succeeded earlier, so the running maximum may start here.
     scanned = prefix_scan(
@@ -89,6 +87,23 @@ def advance(last: Snapshot, deliveries: DataFrame, completions: DataFrame, inter
     return _stored(spark, path, open_, safe.join(current, PROGRESS, "left_semi").select(*PROGRESS, "safe_next_offset"), moved)
 
 
+def _merged(known: DataFrame, live: DataFrame) -> DataFrame:
+    """``known`` deliveries with ``success_seq``: ``_before`` or the first of the ``live`` successes after them.
+
+    Bytes and earlier successes go through the one join by token that finds
+    them. Only rows of a repeated token, of which accepted deliveries have none,
+    meet all finds of it in a join of their own.
+    """
+    whole = reduce(and_, [F.col(c).isNotNull() for c in TOKEN_KEYS])
+    copies = F.when(whole, F.count(F.lit(1)).over(Window.partitionBy(*TOKEN_KEYS))).otherwise(F.lit(1))
+    found = first_success_after(known.withColumn("_copies", copies), live.select(*TOKEN, "seq"))
+    found = found.withColumnRenamed("success_seq", "_found")
+    several = found.filter("_copies > 1")
+    crossed = several.drop("_found").join(several.select(*TOKEN, "_found"), TOKEN_KEYS)
+    rows = found.filter("_copies = 1").unionByName(crossed)
+    return rows.select(*TOKEN, "seq", "accounted_bytes", F.coalesce("_before", "_found").alias("success_seq"))
+
+
 def _stored(spark: SparkSession, path: str, open_: DataFrame, safe: DataFrame, advances: DataFrame) -> Snapshot:
     for name, df in (("open", open_), ("safe", safe), ("advances", advances)):
         df.write.mode("overwrite").parquet(f"{path}/{name}")

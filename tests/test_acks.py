@@ -437,3 +437,17 @@ def test_snapshots_in_steps(spark, tmp_path):
     before = step.safe.collect()
     again = snapshots.advance(snapshots.read(spark, f"{tmp_path}/3"), deliveries.filter("seq > 75"), completions.filter("seq > 75"), intervals, f"{tmp_path}/4")
     assert again.safe.collect() == before
+
+
+def test_first_success_takes_other_columns_along(spark):
+    """A step needs one join by token: what else a delivery has comes through it, for any success found late too."""
+    deliveries = spark.createDataFrame(
+        [("t", 0, 1, 5, 10, 7, None), ("t", 0, 1, 6, 20, 8, 15), ("t", 0, None, 6, 20, 9, None)],
+        "topic string, partition_id int, epoch long, record_offset long, seq long, accounted_bytes long, _before long",
+    )
+    successes = spark.createDataFrame(
+        [("t", 0, 1, 5, 3), ("t", 0, 1, 5, 12), ("t", 0, 1, 5, 14), ("t", 0, None, 6, 30)],
+        "topic string, partition_id int, epoch long, record_offset long, seq long",
+    )
+    rows = acks.first_success_after(deliveries, successes).select("accounted_bytes", "_before", "success_seq").collect()
+    assert {r[0]: tuple(r)[1:] for r in rows} == {7: (None, 12), 8: (15, None), 9: (None, None)}
