@@ -3,7 +3,8 @@
 Most pre-tokens of a text are one token of the vocabulary. Which vocabulary
 strings are encoded alone as exactly their own token is proved offline, by
 encoding every one of them once; a pre-token found in that set needs no merges.
-Only the others go through the library, once per worker and distinct string.
+Only the others go through the library's merges, once per worker and distinct
+string; its normaliser and pre-tokeniser would leave them as they are.
 
 Pre-tokens never span white space, so a text is cut at white space first and
 the tokens of each distinct word are remembered (bounded per worker). A word
@@ -59,14 +60,16 @@ class WordEncoder(dict):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.pretokens = re.compile(PRETOKEN).findall
         self.whole = self._prove()
-        self.ending = np.zeros(self.library.get_vocab_size(with_added_tokens=True), dtype=bool)
-        for name, number in self.library.get_vocab(with_added_tokens=False).items():
-            self.ending[number] = name.endswith(WORD_END)
+        self.packed = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size(with_added_tokens=True))]
+        # The vocabulary spells the bytes of a character by the byte-level alphabet; printable ASCII stands for itself.
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelled = {i: spell(chr(i))[0][0] for i in range(0x100)}
 
     def _prove(self) -> dict[str, bytes]:
         """Vocabulary strings that alone are encoded as exactly their own token."""
@@ -84,7 +87,7 @@ class WordEncoder(dict):
         return b"".join([i.to_bytes(4, "little") for i in ids])
 
     def _learn(self, words: set[str]) -> None:
-        """Remember the ids of ``words``, merging all their other pre-tokens in one call."""
+        """Remember the ids of ``words``, merging each of their other pre-tokens once."""
         if len(self) + len(words) > REMEMBERED:
             self.clear()
         foreign = [word for word in words if not is_latin(word)]
@@ -98,14 +101,10 @@ class WordEncoder(dict):
             self[word] = b"".join([self.whole.get(p) or known[p] for p in parts])
 
     def _merge_each(self, pretokens: list[str]) -> list[bytes]:
-        """Ids of each pre-token. Of its tokens the last one, and only it, has the word end."""
-        if not pretokens:
-            return []
-        ids = np.array(self.library.encode_batch_fast([" ".join(pretokens)], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.flatnonzero(self.ending[ids]) + 1
-        assert len(ends) == len(pretokens)
-        packed, stops = ids.tobytes(), (4 * ends).tolist()
-        return [packed[i:j] for i, j in zip([0, *stops], stops)]
+        """Ids of each Latin-1 pre-token, by the library's merges alone: it is normalised and cut already."""
+        tokenize, spelled, packed = self.library.model.tokenize, self.spelled, self.packed
+        spelt = [p if p.isascii() and p.isprintable() else p.translate(spelled) for p in pretokens]
+        return [b"".join([packed[t.id] for t in tokenize(p)]) for p in spelt]
 
     def words(self, text: str) -> list[str] | None:
         """Folded words of a text; ``None`` if it has to go to the library whole."""

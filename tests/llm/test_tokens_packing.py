@@ -58,6 +58,23 @@ def test_whole_tokens_are_proved(vocabulary):
         assert expected(vocabulary, word) == [int.from_bytes(encode.whole[word], "little")]
 
 
+def test_latin_words_need_the_merges_alone(vocabulary, monkeypatch):
+    """Every Latin-1 word is merged without the normaliser and pre-tokeniser, and gets the library's ids."""
+    rng = random.Random(9)
+    letters = [chr(i) for i in range(256)] + list("aeinorst") * 30 + ["'s", "é", "ß", "½"] * 8
+    words = ["".join(rng.choices(letters, k=rng.randrange(1, 15))) for _ in range(4000)]
+    texts = [" ".join(words[i : i + 20]) for i in range(0, len(words), 20)]
+    encode = tokens.WordEncoder(vocabulary)
+    texts = [t for t in texts if encode.words(t) is not None] + [chr(i) for i in range(33, 256)]
+    whole = [expected(vocabulary, t) for t in texts]
+
+    class MergesOnly:
+        model = encode.library.model
+
+    monkeypatch.setattr(encode, "library", MergesOnly())
+    assert [np.frombuffer(encode.ids(t), "<u4").tolist() for t in texts if encode.words(t) is not None] == whole
+
+
 def test_counts(make, vocabulary):
     docs = make(enumerate([*ODD, ODD[3]]))
     rows = {r.doc_id: r for r in tokens.count_tokens(docs.withColumnRenamed("lang", "n_tokens"), vocabulary).collect()}
