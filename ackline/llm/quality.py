@@ -12,6 +12,7 @@ matrix products, and its nearest neighbours vote with their similarity.
 from __future__ import annotations
 
 import operator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +28,8 @@ FEATURES = TRIGRAMS + SHAPES + MEASURES
 # How much each family counts in the similarity.
 FAMILY = np.repeat([0.5, 1.0, 2.0], [TRIGRAMS, SHAPES, MEASURES])
 BANDS = 16
-BLOCK = 1024
+# Texts a task works on at a time: what it holds beside its batch follows from this, not from the batch.
+BLOCK = 256
 
 
 def _classes() -> np.ndarray:
@@ -104,16 +106,23 @@ def features(text: str | None) -> np.ndarray:
     return out
 
 
+def text_blocks(batch: pa.RecordBatch) -> Iterator[list[str | None]]:
+    """Texts of a batch, ``BLOCK`` of them at a time."""
+    column = batch.column("text")
+    for at in range(0, len(column), BLOCK):
+        yield column.slice(at, BLOCK).to_pylist()
+
+
 def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
     """Number of documents, and in how many of them each feature is."""
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         seen = np.zeros(FEATURES, dtype=np.int64)
-        texts = batch.column("text").to_pylist()
-        for text in texts:
-            seen += features(text) > 0
+        for texts in text_blocks(batch):
+            for text in texts:
+                seen += features(text) > 0
         feature = np.append(np.flatnonzero(seen), -1)
-        made = [pa.array(feature, pa.int64()), pa.array(np.append(seen[seen > 0], len(texts)), pa.int64())]
+        made = [pa.array(feature, pa.int64()), pa.array(np.append(seen[seen > 0], batch.num_rows), pa.int64())]
         return pa.RecordBatch.from_arrays(made, names=["feature", "seen"])
 
     parts = map_batches(docs.select("text"), count, "feature long, seen long")
@@ -160,7 +169,7 @@ def bounded_sample(docs: DataFrame, labelled: DataFrame, per_class: int) -> tupl
     ids = docs.sparkSession.createDataFrame(chosen, "doc_id long, label int")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        packed = [_packed(features(t)) for t in batch.column("text").to_pylist()]
+        packed = [_packed(features(t)) for texts in text_blocks(batch) for t in texts]
         names = ["doc_id", "label", "mark"]
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(packed)], names=[*names, "packed"])
 
@@ -188,8 +197,11 @@ class Neighbours:
     sharpness: float
     prior: float
 
-    def latent(self, counts: np.ndarray) -> np.ndarray:
-        points = (counts * self.weights) @ self.basis
+    def latent(self, texts: list[str | None]) -> np.ndarray:
+        counts = np.empty((len(texts), FEATURES), dtype=np.float32)
+        for row, text in zip(counts, texts):
+            np.multiply(features(text), self.weights, out=row)
+        points = counts @ self.basis
         return points / np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-9)
 
     def score(self, texts: list[str | None]) -> np.ndarray:
@@ -197,8 +209,7 @@ class Neighbours:
             return np.full(len(texts), self.prior)
         out = []
         for at in range(0, len(texts), BLOCK):
-            counts = np.stack([features(t) for t in texts[at : at + BLOCK]])
-            likeness = self.latent(counts) @ self.vectors
+            likeness = self.latent(texts[at : at + BLOCK]) @ self.vectors
             k = min(self.nearest, likeness.shape[1])
             best = np.argpartition(-likeness, k - 1, axis=1)[:, :k]
             near = np.maximum(np.take_along_axis(likeness, best, axis=1), 0) ** self.sharpness
@@ -271,7 +282,7 @@ def score_quality(docs: DataFrame, model: Neighbours, *, threshold: float = 0.3)
     shared = docs.sparkSession.sparkContext.broadcast(dict(vars(model)))
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scores = Neighbours(**shared.value).score(batch.column("text").to_pylist())
+        scores = np.concatenate(list(map(Neighbours(**shared.value).score, text_blocks(batch))))
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, "score"])
 
     scored = map_batches(others, score, StructType([*others.schema.fields, StructField("score", DoubleType())]))

@@ -6,6 +6,7 @@ import random
 import re
 import subprocess
 import sys
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -159,6 +160,21 @@ def test_repeated_ids_long_texts_and_clashing_columns(make, spark):
     assert set(named.columns) < set(scored.columns) and scored.count() == 302
 
 
+def test_scoring_holds_few_rows_of_features_at_a_time():
+    rng = np.random.default_rng(3)
+    n, texts = 4000, [f"Text number {i}, with {'many ' * (i % 9)}words." for i in range(1500)]
+    basis, vectors = (rng.standard_normal(shape).astype(np.float32) for shape in ((quality.FEATURES, 64), (64, n)))
+    vectors /= np.linalg.norm(vectors, axis=0)
+    ones, labels = np.ones(n, np.float32), (np.arange(n) % 2).astype(np.float32)
+    model = quality.Neighbours(ones[:1].repeat(quality.FEATURES), basis, vectors, labels, ones, 25, 8.0, 0.5)
+    tracemalloc.start()
+    scores = model.score(texts)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 32e6
+    assert np.allclose(scores, np.concatenate([model.score(texts[i : i + 100]) for i in range(0, 1500, 100)]), atol=1e-4)
+
+
 def test_runs_where_executors_lack_the_package(tmp_path):
     """The driver finds the package by path; Python workers do not."""
     repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -166,6 +182,7 @@ def test_runs_where_executors_lack_the_package(tmp_path):
     script.write_text(
         f"""
 import sys
+import tracemalloc
 sys.path.insert(0, {repo!r})
 import __spark_entry__ as e
 from pyspark.sql import SparkSession, functions as F
